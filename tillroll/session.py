@@ -31,6 +31,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TILLROLL_DRIVER_MEMORY", "8g"))
     )
     spark = builder.getOrCreate()

@@ -582,6 +582,9 @@ def _all_expenses(t: "FixtureTables") -> DataFrame:
     return out
 
 
+_RAW: dict[tuple[int, str], DataFrame] = {}
+
+
 class FixtureTables(Tables):
     """``Tables`` over the fixture directory, with a named profile."""
 
@@ -593,7 +596,12 @@ class FixtureTables(Tables):
         self.profile_name = profile
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # one DataFrame per (session, file): a read lists the file and reads
+        # its footer on the driver, so repeated views reuse it
+        key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
+        if key not in _RAW:
+            _RAW[key] = self.spark.read.parquet(key[1])
+        return _RAW[key]
 
     def profile(self, name: str) -> "FixtureTables":
         return FixtureTables(self.spark, self.sf_dir, name)
