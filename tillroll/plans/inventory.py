@@ -126,16 +126,20 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     starts = join_small(join_small(starts, warehouses, "warehouse_id", "left_semi"), products, "product_id", "left_semi")
     days = starts.select(*PAIR, F.explode(F.sequence("first", w.last_day)).alias("date"))
     ledger = days.join(moves, [*PAIR, "date"], "left").join(prior, PAIR, "left")
-    filled = {m: F.coalesce(F.col(m), F.lit(0).cast("decimal(38,4)")) for m in MOVES}
+    zero = F.lit(0).cast("decimal(38,4)")
+    filled = {m: F.coalesce(F.col(m), zero) for m in MOVES}
     net = filled["receipts"] - filled["sales"] + filled["adjustments"] + filled["transfers_in"] - filled["transfers_out"]
     upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ending = F.coalesce(F.col("carried"), F.lit(0).cast("decimal(38,4)")) + F.sum(net).over(upto)
-    out = ledger.select(
+    running = (
+        ledger.select("date", *PAIR, "carried", *[filled[m].alias(m) for m in MOVES], net.alias("net"))
+        .withColumn("ending", F.coalesce(F.col("carried"), zero) + F.sum("net").over(upto))
+    )
+    out = running.select(
         "date",
         *PAIR,
-        as_double(ending - net).alias("beginning_quantity"),
-        *[as_double(filled[m]).alias(m) for m in MOVES],
-        as_double(ending).alias("ending_quantity"),
+        as_double(F.col("ending") - F.col("net")).alias("beginning_quantity"),
+        *[as_double(m).alias(m) for m in MOVES],
+        as_double("ending").alias("ending_quantity"),
     )
     return conform(out, "analytics.inventory_levels")
 

@@ -544,8 +544,9 @@ VIEWS: dict[str, Builder] = {
         F.lit(None).cast("double").alias("threshold"),
         F.to_date("ts").alias("alert_date"),
     ),
-    "analytics.inventory_levels": lambda t: t.spark.createDataFrame(
-        [], ", ".join(f"{n} {ty}" for n, ty in fields("analytics.inventory_levels"))
+    # the first ledger day starts empty: a typed relation with no rows
+    "analytics.inventory_levels": lambda t: t.spark.range(0).select(
+        *[F.lit(None).cast(ty).alias(n) for n, ty in fields("analytics.inventory_levels")]
     ),
     # --- tables filled by other jobs, over all history --------------------------
     "finance.revenue": lambda t: _plans().finance.revenue_recognition(t, ALL_TIME),
