@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime as dt
 
 from oracle.views import with_views
-from tillroll.plans.registry import AS_OF, W_COHORT, W_EVT, W_JANUARY, W_LEDGER, W_ORD
+from tillroll.plans.registry import AS_OF, W_COHORT, W_EVT, W_JANUARY, W_LAST_YEAR, W_LEDGER, W_ORD
 
 D = "DECIMAL(18,4)"
 
@@ -244,7 +244,7 @@ FROM r LEFT JOIN e ON r.mo = e.mo AND r.yr = e.yr""",
 SELECT user_id, {dbl(dsum('amount'))} AS total_revenue, MIN(revenue_date) AS first_purchase_date,
        MAX(revenue_date) AS last_purchase_date, COUNT(DISTINCT order_id) AS purchase_count
 FROM finance__revenue GROUP BY user_id
-HAVING {win('MAX(revenue_date)', W_ORD)}""",
+HAVING {win('MAX(revenue_date)', W_LAST_YEAR)}""",
     "payment_methods_summary": f"""
 SELECT payment_method, COUNT(*) AS transaction_count, {dbl(dsum('amount'))} AS total_amount,
        {div(dsum('amount'), 'COUNT(amount)')} AS average_amount,

@@ -22,6 +22,9 @@ W_LEDGER = BatchWindow("1996-06-03", "1996-07-03", AS_OF)
 W_EVT = BatchWindow("2024-01-08", "2024-01-15", AS_OF)
 W_COHORT = BatchWindow("2024-01-01", "2024-01-05", AS_OF)
 W_JANUARY = BatchWindow("2024-01-01", "2024-02-01", AS_OF)
+# lifetime value reports users whose latest revenue falls in the window, so it
+# is checked on the last year of the order history
+W_LAST_YEAR = BatchWindow("2001-01-01", "2002-01-01", AS_OF)
 
 
 @dataclass(frozen=True)
@@ -57,7 +60,7 @@ JOBS: tuple[Job, ...] = (
     Job("inventory_expense", finance.inventory_expense, W_ORD, "expense"),
     _load("marketing_expense", W_EVT),
     Job("monthly_profit", finance.monthly_profit, W_ORD),
-    Job("customer_lifetime_value", finance.customer_lifetime_value, W_ORD),
+    Job("customer_lifetime_value", finance.customer_lifetime_value, W_LAST_YEAR),
     _load("tax_calculations", W_ORD),
     Job("payment_methods_summary", finance.payment_methods_summary, W_ORD),
     # inventory
