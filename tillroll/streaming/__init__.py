@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+Every reference job is one batch over a closed window ``[date, date_next)``;
+there are no streams, watermarks or stateful operators to re-express. Jobs
+are plain DataFrame functions, so a caller that wants micro-batches can run
+one inside ``writeStream.foreachBatch`` with a window per batch.
+"""
