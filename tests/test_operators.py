@@ -14,7 +14,7 @@ from tillroll.operators.sequence import lead_time, top1_by_count
 from tillroll.operators.sizing import MAX_ROWS_CONF, is_bounded, join_small
 from tillroll.plans import inventory
 from tillroll.plans.registry import BY_NAME
-from tillroll.sources.fixtures import fixture_tables
+from tillroll.sources.fixtures import FixtureTables, fixture_tables
 
 T = dt.datetime
 
@@ -68,10 +68,9 @@ def test_apply_changes_preserves_untouched_rows(spark):
 
 
 def _ledger(spark, window, prior=None):
-    t = fixture_tables(spark, SF_SMALL, "ledger")
+    t = FixtureTables(spark, SF_SMALL, "ledger")
     if prior is not None:
         t._resolvers["analytics.inventory_levels"] = lambda _t: prior
-        t._cache.pop("analytics.inventory_levels", None)
     return inventory.inventory_levels(t, window)
 
 

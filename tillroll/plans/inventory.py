@@ -123,7 +123,7 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     )
     warehouses = t["inventory.warehouses"].select("warehouse_id").distinct()
     products = t["product_center.products"].select("product_id").distinct()
-    starts = join_small(join_small(starts, warehouses, "warehouse_id", "left_semi"), products, "product_id", "left_semi")
+    starts = starts.join(warehouses, "warehouse_id", "left_semi").join(products, "product_id", "left_semi")
     days = starts.select(*PAIR, F.explode(F.sequence("first", w.last_day)).alias("date"))
     ledger = days.join(moves, [*PAIR, "date"], "left").join(prior, PAIR, "left")
     zero = F.lit(0).cast("decimal(38,4)")
@@ -155,7 +155,7 @@ def low_stock_alerts(t: Tables, w: BatchWindow) -> DataFrame:
         .where(F.col("alert_date") >= F.date_sub(w.today, ALERT_COOLDOWN_DAYS))
         .select("product_id", "warehouse_id")
     )
-    out = join_small(low, recent, ["product_id", "warehouse_id"], "left_anti").select(
+    out = low.join(recent, ["product_id", "warehouse_id"], "left_anti").select(
         "product_id",
         "warehouse_id",
         F.col("quantity").alias("current_quantity"),

@@ -98,7 +98,7 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
     """As written: campaigns JOIN metrics LEFT JOIN same-day orders of the
     user, grouped by (campaign, day)."""
     campaign_rows = t["marketing.campaigns"].groupBy("campaign_id").agg(F.count(F.lit(1)).alias("k"))
-    metrics = join_small(_metrics(t, w), campaign_rows, "campaign_id")
+    metrics = _metrics(t, w).join(campaign_rows, "campaign_id")
     k = F.col("k")
     per_user = metrics.groupBy("campaign_id", "date", "user_id").agg(
         F.sum(k * _kind("impression")).alias("imp"),
@@ -107,7 +107,7 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
         F.sum(k).alias("rows"),
     )
     orders = _same_day_orders(t, w)
-    joined = join_small(per_user, orders, ["user_id", "date"], "left")
+    joined = per_user.join(orders, ["user_id", "date"], "left")
     mult = F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1))
     out = joined.groupBy("campaign_id", "date").agg(
         F.sum(F.col("imp") * mult).alias("impressions"),
@@ -123,7 +123,7 @@ def campaign_performance_exact(t: Tables, w: BatchWindow) -> DataFrame:
     """Metrics summed once per (campaign, day); each same-day order of an
     active user attributed once per (campaign, day)."""
     campaigns = t["marketing.campaigns"].select("campaign_id").distinct()
-    metrics = join_small(_metrics(t, w), campaigns, "campaign_id", "left_semi")
+    metrics = _metrics(t, w).join(campaigns, "campaign_id", "left_semi")
     totals = metrics.groupBy("campaign_id", "date").agg(
         F.sum(_kind("impression")).alias("impressions"),
         F.sum(_kind("click")).alias("clicks"),
@@ -131,7 +131,7 @@ def campaign_performance_exact(t: Tables, w: BatchWindow) -> DataFrame:
     )
     users = metrics.where(F.col("user_id").isNotNull()).select("campaign_id", "date", "user_id").distinct()
     attributed = (
-        join_small(users, _same_day_orders(t, w), ["user_id", "date"])
+        users.join(_same_day_orders(t, w), ["user_id", "date"])
         .groupBy("campaign_id", "date")
         .agg(F.sum("order_ids").alias("conversions"), F.sum("order_revenue").alias("revenue"))
     )
@@ -159,14 +159,14 @@ def _source_cost(t: Tables, w: BatchWindow) -> DataFrame:
 
 
 def _acquisition(signups: DataFrame, t: Tables, w: BatchWindow, as_written: bool) -> DataFrame:
-    joined = join_small(signups, _same_day_orders(t, w), ["user_id", "date"], "left")
+    joined = signups.join(_same_day_orders(t, w), ["user_id", "date"], "left")
     mult = F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1))
     per_group = joined.groupBy("date", "source").agg(
         F.count("user_id").alias("new_users"),
         F.sum(F.coalesce(F.col("order_ids"), F.lit(0))).alias("orders"),
         F.sum(F.col("user_rows") * mult).alias("fanout"),
     )
-    with_cost = join_small(per_group, _source_cost(t, w), ["source", "date"], "left")
+    with_cost = per_group.join(_source_cost(t, w), ["source", "date"], "left")
     cost = F.col("source_cost") * F.col("fanout") if as_written else F.col("source_cost")
     out = with_cost.select(
         "date",

@@ -102,7 +102,7 @@ def _conversion_inputs(t: Tables, w: BatchWindow):
     # orders whose (user, day) had an event: each order row meets at most one
     # distinct (user, day) key, so this join cannot fan out
     converted = (
-        join_small(orders, active, ["user_id", "date"], "left_semi")
+        orders.join(active, ["user_id", "date"], "left_semi")
         .groupBy("date")
         .agg(F.count_distinct("order_id").alias("orders_completed"))
     )
@@ -128,7 +128,7 @@ def order_conversion(t: Tables, w: BatchWindow) -> DataFrame:
     order_rows = orders.where(F.col("user_id").isNotNull()).groupBy("user_id", "date").agg(
         F.count(F.lit(1)).alias("order_rows")
     )
-    weighted = join_small(ev, order_rows, ["user_id", "date"], "left").withColumn(
+    weighted = ev.join(order_rows, ["user_id", "date"], "left").withColumn(
         "mult", F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1))
     )
     counts = weighted.groupBy("date").agg(

@@ -605,8 +605,16 @@ class FixtureTables(Tables):
         return _RAW[key]
 
     def profile(self, name: str) -> "FixtureTables":
-        return FixtureTables(self.spark, self.sf_dir, name)
+        return fixture_tables(self.spark, self.sf_dir, name)
+
+
+_TABLES: dict[tuple[int, str, str], FixtureTables] = {}
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str, profile: str = "default") -> FixtureTables:
-    return FixtureTables(spark, sf_dir, profile)
+    """One registry per (session, directory, profile): views are lazy plans,
+    so jobs of one session share them (as ``spark.table`` would)."""
+    key = (id(spark), sf_dir.rstrip("/"), profile)
+    if key not in _TABLES:
+        _TABLES[key] = FixtureTables(spark, sf_dir, profile)
+    return _TABLES[key]
