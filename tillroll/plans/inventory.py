@@ -104,15 +104,21 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     are not materialised: the warehouses x products grid is a Cartesian
     product, and the ledger never builds it.
     """
-    moves = _movements(t, w)
+    warehouses = t["inventory.warehouses"].select("warehouse_id").distinct()
+    products = t["product_center.products"].select("product_id").distinct()
+
+    def in_grid(df: DataFrame) -> DataFrame:
+        return df.join(warehouses, "warehouse_id", "left_semi").join(products, "product_id", "left_semi")
+
+    moves = in_grid(_movements(t, w))
     start = w.first_day
-    prior = (
+    prior = in_grid(
         t["analytics.inventory_levels"]
         .where(F.col("date") == F.date_sub(start, 1))
         .groupBy(*PAIR)
         .agg(dsum("ending_quantity").alias("carried"))
     )
-    stocked = t["inventory.product_inventory"].select(*PAIR)
+    stocked = in_grid(t["inventory.product_inventory"].select(*PAIR))
     starts = (
         moves.groupBy(*PAIR)
         .agg(F.min("date").alias("first"))
@@ -121,19 +127,28 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
         .groupBy(*PAIR)
         .agg(F.min("first").alias("first"))
     )
-    warehouses = t["inventory.warehouses"].select("warehouse_id").distinct()
-    products = t["product_center.products"].select("product_id").distinct()
-    starts = starts.join(warehouses, "warehouse_id", "left_semi").join(products, "product_id", "left_semi")
-    days = starts.select(*PAIR, F.explode(F.sequence("first", w.last_day)).alias("date"))
-    ledger = days.join(moves, [*PAIR, "date"], "left").join(prior, PAIR, "left")
     zero = F.lit(0).cast("decimal(38,4)")
-    filled = {m: F.coalesce(F.col(m), zero) for m in MOVES}
-    net = filled["receipts"] - filled["sales"] + filled["adjustments"] + filled["transfers_in"] - filled["transfers_out"]
-    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = (
-        ledger.select("date", *PAIR, "carried", *[filled[m].alias(m) for m in MOVES], net.alias("net"))
-        .withColumn("ending", F.coalesce(F.col("carried"), zero) + F.sum("net").over(upto))
+    grid = starts.select(
+        *PAIR,
+        F.explode(F.sequence("first", w.last_day)).alias("date"),
+        *[zero.alias(m) for m in MOVES],
+        zero.alias("carried"),
     )
+    carried = prior.select(*PAIR, start.alias("date"), *[zero.alias(m) for m in MOVES], "carried")
+    movement_rows = moves.select(*PAIR, "date", *MOVES, zero.alias("carried"))
+    # grid, movement and carried rows meet in one shuffle by pair: every input
+    # holds at most one row per (pair, day) from each side, so no pair is hot,
+    # and the per-day sum and the running window then need no further exchange
+    per_day = (
+        grid.unionByName(movement_rows)
+        .unionByName(carried)
+        .repartition(*PAIR)
+        .groupBy(*PAIR, "date")
+        .agg(*[F.sum(m).alias(m) for m in (*MOVES, "carried")])
+    )
+    net = F.col("receipts") - F.col("sales") + F.col("adjustments") + F.col("transfers_in") - F.col("transfers_out")
+    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = per_day.withColumn("net", net).withColumn("ending", F.sum(F.col("carried") + F.col("net")).over(upto))
     out = running.select(
         "date",
         *PAIR,
