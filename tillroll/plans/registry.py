@@ -35,11 +35,50 @@ class Job:
     profile: str = "default"
     kind: str = "insert"  # insert | update
 
+    @property
+    def target(self) -> str:
+        """The table the job writes (INSERT INTO / UPDATE)."""
+        return TARGET[self.name.removesuffix("_exact")]
+
 
 def _load(name: str, window: BatchWindow, profile: str = "default") -> Job:
     return Job(name, loads.JOBS[name], window, profile)
 
 
+# The target table of every non-load job.
+TARGET: dict[str, str] = {
+    **{spec.name: spec.target for spec in loads.SPECS},
+    "order_shipping": "logistics.shipments",
+    "daily_order_summary": "analytics.daily_order_summary",
+    "user_order_stats": "analytics.user_order_stats",
+    "order_conversion": "analytics.order_conversion",
+    "update_order_status": "order_center.orders",
+    "revenue_recognition": "finance.revenue",
+    "inventory_expense": "finance.expenses",
+    "monthly_profit": "finance.profit_summary",
+    "customer_lifetime_value": "analytics.customer_ltv",
+    "payment_methods_summary": "analytics.payment_method_summary",
+    "inventory_levels": "analytics.inventory_levels",
+    "low_stock_alerts": "inventory.low_stock_alerts",
+    "update_inventory_after_order": "inventory.product_inventory",
+    "email_metrics": "analytics.email_performance",
+    "campaign_performance": "analytics.campaign_performance",
+    "user_acquisition": "analytics.user_acquisition",
+    "update_campaign_status": "marketing.campaigns",
+    "product_price_history": "product_center.price_history",
+    "product_sales": "analytics.product_sales",
+    "category_performance": "analytics.category_performance",
+    "update_product_rating": "product_center.products",
+    "user_activity": "analytics.user_activity_summary",
+    "user_retention": "analytics.user_retention",
+    "user_segments": "marketing.user_segments",
+    "user_deletion": "user_center.registered_users",
+}
+
+# jobs that read the table they write (the sink cuts lineage first)
+READS_OWN_TARGET = {"low_stock_alerts", "inventory_levels"}
+
+
 JOBS: tuple[Job, ...] = (
     # orders
     _load("order_creation", W_ORD),

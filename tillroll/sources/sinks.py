@@ -7,11 +7,15 @@ it. A job that reads its own target (alerts, the ledger) first checkpoints
 its result into ``spark.checkpoint.dir`` so the write never overwrites the
 files it is reading.
 
-``SnapshotTable``: UPDATE jobs return a whole new table. It is published as a
-new version directory, never over the version it was computed from, and a
-small log records which batch produced which version. Publishing the same
-batch twice is refused, which makes the non-idempotent stock deduction safe
-to rerun.
+``rewrite_table``: UPDATE jobs return a whole new table. It is checkpointed
+into the shared checkpoint folder (cutting lineage to the files it was read
+from) and written back over the same day partitions; a small log records the
+applied batches, and applying the same batch twice is refused, which makes
+the non-idempotent stock deduction safe to rerun.
+
+``SnapshotTable``: the alternative for pure state tables: each new table is
+published as a new version directory, never over the version it was
+computed from, with the same once-per-batch log.
 """
 
 from __future__ import annotations
@@ -41,6 +45,33 @@ def write_day(df: DataFrame, path: str, w: BatchWindow, reads_own_target: bool =
     )
 
 
+def _applied(spark: SparkSession, path: str) -> set[str]:
+    try:
+        return {r["batch"] for r in spark.read.parquet(f"{path}/_applied").select("batch").collect()}
+    except AnalysisException:
+        return set()
+
+
+def rewrite_table(df: DataFrame, path: str, batch: str) -> bool:
+    """UPDATE sink: replace the table at ``path`` by ``df`` (the job's whole
+    new table), at most once per ``batch``. The result is checkpointed into
+    ``spark.checkpoint.dir`` before the write, so the files it was computed
+    from can be replaced. Returns False if ``batch`` was already applied."""
+    spark = df.sparkSession
+    if batch in _applied(spark, path):
+        return False
+    ensure_checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    writer = out.write.mode("overwrite")
+    if BATCH_DAY in out.columns:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_DAY)
+    writer.parquet(path)
+    spark.createDataFrame(
+        [(batch, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], "batch string, applied_at timestamp_ntz"
+    ).write.mode("append").parquet(f"{path}/_applied")
+    return True
+
+
 def read_days(spark: SparkSession, path: str, w: BatchWindow | None = None) -> DataFrame:
     df = spark.read.parquet(path)
     if w is not None:

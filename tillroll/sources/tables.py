@@ -30,6 +30,13 @@ class Tables:
         """Resolve every name through the session catalog."""
         return cls(spark, fallback=spark.table)
 
+    @classmethod
+    def warehouse(cls, spark: SparkSession, root: str) -> "Tables":
+        """Resolve ``schema.table`` to the Parquet directory ``root/schema.table``
+        (the layout ``plans.run.run_job`` writes)."""
+        base = root.rstrip("/")
+        return cls(spark, fallback=lambda name: spark.read.parquet(f"{base}/{name}"))
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in self._resolvers:
