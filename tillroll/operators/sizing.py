@@ -7,6 +7,10 @@ the candidate side with a bounded ``limit(n + 1).count()`` and broadcasts it
 only when the probe proves at most ``n`` rows. Otherwise it falls back to a
 plain join, where AQE re-plans at runtime and splits skewed partitions.
 
+The cap is a row count derived from a byte budget and the side's schema
+width (``tillroll.broadcast.maxBytes``, default 256 MB, and at most
+``tillroll.broadcast.maxRows``), so what is broadcast has a proven size bound.
+
 A broadcast hash join never shuffles the big side, so a hot key on that side
 (one order with a third of all items) costs nothing extra.
 """
@@ -16,16 +20,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: session key for the broadcast row cap, and its default.
+# Session keys for the broadcast caps, and their defaults.
 MAX_ROWS_CONF = "tillroll.broadcast.maxRows"
 DEFAULT_MAX_ROWS = 2_000_000
+MAX_BYTES_CONF = "tillroll.broadcast.maxBytes"
+DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+
+# Bytes per value assumed when sizing a row (strings and
+# nested values are taken as wide; the row also pays a fixed header).
+_WIDTH = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4}
+_WIDE = 64
+_ROW_HEADER = 16
 
 _BUILD_RIGHT = {"inner", "left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti", "cross"}
 
 
+def row_width(df: DataFrame) -> int:
+    """Upper-end estimate of one row's in-memory size, from the schema."""
+    total = _ROW_HEADER
+    for field in df.schema.fields:
+        name = field.dataType.simpleString()
+        if name in _WIDTH:
+            total += _WIDTH[name]
+        elif name in ("bigint", "double", "timestamp", "timestamp_ntz") or name.startswith("decimal"):
+            total += 8 if not name.startswith("decimal") or int(name[8:-1].split(",")[0]) <= 18 else 16
+        else:
+            total += _WIDE
+    return total
+
+
 def broadcast_max_rows(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get(MAX_ROWS_CONF, None)
-    return DEFAULT_MAX_ROWS if value is None else int(value)
+    """Rows a broadcast side may hold: the row cap, lowered so that rows x
+    estimated width stays within the byte budget."""
+    conf = df.sparkSession.conf
+    rows = int(conf.get(MAX_ROWS_CONF, None) or DEFAULT_MAX_ROWS)
+    budget = int(conf.get(MAX_BYTES_CONF, None) or DEFAULT_MAX_BYTES)
+    return min(rows, budget // row_width(df))
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
@@ -43,7 +73,7 @@ def join_small(
     max_rows: int | None = None,
 ) -> DataFrame:
     """``big.join(small, on, how)``, broadcasting ``small`` if it is proven small."""
-    limit = broadcast_max_rows(big) if max_rows is None else max_rows
+    limit = broadcast_max_rows(small) if max_rows is None else max_rows
     if how.lower() in _BUILD_RIGHT and is_bounded(small, limit):
         small = F.broadcast(small)
     return big.join(small, on, how)

@@ -104,8 +104,9 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     are not materialised: the warehouses x products grid is a Cartesian
     product, and the ledger never builds it.
     """
-    warehouses = t["inventory.warehouses"].select("warehouse_id").distinct()
-    products = t["product_center.products"].select("product_id").distinct()
+    # semi-joins ignore duplicate keys, so the dimension ids need no distinct
+    warehouses = t["inventory.warehouses"].select("warehouse_id")
+    products = t["product_center.products"].select("product_id")
 
     def in_grid(df: DataFrame) -> DataFrame:
         return df.join(warehouses, "warehouse_id", "left_semi").join(products, "product_id", "left_semi")

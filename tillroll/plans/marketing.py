@@ -122,7 +122,7 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
 def campaign_performance_exact(t: Tables, w: BatchWindow) -> DataFrame:
     """Metrics summed once per (campaign, day); each same-day order of an
     active user attributed once per (campaign, day)."""
-    campaigns = t["marketing.campaigns"].select("campaign_id").distinct()
+    campaigns = t["marketing.campaigns"].select("campaign_id")
     metrics = _metrics(t, w).join(campaigns, "campaign_id", "left_semi")
     totals = metrics.groupBy("campaign_id", "date").agg(
         F.sum(_kind("impression")).alias("impressions"),

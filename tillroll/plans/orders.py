@@ -98,9 +98,9 @@ def _conversion_inputs(t: Tables, w: BatchWindow):
     orders = t["order_center.orders"].where(in_days("order_time", w)).select(
         "user_id", day("order_time").alias("date"), "order_id"
     )
-    active = ev.where(F.col("user_id").isNotNull()).select("user_id", "date").distinct()
-    # orders whose (user, day) had an event: each order row meets at most one
-    # distinct (user, day) key, so this join cannot fan out
+    active = ev.where(F.col("user_id").isNotNull()).select("user_id", "date")
+    # orders whose (user, day) had an event: a semi-join, so an order is kept
+    # once however many events its (user, day) had
     converted = (
         orders.join(active, ["user_id", "date"], "left_semi")
         .groupBy("date")
