@@ -30,10 +30,12 @@ def test_lead_time_equals_plain_lead_with_a_hot_key(spark):
     data.append((1000, 1, None))  # a NULL instant
     df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz")
     plain = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")))
-    bucketed = lead_time(df, "k", "ts", "nxt", bucket_seconds=3600)
+    bucketed = lead_time(df, "k", "ts", "nxt", bucket_hours=1)
     want = sorted(tuple(r) for r in plain.select("id", "nxt").collect())
     got = sorted(tuple(r) for r in bucketed.select("id", "nxt").collect())
     assert got == want
+    wide = lead_time(df, "k", "ts", "nxt", bucket_hours=7)
+    assert sorted(tuple(r) for r in wide.select("id", "nxt").collect()) == want
 
 
 def test_join_small_paths_agree(spark):

@@ -18,8 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: default time-bucket width for lead_time, in seconds.
-DEFAULT_BUCKET_SECONDS = 3600
+# Fixed value: default time-bucket width for lead_time, in hours.
+DEFAULT_BUCKET_HOURS = 1
 
 
 def lead_time(
@@ -27,12 +27,14 @@ def lead_time(
     key: str,
     ts: str,
     out: str,
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    bucket_hours: int = DEFAULT_BUCKET_HOURS,
 ) -> DataFrame:
     bucket, has_next = "__bucket", "__has_next"
     first, nxt, bkey, bbucket = "__bucket_first", "__next_first", "__bridge_key", "__bridge_bucket"
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    b = df.withColumn(bucket, F.floor(micros / F.lit(bucket_seconds * 1_000_000)))
+    # wall-clock hour index (calendar day x 24 + hour): no time-zone
+    # conversion for TIMESTAMP_NTZ, and monotonic in the instant
+    hours = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(ts)
+    b = df.withColumn(bucket, F.floor(hours / F.lit(bucket_hours)))
     in_bucket = Window.partitionBy(key, bucket).orderBy(F.col(ts).asc_nulls_first())
     within = b.withColumn(out, F.lead(ts).over(in_bucket)).withColumn(has_next, F.lead(F.lit(True)).over(in_bucket))
     # one row per (key, bucket): its first instant, and the next bucket's
