@@ -21,6 +21,13 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # partitions sized for memory: scan splits and post-shuffle partitions
+    # of ~256 MB; AQE coalesces the shuffle partitions down from the
+    # session's spark.sql.shuffle.partitions (set it to a few thousand on a
+    # large cluster) and splits skewed ones
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
 }
 
 
@@ -41,13 +48,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared ``spark.checkpoint.dir``; a scratch folder is set
-    only when the session has none (local tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The cluster's shared ``spark.checkpoint.dir``. A scratch folder is set
+    only for a local-mode session that has none (tests); on a cluster the
+    setting must come from the platform, since a machine-local folder would
+    not survive the loss of the executor that wrote it."""
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running jobs that checkpoint")
     scratch = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    spark.sparkContext.setCheckpointDir(scratch)
+    sc.setCheckpointDir(scratch)
     return scratch
