@@ -286,3 +286,127 @@ def test_monthly_profit_zero_revenue_margin_is_null(tables):
     )
     (r,) = finance.monthly_profit(t, W).collect()
     assert (r["revenue"], r["expenses"], r["profit"], r["profit_margin"]) == (0.0, 5.0, -5.0, None)
+
+
+ITEMS = "order_id bigint, product_id bigint, quantity double, unit_price double, subtotal double"
+
+
+def test_product_sales_rating_over_all_reviews_or_null(tables):
+    t = tables(
+        order_center__orders=(ORDERS, [(1, 1, T(2024, 1, 8, 1), 9.0, "completed", "x")]),
+        order_center__order_items=(ITEMS, [(1, 10, 2.0, 3.0, 6.0), (1, 10, 1.0, 3.0, 3.0), (1, 11, 1.0, 5.0, 5.0)]),
+        product_center__product_reviews=(
+            "product_id bigint, rating int, review_time timestamp_ntz",
+            [(10, 5, T(2020, 1, 1)), (10, 2, T(2024, 1, 8))],
+        ),
+    )
+    from tillroll.plans import products
+
+    got = {r.product_id: r for r in products.product_sales(t, W).collect()}
+    assert (got[10].units_sold, got[10].revenue, got[10].avg_rating) == (3.0, 9.0, 3.5)
+    assert got[11].avg_rating is None
+
+
+def test_category_performance_item_weighted_mean(tables):
+    t = tables(
+        order_center__orders=(ORDERS, [(1, 1, T(2024, 1, 8, 1), 0.0, "completed", "x")]),
+        order_center__order_items=(ITEMS, [(1, 10, 1.0, 1.0, 1.0), (1, 10, 1.0, 1.0, 1.0), (1, 11, 1.0, 4.0, 4.0)]),
+        product_center__products=("product_id bigint, category string", [(10, "a"), (11, "a")]),
+    )
+    from tillroll.plans import products
+
+    (r,) = products.category_performance(t, W).collect()
+    assert (r.total_sales, r.product_count, r.avg_price) == (6.0, 2, 2.0)
+
+
+def test_retention_keeps_logins_before_signup(tables):
+    t = tables(
+        user_center__registered_users=(
+            "user_id bigint, register_time timestamp_ntz",
+            [(1, T(2024, 1, 8, 10)), (2, T(2024, 1, 8, 11)), (3, T(2024, 1, 9, 1))],
+        ),
+        user_center__login_history=(
+            "user_id bigint, login_time timestamp_ntz",
+            [(1, T(2024, 1, 7, 23)), (1, T(2024, 1, 10)), (1, T(2024, 1, 10, 5)), (2, T(2024, 1, 10))],
+        ),
+    )
+    got = {(r.cohort_date, r.days_since_signup): (r.user_count, r.retention_rate) for r in users.user_retention(t, W).collect()}
+    assert got == {(D(2024, 1, 8), -1): (1, 0.5), (D(2024, 1, 8), 2): (2, 1.0)}
+
+
+def test_lifetime_value_having_boundary(tables):
+    t = tables(
+        finance__revenue=(
+            "order_id bigint, user_id bigint, amount double, revenue_date timestamp_ntz",
+            [
+                (1, 1, 10.0, T(2023, 5, 1)),
+                (2, 1, 20.0, T(2024, 1, 8, 3)),
+                (3, 2, 5.0, T(2024, 1, 8, 4)),
+                (4, 2, 5.0, T(2024, 1, 9)),  # later purchase: user 2's max is outside
+                (2, 1, 20.0, T(2024, 1, 8, 5)),  # second payment of order 2
+            ],
+        )
+    )
+    (r,) = finance.customer_lifetime_value(t, W).collect()
+    assert (r.user_id, r.total_revenue, r.purchase_count) == (1, 50.0, 2)
+    assert (r.first_purchase_date, r.last_purchase_date) == (T(2023, 5, 1), T(2024, 1, 8, 5))
+
+
+def test_exact_price_history_closes_the_previous_batch(tables):
+    from tillroll.plans import products
+
+    t = tables(
+        raw_data__price_change_logs=(
+            "product_id bigint, new_price double, change_time timestamp_ntz, change_reason string",
+            [(1, 10.0, T(2024, 1, 7, 12), "a"), (1, 11.0, T(2024, 1, 8, 1), "b"), (1, 12.0, T(2024, 1, 8, 2), "c"),
+             (2, 5.0, T(2024, 1, 6), "d"), (1, 13.0, T(2024, 1, 9, 5), "future")],
+        )
+    )
+    as_written = {(r.price, r.effective_to) for r in products.product_price_history(t, W).collect()}
+    assert as_written == {(11.0, T(2024, 1, 8, 2)), (12.0, None)}
+    exact = {(r.price, r.effective_to) for r in products.product_price_history_exact(t, W).collect()}
+    assert exact == {(10.0, T(2024, 1, 8, 1)), (11.0, T(2024, 1, 8, 2)), (12.0, None)}
+
+
+def test_user_acquisition_reweighting_matches_brute_force(tables):
+    users_rows = [(1, T(2024, 1, 8, 1), "web"), (2, T(2024, 1, 8, 2), "web"), (3, T(2024, 1, 8, 3), "ads")]
+    order_rows = [(10, 1, T(2024, 1, 8, 5), 1.0), (11, 1, T(2024, 1, 8, 6), 1.0), (12, 3, T(2024, 1, 9), 1.0)]
+    metric_rows = [("web", T(2024, 1, 8, 1), 2.5), ("web", T(2024, 1, 8, 9), 0.25), ("ads", T(2024, 1, 7), 9.0)]
+    t = tables(
+        user_center__registered_users=("user_id bigint, register_time timestamp_ntz, referral_source string", users_rows),
+        order_center__orders=("order_id bigint, user_id bigint, order_time timestamp_ntz, total_amount double", order_rows),
+        raw_data__marketing_metrics=("source string, event_date timestamp_ntz, cost double", metric_rows),
+    )
+    got = {r.source: r for r in marketing.user_acquisition(t, W).collect()}
+    for source in ("web", "ads"):
+        us = [u for u in users_rows if u[2] == source]
+        rows = []
+        for u in us:
+            os_ = [o for o in order_rows if o[1] == u[0] and o[2].date() == u[1].date()] or [None]
+            ms = [m for m in metric_rows if m[0] == source and m[1].date() == u[1].date()] or [None]
+            rows += [(u, o, m) for o in os_ for m in ms]
+        n = len({u[0] for u in us})
+        conv = len({o[0] for _u, o, _m in rows if o}) / n
+        costs = [m[2] for _u, _o, m in rows if m]
+        cost = (sum(costs) / n) if costs else None
+        r = got[source]
+        assert r.new_users == n and abs(r.conversion_rate - conv) < 1e-12
+        assert (r.acquisition_cost is None and cost is None) or abs(r.acquisition_cost - cost) < 1e-12
+    exact = {r.source: r for r in marketing.user_acquisition_exact(t, W).collect()}
+    assert exact["web"].acquisition_cost == 2.75 / 2 and exact["ads"].acquisition_cost is None
+
+
+def test_stock_update_deducts_completed_orders_only(tables):
+    t = tables(
+        order_center__orders=(
+            "order_id bigint, order_time timestamp_ntz, status string, warehouse_id bigint",
+            [(1, T(2024, 1, 8, 1), "completed", 7), (2, T(2024, 1, 8, 2), "pending", 7), (3, T(2024, 1, 8), "completed", 8)],
+        ),
+        order_center__order_items=(ITEMS, [(1, 5, 2.0, 1.0, 2.0), (1, 5, 1.0, 1.0, 1.0), (2, 5, 4.0, 1.0, 4.0), (3, 6, 1.0, 1.0, 1.0)]),
+        inventory__product_inventory=(
+            "product_id bigint, warehouse_id bigint, quantity double, last_updated timestamp_ntz",
+            [(5, 7, 10.0, T(2020, 1, 1)), (5, 8, 10.0, T(2020, 1, 1)), (6, 7, 1.0, T(2020, 1, 1))],
+        ),
+    )
+    got = rows(inventory.update_inventory_after_order(t, W), "product_id", "warehouse_id", "quantity", "last_updated")
+    assert got == [(5, 7, 7.0, T(2024, 1, 30)), (5, 8, 10.0, T(2020, 1, 1)), (6, 7, 1.0, T(2020, 1, 1))]
