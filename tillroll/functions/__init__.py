@@ -1,4 +1,4 @@
-from tillroll.functions.scalars import as_double, count_if_eq, day, dsum, exact, ratio
+from tillroll.functions.scalars import as_double, count_if_eq, day, dsum, exact, ratio, unscale
 from tillroll.functions.window import BatchWindow, in_days, in_window, ts_literal
 
 __all__ = [
@@ -12,4 +12,5 @@ __all__ = [
     "dsum",
     "exact",
     "ratio",
+    "unscale",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, as_double, dsum, in_window, ratio
+from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale
 from tillroll.operators.sizing import join_small
 from tillroll.plans.loads import JOBS as _LOADS
 from tillroll.sources.schemas import conform
@@ -71,7 +71,7 @@ def inventory_expense(t: Tables, w: BatchWindow) -> DataFrame:
         .select(
             F.col("receipt_id").cast("string").alias("expense_id"),
             F.lit("inventory").alias("expense_type"),
-            as_double("amount").alias("amount"),
+            unscale("amount").alias("amount"),
             F.col("receipt_date").alias("expense_date"),
             F.col("supplier_id").cast("string").alias("reference_id"),
         )
@@ -94,15 +94,15 @@ def monthly_profit(t: Tables, w: BatchWindow) -> DataFrame:
         .groupBy(F.month("expense_date").alias("month"), F.year("expense_date").alias("year"))
         .agg(dsum("amount").alias("total_expenses"))
     )
-    expenses = F.coalesce(F.col("total_expenses"), F.lit(0).cast("decimal(38,4)"))
+    expenses = F.coalesce(F.col("total_expenses"), F.lit(0).cast("long"))
     profit = F.col("revenue") - expenses
     out = rev.join(exp, ["month", "year"], "left").select(
         "month",
         "year",
-        as_double("revenue").alias("revenue"),
-        as_double(expenses).alias("expenses"),
-        as_double(profit).alias("profit"),
-        (ratio(profit, "revenue") * 100).alias("profit_margin"),
+        unscale("revenue").alias("revenue"),
+        unscale(expenses).alias("expenses"),
+        unscale(profit).alias("profit"),
+        (ratio(unscale(profit), unscale("revenue")) * 100).alias("profit_margin"),
     )
     return conform(out, "finance.profit_summary")
 
@@ -125,7 +125,7 @@ def customer_lifetime_value(t: Tables, w: BatchWindow) -> DataFrame:
         .where(in_window("last_purchase_date", w))
         .select(
             "user_id",
-            as_double("total").alias("total_revenue"),
+            unscale("total").alias("total_revenue"),
             "first_purchase_date",
             "last_purchase_date",
             "purchase_count",
@@ -151,8 +151,8 @@ def payment_methods_summary(t: Tables, w: BatchWindow) -> DataFrame:
         .select(
             "payment_method",
             "transaction_count",
-            as_double("total").alias("total_amount"),
-            ratio("total", "n_amount").alias("average_amount"),
+            unscale("total").alias("total_amount"),
+            ratio(unscale("total"), "n_amount").alias("average_amount"),
             "month",
             "year",
         )

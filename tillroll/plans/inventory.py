@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, as_double, day, dsum, exact, in_window
+from tillroll.functions import BatchWindow, day, dsum, exact, in_window, unscale
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
@@ -128,7 +128,7 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
         .groupBy(*PAIR)
         .agg(F.min("first").alias("first"))
     )
-    zero = F.lit(0).cast("decimal(38,4)")
+    zero = F.lit(0).cast("long")
     grid = starts.select(
         *PAIR,
         F.explode(F.sequence("first", w.last_day)).alias("date"),
@@ -153,9 +153,9 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     out = running.select(
         "date",
         *PAIR,
-        as_double(F.col("ending") - F.col("net")).alias("beginning_quantity"),
-        *[as_double(m).alias(m) for m in MOVES],
-        as_double("ending").alias("ending_quantity"),
+        unscale(F.col("ending") - F.col("net")).alias("beginning_quantity"),
+        *[unscale(m).alias(m) for m in MOVES],
+        unscale("ending").alias("ending_quantity"),
     )
     return conform(out, "analytics.inventory_levels")
 
@@ -200,5 +200,5 @@ def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
         t["inventory.product_inventory"],
         sold,
         ["product_id", "warehouse_id"],
-        {"quantity": as_double(exact("quantity") - F.col("sold")), "last_updated": w.now},
+        {"quantity": unscale(exact("quantity") - F.col("sold")), "last_updated": w.now},
     )

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, as_double, day, dsum, exact, in_days, in_window, ratio
+from tillroll.functions import BatchWindow, day, dsum, exact, in_days, in_window, ratio, unscale
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
@@ -74,7 +74,7 @@ def _metrics(t: Tables, w: BatchWindow) -> DataFrame:
 
 def _performance(out: DataFrame) -> DataFrame:
     spend = F.col("spend")
-    roi = F.when(spend > 0, ratio("revenue", spend)).otherwise(F.lit(0.0))
+    roi = F.when(spend > 0, ratio(unscale("revenue"), unscale(spend))).otherwise(F.lit(0.0))
     return conform(
         out.select(
             "campaign_id",
@@ -82,8 +82,8 @@ def _performance(out: DataFrame) -> DataFrame:
             "impressions",
             "clicks",
             F.coalesce(F.col("conversions"), F.lit(0)).alias("conversions"),
-            as_double(spend).alias("spend"),
-            as_double("revenue").alias("revenue"),
+            unscale(spend).alias("spend"),
+            unscale("revenue").alias("revenue"),
             roi.alias("roi"),
         ),
         "analytics.campaign_performance",
@@ -173,7 +173,7 @@ def _acquisition(signups: DataFrame, t: Tables, w: BatchWindow, as_written: bool
         "source",
         "new_users",
         ratio("orders", "new_users").alias("conversion_rate"),
-        ratio(cost, "new_users").alias("acquisition_cost"),
+        ratio(unscale(cost), "new_users").alias("acquisition_cost"),
     )
     return conform(out, "analytics.user_acquisition")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, as_double, day, dsum, in_days, in_window, ratio
+from tillroll.functions import BatchWindow, day, dsum, in_days, in_window, ratio, unscale
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import top1_by_count
 from tillroll.operators.sizing import join_small
@@ -49,8 +49,8 @@ def daily_order_summary(t: Tables, w: BatchWindow) -> DataFrame:
     out = totals.join(dist, "date").select(
         "date",
         "total_orders",
-        as_double("amount").alias("total_amount"),
-        ratio("amount", "n_amount").alias("avg_order_value"),
+        unscale("amount").alias("total_amount"),
+        ratio(unscale("amount"), "n_amount").alias("avg_order_value"),
         "payment_method_distribution",
     )
     return conform(out, "analytics.daily_order_summary")
@@ -83,7 +83,7 @@ def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
     out = stats.join(fav, "user_id", "left").select(
         "user_id",
         "total_orders",
-        as_double("spent").alias("total_spent"),
+        unscale("spent").alias("total_spent"),
         "first_order_date",
         "last_order_date",
         "favorite_category",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, as_double, day, dsum, in_window, ratio
+from tillroll.functions import BatchWindow, day, dsum, in_window, ratio, unscale
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import lead_time
 from tillroll.operators.sizing import join_small
@@ -64,8 +64,8 @@ def product_sales(t: Tables, w: BatchWindow) -> DataFrame:
     out = sales.join(ratings, "product_id", "left").select(
         "date",
         "product_id",
-        as_double("units").alias("units_sold"),
-        as_double("revenue").alias("revenue"),
+        unscale("units").alias("units_sold"),
+        unscale("revenue").alias("revenue"),
         ratio("rating_sum", "rating_n").alias("avg_rating"),
     )
     return conform(out, "analytics.product_sales")
@@ -93,9 +93,9 @@ def category_performance(t: Tables, w: BatchWindow) -> DataFrame:
         .select(
             "date",
             "category",
-            as_double("sales").alias("total_sales"),
+            unscale("sales").alias("total_sales"),
             "product_count",
-            ratio("price_sum", "price_n").alias("avg_price"),
+            ratio(unscale("price_sum"), "price_n").alias("avg_price"),
         )
     )
     return conform(out, "analytics.category_performance")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, in_days, in_window, ratio
+from tillroll.functions import BatchWindow, day, dsum, in_days, in_window, ratio, unscale
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
@@ -26,7 +26,7 @@ def user_activity(t: Tables, w: BatchWindow) -> DataFrame:
     )
     out = sessions.groupBy("user_id", day("login_time").alias("date")).agg(
         F.count(F.lit(1)).alias("login_count"),
-        ratio(dsum("session_duration"), F.lit(60)).alias("active_minutes"),
+        ratio(unscale(dsum("session_duration")), F.lit(60)).alias("active_minutes"),
         usage.alias("feature_usage"),
     )
     return conform(out, "analytics.user_activity_summary")
