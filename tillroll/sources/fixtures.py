@@ -17,6 +17,7 @@ Profiles swap a few views for jobs that need other shapes:
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -583,7 +584,9 @@ def _all_expenses(t: "FixtureTables") -> DataFrame:
     return out
 
 
-_RAW: dict[tuple[int, str], DataFrame] = {}
+# per-session caches, dropped with the session (weak keys), so a later
+# session never sees plans bound to a stopped one
+_RAW: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 class FixtureTables(Tables):
@@ -599,22 +602,24 @@ class FixtureTables(Tables):
     def raw(self, name: str) -> DataFrame:
         # one DataFrame per (session, file): a read lists the file and reads
         # its footer on the driver, so repeated views reuse it
-        key = (id(self.spark), f"{self.sf_dir}/{name}.parquet")
-        if key not in _RAW:
-            _RAW[key] = self.spark.read.parquet(key[1])
-        return _RAW[key]
+        path = f"{self.sf_dir}/{name}.parquet"
+        reads = _RAW.setdefault(self.spark, {})
+        if path not in reads:
+            reads[path] = self.spark.read.parquet(path)
+        return reads[path]
 
     def profile(self, name: str) -> "FixtureTables":
         return fixture_tables(self.spark, self.sf_dir, name)
 
 
-_TABLES: dict[tuple[int, str, str], FixtureTables] = {}
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[tuple[str, str], FixtureTables]]" = weakref.WeakKeyDictionary()
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str, profile: str = "default") -> FixtureTables:
     """One registry per (session, directory, profile): views are lazy plans,
     so jobs of one session share them (as ``spark.table`` would)."""
-    key = (id(spark), sf_dir.rstrip("/"), profile)
-    if key not in _TABLES:
-        _TABLES[key] = FixtureTables(spark, sf_dir, profile)
-    return _TABLES[key]
+    key = (sf_dir.rstrip("/"), profile)
+    registries = _TABLES.setdefault(spark, {})
+    if key not in registries:
+        registries[key] = FixtureTables(spark, sf_dir, profile)
+    return registries[key]
