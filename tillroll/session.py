@@ -18,6 +18,9 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join partition even when the aggregation after the join
+    # then needs its own exchange (otherwise AQE keeps the hot task whole)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
