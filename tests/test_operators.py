@@ -122,3 +122,45 @@ def test_broadcast_cap_can_force_shuffle_joins(spark):
     finally:
         spark.conf.unset(MAX_ROWS_CONF)
     assert got == want
+
+
+def test_hot_key_on_the_shuffle_path_matches_brute_force(spark, tables):
+    """One receipt holds most items; broadcast disabled and AQE told to treat
+    tiny partitions as skewed, so the split-join path really runs."""
+    from tillroll.plans import finance
+
+    rnd = random.Random(3)
+    items = [(0, float(rnd.randint(1, 5)), rnd.randint(1, 999) / 100.0) for _ in range(3000)]
+    items += [(r, float(rnd.randint(1, 5)), rnd.randint(1, 999) / 100.0) for r in range(1, 200) for _ in range(3)]
+    receipts = [(r, T(2024, 1, 8, r % 24), 100 + r % 7) for r in range(200)]
+    t = tables(
+        inventory__receipt_items=("receipt_id bigint, quantity double, unit_cost double", items),
+        inventory__inventory_receipts=("receipt_id bigint, receipt_date timestamp_ntz, supplier_id bigint", receipts),
+    )
+    w = BatchWindow("2024-01-08", "2024-01-09")
+    want = {}
+    for r, q, c in items:
+        want[str(r)] = want.get(str(r), 0) + round(q * c * 10000)
+    conf = {
+        MAX_ROWS_CONF: "0",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = finance.inventory_expense(t, w)
+        got = {r.expense_id: r.amount for r in df.collect()}
+        final_plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "skew=true" in final_plan, final_plan
+    assert got.keys() == want.keys()
+    assert all(got[k] == want[k] / 10000 for k in want)
+    broadcast = {r.expense_id: r.amount for r in finance.inventory_expense(t, w).collect()}
+    assert broadcast == got
