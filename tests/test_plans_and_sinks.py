@@ -108,6 +108,13 @@ def test_run_jobs_into_a_warehouse(spark):
     orders = spark.read.parquet(f"{root}/order_center.orders")
     assert orders.count() == BY_NAME["order_creation"].fn(fx, both).count()
     wh2 = Tables.warehouse(spark, root)
+    # orders are partitioned by the day of order_time, so a windowed read
+    # lists and opens only the window's days
+    assert "order_time__day" in os.listdir(f"{root}/order_center.orders")[0] or any(
+        d.startswith("order_time__day=") for d in os.listdir(f"{root}/order_center.orders")
+    )
+    plan = _plan(BY_NAME["daily_order_summary"].fn(wh2, both))
+    assert "PartitionFilters: [isnotnull(order_time__day" in plan, plan
     summary_path = run_job("daily_order_summary", wh2, both, root)
     assert spark.read.parquet(summary_path).count() == BY_NAME["daily_order_summary"].fn(fx, both).count() > 2
     update = BatchWindow("1996-01-01", "1997-01-01")

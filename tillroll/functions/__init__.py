@@ -1,11 +1,14 @@
 from tillroll.functions.scalars import as_double, count_if_eq, day, dsum, exact, ratio, unscale
-from tillroll.functions.window import BatchWindow, in_days, in_window, ts_literal
+from tillroll.functions.window import BatchWindow, in_days, in_window, since, ts_literal, windowed, windowed_days
 
 __all__ = [
     "BatchWindow",
     "in_days",
     "in_window",
+    "since",
     "ts_literal",
+    "windowed",
+    "windowed_days",
     "as_double",
     "count_if_eq",
     "day",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -53,6 +53,12 @@ class BatchWindow:
         # last calendar day that has an instant inside the window
         return F.expr(f"TIMESTAMP_NTZ'{_ts_text(self.date_next)}' - INTERVAL 1 MICROSECOND").cast("date")
 
+    @staticmethod
+    def days_before(w: "BatchWindow", n: int) -> "BatchWindow":
+        """The ``n`` whole calendar days before ``w`` starts."""
+        start = dt.date.fromisoformat(w.date[:10])
+        return BatchWindow((start - dt.timedelta(days=n)).isoformat(), start.isoformat(), w.as_of)
+
     @property
     def now(self) -> Column:
         return ts_literal(self.as_of) if self.as_of else F.localtimestamp()
@@ -62,6 +68,43 @@ class BatchWindow:
         return self.now.cast("date")
 
 
+# Fixed value: a table partitioned by the calendar day of one of its time
+# columns names the partition column after it: <column>__day.
+DAY_SUFFIX = "__day"
+
+
+def day_partition(col: str) -> str:
+    return f"{col}{DAY_SUFFIX}"
+
+
+def _prune(df: DataFrame, col: str, lo: Column, hi: Column) -> Column | None:
+    part = day_partition(col)
+    return (F.col(part) >= lo) & (F.col(part) <= hi) if part in df.columns else None
+
+
+def windowed(df: DataFrame, col: str, w: BatchWindow) -> DataFrame:
+    """``df`` restricted to ``col`` in the window. If ``df`` is partitioned
+    by the day of ``col``, the matching partition bounds are added, so whole
+    days outside the window are never listed or opened (PartitionFilters)."""
+    cond = in_window(col, w)
+    extra = _prune(df, col, w.first_day, w.last_day)
+    return df.where(cond if extra is None else cond & extra)
+
+
+def windowed_days(df: DataFrame, col: str, w: BatchWindow) -> DataFrame:
+    """``df`` restricted to the calendar days the window touches."""
+    cond = in_days(col, w)
+    extra = _prune(df, col, w.first_day, w.last_day)
+    return df.where(cond if extra is None else cond & extra)
+
+
+def since(df: DataFrame, col: str, first: Column) -> DataFrame:
+    """``df`` where ``col >= first`` (a day), pruned by day partition."""
+    cond = F.col(col) >= first
+    part = day_partition(col)
+    return df.where(cond & (F.col(part) >= first) if part in df.columns else cond)
+
+
 def in_days(col: str | Column, w: BatchWindow) -> Column:
     """``col`` falls on a calendar day that the window touches (for joins
     on ``DATE(col) = DATE(windowed column)``)."""

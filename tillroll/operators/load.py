@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.window import BatchWindow, in_window
+from tillroll.functions.window import BatchWindow, windowed
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
 
@@ -43,7 +43,7 @@ def _resolve(src: ColumnSource, w: BatchWindow) -> Column:
 
 
 def load(spec: LoadSpec, tables: Tables, w: BatchWindow) -> DataFrame:
-    df = tables[spec.source].where(in_window(spec.time_col, w))
+    df = windowed(tables[spec.source], spec.time_col, w)
     if spec.where is not None:
         df = df.where(spec.where())
     out = df.select(*[_resolve(src, w).alias(name) for name, src in spec.columns])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale
+from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale, windowed
 from tillroll.operators.sizing import join_small
 from tillroll.plans.loads import JOBS as _LOADS
 from tillroll.sources.schemas import conform
@@ -33,7 +33,7 @@ def _revenue_rows(t: Tables, paid: DataFrame) -> DataFrame:
 def revenue_recognition(t: Tables, w: BatchWindow) -> DataFrame:
     """As written: one row per completed payment in the window, booking the
     order's total at the payment time (n payments book it n times)."""
-    paid = _completed_payments(t).where(in_window("payment_time", w)).select(
+    paid = windowed(_completed_payments(t), "payment_time", w).select(
         "order_id", F.col("payment_time").alias("revenue_date")
     )
     return _revenue_rows(t, paid)
@@ -44,7 +44,7 @@ def revenue_recognition_exact(t: Tables, w: BatchWindow) -> DataFrame:
     when that payment falls in the window."""
     payments = _completed_payments(t)
     firsts = (
-        payments.where(in_window("payment_time", w))
+        windowed(payments, "payment_time", w)
         .groupBy("order_id")
         .agg(F.min("payment_time").alias("revenue_date"))
     )
@@ -58,7 +58,7 @@ def revenue_recognition_exact(t: Tables, w: BatchWindow) -> DataFrame:
 
 def inventory_expense(t: Tables, w: BatchWindow) -> DataFrame:
     """Cost of goods per receipt received in the window."""
-    receipts = t["inventory.inventory_receipts"].where(in_window("receipt_date", w)).select(
+    receipts = windowed(t["inventory.inventory_receipts"], "receipt_date", w).select(
         "receipt_id", "receipt_date", "supplier_id"
     )
     items = t["inventory.receipt_items"].select(
@@ -83,14 +83,12 @@ def monthly_profit(t: Tables, w: BatchWindow) -> DataFrame:
     """Revenue per calendar month of the window, less that month's expenses
     (0 if none). Months with expenses but no revenue do not appear."""
     rev = (
-        t["finance.revenue"]
-        .where(in_window("revenue_date", w))
+        windowed(t["finance.revenue"], "revenue_date", w)
         .groupBy(F.month("revenue_date").alias("month"), F.year("revenue_date").alias("year"))
         .agg(dsum("amount").alias("revenue"))
     )
     exp = (
-        t["finance.expenses"]
-        .where(in_window("expense_date", w))
+        windowed(t["finance.expenses"], "expense_date", w)
         .groupBy(F.month("expense_date").alias("month"), F.year("expense_date").alias("year"))
         .agg(dsum("amount").alias("total_expenses"))
     )
@@ -112,7 +110,7 @@ def customer_lifetime_value(t: Tables, w: BatchWindow) -> DataFrame:
     the window (HAVING). Only users with revenue in the window can qualify,
     so history is first cut to them by a semi-join."""
     revenue = t["finance.revenue"]
-    active = revenue.where(in_window("revenue_date", w)).select(F.col("user_id").alias("__uid")).distinct()
+    active = windowed(revenue, "revenue_date", w).select(F.col("user_id").alias("__uid")).distinct()
     history = join_small(revenue, active, F.col("user_id").eqNullSafe(F.col("__uid")), "left_semi")
     out = (
         history.groupBy("user_id")
@@ -136,8 +134,7 @@ def customer_lifetime_value(t: Tables, w: BatchWindow) -> DataFrame:
 
 def payment_methods_summary(t: Tables, w: BatchWindow) -> DataFrame:
     out = (
-        t["finance.revenue"]
-        .where(in_window("revenue_date", w))
+        windowed(t["finance.revenue"], "revenue_date", w)
         .groupBy(
             "payment_method",
             F.month("revenue_date").alias("month"),

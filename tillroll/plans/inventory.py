@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, exact, in_window, unscale
+from tillroll.functions import BatchWindow, day, dsum, exact, since, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
@@ -35,27 +35,23 @@ def _movements(t: Tables, w: BatchWindow) -> DataFrame:
 
     receipts = _items_of(
         t["inventory.receipt_items"].select("receipt_id", "product_id", "quantity"),
-        t["inventory.inventory_receipts"]
-        .where(in_window("receipt_date", w))
+        windowed(t["inventory.inventory_receipts"], "receipt_date", w)
         .select("receipt_id", "warehouse_id", day("receipt_date").alias("date")),
         "receipt_id",
     )
     sales = _items_of(
         t["order_center.order_items"].select("order_id", "product_id", "quantity"),
-        t["order_center.orders"]
-        .where(in_window("order_time", w))
+        windowed(t["order_center.orders"], "order_time", w)
         .select("order_id", "warehouse_id", day("order_time").alias("date")),
         "order_id",
     )
     adjustments = (
-        t["inventory.inventory_adjustments"]
-        .where(in_window("adjustment_time", w))
+        windowed(t["inventory.inventory_adjustments"], "adjustment_time", w)
         .select("warehouse_id", "product_id", day("adjustment_time").alias("date"), "quantity_change")
     )
     transfers = _items_of(
         t["inventory.transfer_items"].select("transfer_id", "product_id", "quantity"),
-        t["inventory.inventory_transfers"]
-        .where(in_window("transfer_date", w))
+        windowed(t["inventory.inventory_transfers"], "transfer_date", w)
         .select("transfer_id", "source_warehouse_id", "destination_warehouse_id", day("transfer_date").alias("date")),
         "transfer_id",
     )
@@ -114,8 +110,7 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     moves = in_grid(_movements(t, w))
     start = w.first_day
     prior = in_grid(
-        t["analytics.inventory_levels"]
-        .where(F.col("date") == F.date_sub(start, 1))
+        windowed(t["analytics.inventory_levels"], "date", BatchWindow.days_before(w, 1))
         .groupBy(*PAIR)
         .agg(dsum("ending_quantity").alias("carried"))
     )
@@ -167,8 +162,7 @@ def low_stock_alerts(t: Tables, w: BatchWindow) -> DataFrame:
     products = t["product_center.products"].select("product_id", "reorder_threshold")
     low = stock.join(products, "product_id").where(F.col("quantity") <= F.col("reorder_threshold"))
     recent = (
-        t["inventory.low_stock_alerts"]
-        .where(F.col("alert_date") >= F.date_sub(w.today, ALERT_COOLDOWN_DAYS))
+        since(t["inventory.low_stock_alerts"], "alert_date", F.date_sub(w.today, ALERT_COOLDOWN_DAYS))
         .select("product_id", "warehouse_id")
     )
     out = low.join(recent, ["product_id", "warehouse_id"], "left_anti").select(
@@ -186,8 +180,8 @@ def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
     (product, order warehouse). Applying it twice deducts twice, as the
     UPDATE does; the sink records applied windows (see sinks.publish)."""
     orders = (
-        t["order_center.orders"]
-        .where(in_window("order_time", w) & (F.col("status") == "completed"))
+        windowed(t["order_center.orders"], "order_time", w)
+        .where(F.col("status") == "completed")
         .select("order_id", "warehouse_id")
     )
     items = t["order_center.order_items"].select("order_id", "product_id", "quantity")

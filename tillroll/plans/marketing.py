@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, exact, in_days, in_window, ratio, unscale
+from tillroll.functions import BatchWindow, day, dsum, exact, ratio, unscale, windowed, windowed_days
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
@@ -25,8 +25,7 @@ def email_metrics(t: Tables, w: BatchWindow) -> DataFrame:
     """Per (campaign, send day): recipients, distinct openers and clickers
     of the campaign (events are joined on campaign only), and rates."""
     sends = (
-        t["marketing.email_campaigns"]
-        .where(in_window("sent_time", w))
+        windowed(t["marketing.email_campaigns"], "sent_time", w)
         .groupBy("campaign_id", day("sent_time").alias("date"))
         .agg(F.sum("recipient_count").alias("emails_sent"))
     )
@@ -55,8 +54,8 @@ def _same_day_orders(t: Tables, w: BatchWindow) -> DataFrame:
     """Per (user, day) of the window's days: order rows, distinct order ids,
     summed order amount."""
     return (
-        t["order_center.orders"]
-        .where(in_days("order_time", w) & F.col("user_id").isNotNull())
+        windowed_days(t["order_center.orders"], "order_time", w)
+        .where(F.col("user_id").isNotNull())
         .groupBy("user_id", day("order_time").alias("date"))
         .agg(
             F.count(F.lit(1)).alias("order_rows"),
@@ -67,7 +66,7 @@ def _same_day_orders(t: Tables, w: BatchWindow) -> DataFrame:
 
 
 def _metrics(t: Tables, w: BatchWindow) -> DataFrame:
-    return t["raw_data.marketing_metrics"].where(in_window("event_date", w)).select(
+    return windowed(t["raw_data.marketing_metrics"], "event_date", w).select(
         "campaign_id", "user_id", day("event_date").alias("date"), "event_type", "event_count", "cost"
     )
 
@@ -142,8 +141,7 @@ def _signups(t: Tables, w: BatchWindow) -> DataFrame:
     """Registered users of the window, one row per (day, source, user) with
     the number of user rows."""
     return (
-        t["user_center.registered_users"]
-        .where(in_window("register_time", w))
+        windowed(t["user_center.registered_users"], "register_time", w)
         .groupBy(day("register_time").alias("date"), F.col("referral_source").alias("source"), "user_id")
         .agg(F.count(F.lit(1)).alias("user_rows"))
     )
@@ -151,8 +149,7 @@ def _signups(t: Tables, w: BatchWindow) -> DataFrame:
 
 def _source_cost(t: Tables, w: BatchWindow) -> DataFrame:
     return (
-        t["raw_data.marketing_metrics"]
-        .where(in_days("event_date", w))
+        windowed_days(t["raw_data.marketing_metrics"], "event_date", w)
         .groupBy("source", day("event_date").alias("date"))
         .agg(dsum("cost").alias("source_cost"))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, in_days, in_window, ratio, unscale
+from tillroll.functions import BatchWindow, day, dsum, ratio, unscale, windowed, windowed_days
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import top1_by_count
 from tillroll.operators.sizing import join_small
@@ -16,7 +16,7 @@ from tillroll.sources.tables import Tables
 def order_shipping(t: Tables, w: BatchWindow) -> DataFrame:
     """Shipments of the window with their address text; shipments whose
     address is unknown drop out (inner join)."""
-    ships = t["raw_data.shipping_records"].where(in_window("create_time", w)).select(
+    ships = windowed(t["raw_data.shipping_records"], "create_time", w).select(
         "shipment_id", "order_id", "address_id", "shipping_method", "tracking_number", "status"
     )
     addr = t["user_center.user_addresses"].select(
@@ -29,7 +29,7 @@ def daily_order_summary(t: Tables, w: BatchWindow) -> DataFrame:
     """Per order day: distinct orders, amount total and mean, and a JSON
     object payment_method -> order rows (keys sorted; NULL method is
     reported as "unknown", since a map key cannot be NULL)."""
-    o = t["order_center.orders"].where(in_window("order_time", w)).select(
+    o = windowed(t["order_center.orders"], "order_time", w).select(
         day("order_time").alias("date"),
         "order_id",
         "total_amount",
@@ -60,7 +60,7 @@ def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
     """Window stats per user, plus the category the user bought most often
     over all of their orders (item rows; ties go to the smallest category)."""
     orders = t["order_center.orders"]
-    ow = orders.where(in_window("order_time", w))
+    ow = windowed(orders, "order_time", w)
     stats = ow.groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         dsum("total_amount").alias("spent"),
@@ -92,10 +92,10 @@ def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
 
 
 def _conversion_inputs(t: Tables, w: BatchWindow):
-    ev = t["raw_data.user_events"].where(in_window("event_time", w)).select(
+    ev = windowed(t["raw_data.user_events"], "event_time", w).select(
         "user_id", day("event_time").alias("date"), "event_type"
     )
-    orders = t["order_center.orders"].where(in_days("order_time", w)).select(
+    orders = windowed_days(t["order_center.orders"], "order_time", w).select(
         "user_id", day("order_time").alias("date"), "order_id"
     )
     active = ev.where(F.col("user_id").isNotNull()).select("user_id", "date")
@@ -155,8 +155,8 @@ def update_order_status(t: Tables, w: BatchWindow) -> DataFrame:
     """Snapshot of orders where every order with a delivered shipment
     delivered in the window becomes 'delivered'."""
     delivered = (
-        t["logistics.shipments"]
-        .where((F.col("status") == "delivered") & in_window("delivery_time", w))
+        windowed(t["logistics.shipments"], "delivery_time", w)
+        .where(F.col("status") == "delivered")
         .select("order_id")
         .distinct()
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, in_window, ratio, unscale
+from tillroll.functions import BatchWindow, day, dsum, ratio, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import lead_time
 from tillroll.operators.sizing import join_small
@@ -27,7 +27,7 @@ def _price_rows(logs: DataFrame) -> DataFrame:
 def product_price_history(t: Tables, w: BatchWindow) -> DataFrame:
     """As written: effective_to = next change of the product *within the
     window*, so each product's last change of a batch stays open."""
-    logs = t["raw_data.price_change_logs"].where(in_window("change_time", w))
+    logs = windowed(t["raw_data.price_change_logs"], "change_time", w)
     return _price_rows(logs)
 
 
@@ -36,7 +36,7 @@ def product_price_history_exact(t: Tables, w: BatchWindow) -> DataFrame:
     window, with effective_to re-derived over that history, so rows closed
     by this batch are rewritten too."""
     logs = t["raw_data.price_change_logs"]
-    changed = logs.where(in_window("change_time", w)).select("product_id").distinct()
+    changed = windowed(logs, "change_time", w).select("product_id").distinct()
     history = join_small(logs.where(F.col("change_time") < w.hi), changed, "product_id", "left_semi")
     return _price_rows(history)
 
@@ -45,7 +45,7 @@ def _window_items(t: Tables, w: BatchWindow, cols: list[str]) -> DataFrame:
     """Order items of orders placed in the window, with the order day. The
     window's orders are broadcast when proven small, so the item table is
     never shuffled by order id."""
-    orders = t["order_center.orders"].where(in_window("order_time", w)).select(
+    orders = windowed(t["order_center.orders"], "order_time", w).select(
         "order_id", day("order_time").alias("date")
     )
     items = t["order_center.order_items"].select("order_id", *cols)
@@ -105,7 +105,7 @@ def update_product_rating(t: Tables, w: BatchWindow) -> DataFrame:
     """Snapshot of products; those reviewed in the window get the mean of
     all their reviews as average_rating."""
     reviews = t["product_center.product_reviews"]
-    touched = reviews.where(in_window("review_time", w)).select("product_id").distinct()
+    touched = windowed(reviews, "review_time", w).select("product_id").distinct()
     means = (
         join_small(reviews, touched, "product_id", "left_semi")
         .groupBy("product_id")

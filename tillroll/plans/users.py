@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, in_days, in_window, ratio, unscale
+from tillroll.functions import BatchWindow, day, dsum, ratio, unscale, windowed, windowed_days
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
@@ -19,7 +19,7 @@ ACTIVE_USER_MINUTES = 30
 def user_activity(t: Tables, w: BatchWindow) -> DataFrame:
     """Sessions per (user, day): count, active minutes, and a JSON object of
     summed pages visited and actions."""
-    sessions = t["raw_data.user_sessions"].where(in_window("login_time", w))
+    sessions = windowed(t["raw_data.user_sessions"], "login_time", w)
     usage = F.to_json(
         F.struct(F.sum("pages_visited").alias("pages_visited"), F.sum("actions").alias("actions")),
         {"ignoreNullFields": "false"},
@@ -37,7 +37,7 @@ def user_retention(t: Tables, w: BatchWindow) -> DataFrame:
     days after signup, per (signup day, N), over the signup day's cohort
     size. Logins before signup give negative N and are kept."""
     users = t["user_center.registered_users"]
-    cohort = users.where(in_window("register_time", w)).select("user_id", "register_time")
+    cohort = windowed(users, "register_time", w).select("user_id", "register_time")
     logins = t["user_center.login_history"].select("user_id", "login_time")
     per_day = (
         join_small(logins, cohort, "user_id")
@@ -48,7 +48,7 @@ def user_retention(t: Tables, w: BatchWindow) -> DataFrame:
         .agg(F.count_distinct("user_id").alias("user_count"))
     )
     sizes = (
-        users.where(in_days("register_time", w))
+        windowed_days(users, "register_time", w)
         .groupBy(day("register_time").alias("cohort_date"))
         .agg(F.count_distinct("user_id").alias("total_users"))
     )
@@ -63,7 +63,7 @@ def user_retention(t: Tables, w: BatchWindow) -> DataFrame:
 
 def user_segments(t: Tables, w: BatchWindow) -> DataFrame:
     """One row per (registered user, activity day in the window)."""
-    activity = t["analytics.user_activity_summary"].where(in_window("date", w)).select(
+    activity = windowed(t["analytics.user_activity_summary"], "date", w).select(
         "user_id", "active_minutes"
     )
     users = t["user_center.registered_users"].select("user_id")
@@ -86,8 +86,8 @@ def user_deletion(t: Tables, w: BatchWindow) -> DataFrame:
     """Snapshot of registered users; those with an approved deletion request
     in the window get status 0 and deletion_time = now."""
     approved = (
-        t["raw_data.account_deletion_requests"]
-        .where(in_window("request_time", w) & (F.col("status") == "approved"))
+        windowed(t["raw_data.account_deletion_requests"], "request_time", w)
+        .where(F.col("status") == "approved")
         .select("user_id")
         .distinct()
     )

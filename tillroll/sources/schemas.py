@@ -2,7 +2,7 @@
 
 Ids are BIGINT (expense ids and references are STRING because four id
 domains share ``finance.expenses``); money and quantities are DOUBLE on the
-way out (they are summed as DECIMAL inside jobs); timestamps are
+way out (they are summed exactly in 1/10,000 units inside jobs); timestamps are
 TIMESTAMP_NTZ and calendar days DATE.
 """
 
@@ -71,6 +71,42 @@ EXTRA_COLUMNS: dict[str, str] = {
 }
 
 
+# The time column whose calendar day partitions each table the
+# sinks write (partition column ``<column>__day``); tables not listed are
+# partitioned by the batch's first day. A column is listed only if no job
+# rewrites it later (stock ``last_updated`` is, so stock is not listed).
+PARTITION_TIME: dict[str, str] = {
+    "order_center.orders": "order_time",
+    "payment_center.payments": "payment_time",
+    "payment_center.refunds": "refund_time",
+    "product_center.product_reviews": "review_time",
+    "product_center.price_history": "effective_from",
+    "user_center.registered_users": "register_time",
+    "user_center.login_history": "login_time",
+    "user_center.user_preferences": "last_updated",
+    "inventory.inventory_adjustments": "adjustment_time",
+    "inventory.inventory_receipts": "receipt_date",
+    "inventory.inventory_transfers": "transfer_date",
+    "inventory.low_stock_alerts": "alert_date",
+    "marketing.promotion_usage": "usage_time",
+    "marketing.email_campaigns": "sent_time",
+    "finance.revenue": "revenue_date",
+    "finance.expenses": "expense_date",
+    "finance.tax_records": "tax_date",
+    "analytics.campaign_performance": "date",
+    "analytics.category_performance": "date",
+    "analytics.customer_ltv": "last_purchase_date",
+    "analytics.daily_order_summary": "date",
+    "analytics.email_performance": "date",
+    "analytics.inventory_levels": "date",
+    "analytics.order_conversion": "date",
+    "analytics.product_sales": "date",
+    "analytics.user_acquisition": "date",
+    "analytics.user_activity_summary": "date",
+    "analytics.user_retention": "cohort_date",
+}
+
+
 def fields(table: str, with_extra: bool = False) -> list[tuple[str, str]]:
     ddl = TARGETS[table]
     if with_extra and table in EXTRA_COLUMNS:

@@ -1,9 +1,11 @@
 """Writing job results.
 
 ``write_day``: INSERT jobs append one batch window. The sink partitions by
-batch day and overwrites only the partitions being written (dynamic
+the calendar day of the table's window column (``order_time__day`` for
+orders; see ``schemas.PARTITION_TIME``), or by the batch day for tables
+without one, and overwrites only the partitions being written (dynamic
 partition overwrite), so rerunning a day replaces it instead of duplicating
-it. A job that reads its own target (alerts, the ledger) first checkpoints
+it; windowed reads prune to the window's days. A job that reads its own target (alerts, the ledger) first checkpoints
 its result into ``spark.checkpoint.dir`` so the write never overwrites the
 files it is reading.
 
@@ -26,23 +28,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from tillroll.functions.window import BatchWindow
+from tillroll.functions.window import DAY_SUFFIX, BatchWindow, day_partition
 from tillroll.session import ensure_checkpoint_dir
 
 BATCH_DAY = "batch_day"
 
 
-def write_day(df: DataFrame, path: str, w: BatchWindow, reads_own_target: bool = False) -> None:
-    out = df.withColumn(BATCH_DAY, F.lit(w.date[:10]).cast("date"))
+def write_day(
+    df: DataFrame, path: str, w: BatchWindow, reads_own_target: bool = False, day_of: str | None = None
+) -> None:
+    """Write one batch. Partitioned by the calendar day of ``day_of`` (a time
+    column of ``df``; readers then prune with ``windowed``) or else by the
+    batch's first day; only the partitions present in ``df`` are replaced."""
+    if day_of is not None:
+        part = day_partition(day_of)
+        out = df.withColumn(part, F.to_date(day_of))
+    else:
+        part = BATCH_DAY
+        out = df.withColumn(part, F.lit(w.date[:10]).cast("date"))
     if reads_own_target:
         ensure_checkpoint_dir(df.sparkSession)
         out = out.checkpoint(eager=True)
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH_DAY)
-        .parquet(path)
-    )
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
 def _applied(spark: SparkSession, path: str) -> set[str]:
@@ -63,8 +70,9 @@ def rewrite_table(df: DataFrame, path: str, batch: str) -> bool:
     ensure_checkpoint_dir(spark)
     out = df.checkpoint(eager=True)
     writer = out.write.mode("overwrite")
-    if BATCH_DAY in out.columns:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_DAY)
+    parts = [c for c in out.columns if c == BATCH_DAY or c.endswith(DAY_SUFFIX)]
+    if parts:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
     writer.parquet(path)
     spark.createDataFrame(
         [(batch, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], "batch string, applied_at timestamp_ntz"
