@@ -71,9 +71,15 @@ def join_small(
     on,
     how: str = "inner",
     max_rows: int | None = None,
+    proven: bool | None = None,
 ) -> DataFrame:
-    """``big.join(small, on, how)``, broadcasting ``small`` if it is proven small."""
-    limit = broadcast_max_rows(small) if max_rows is None else max_rows
-    if how.lower() in _BUILD_RIGHT and is_bounded(small, limit):
-        small = F.broadcast(small)
+    """``big.join(small, on, how)``, broadcasting ``small`` if it is proven
+    small. ``proven`` skips the probe when the caller already holds the
+    bound (``small`` is a subset of a side that passed the probe)."""
+    if how.lower() in _BUILD_RIGHT:
+        if proven is None:
+            limit = broadcast_max_rows(small) if max_rows is None else max_rows
+            proven = is_bounded(small, limit)
+        if proven:
+            small = F.broadcast(small)
     return big.join(small, on, how)

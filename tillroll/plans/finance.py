@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale, windowed
-from tillroll.operators.sizing import join_small
+from tillroll.operators.sizing import broadcast_max_rows, is_bounded, join_small
 from tillroll.plans.loads import JOBS as _LOADS
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
@@ -21,13 +21,13 @@ def _completed_payments(t: Tables) -> DataFrame:
     return t["payment_center.payments"].where(F.col("status") == "completed")
 
 
-def _revenue_rows(t: Tables, paid: DataFrame) -> DataFrame:
+def _revenue_rows(t: Tables, paid: DataFrame, proven: bool | None = None) -> DataFrame:
     """paid: (order_id, revenue_date) -> revenue rows with the order's
     fields. The paid side is the windowed one and is broadcast when small."""
     orders = t["order_center.orders"].select(
         "order_id", "user_id", F.col("total_amount").alias("amount"), "payment_method"
     )
-    return conform(join_small(orders, paid, "order_id"), "finance.revenue")
+    return conform(join_small(orders, paid, "order_id", proven=proven), "finance.revenue")
 
 
 def revenue_recognition(t: Tables, w: BatchWindow) -> DataFrame:
@@ -49,11 +49,13 @@ def revenue_recognition_exact(t: Tables, w: BatchWindow) -> DataFrame:
         .agg(F.min("payment_time").alias("revenue_date"))
     )
     ids = firsts.select("order_id")
+    small = is_bounded(ids, broadcast_max_rows(firsts))
     paid_before = join_small(
-        payments.where(F.col("payment_time") < w.lo).select("order_id"), ids, "order_id", "left_semi"
+        payments.where(F.col("payment_time") < w.lo).select("order_id"), ids, "order_id", "left_semi", proven=small
     )
     paid = firsts.join(paid_before.distinct(), "order_id", "left_anti")
-    return _revenue_rows(t, paid)
+    # paid is a subset of firsts, so the bound just proven holds for it too
+    return _revenue_rows(t, paid, proven=small)
 
 
 def inventory_expense(t: Tables, w: BatchWindow) -> DataFrame:
