@@ -14,7 +14,7 @@ from tillroll.operators.sequence import lead_time, top1_by_count
 from tillroll.operators.sizing import MAX_ROWS_CONF, is_bounded, join_small
 from tillroll.plans import inventory
 from tillroll.plans.registry import BY_NAME
-from tillroll.sources.fixtures import FixtureTables, fixture_tables
+from tillroll.sources.fixtures import fixture_tables
 
 T = dt.datetime
 
@@ -70,9 +70,9 @@ def test_apply_changes_preserves_untouched_rows(spark):
 
 
 def _ledger(spark, window, prior=None):
-    t = FixtureTables(spark, SF_SMALL, "ledger")
+    t = fixture_tables(spark, SF_SMALL, "ledger")
     if prior is not None:
-        t._resolvers["analytics.inventory_levels"] = lambda _t: prior
+        t = t.override(analytics__inventory_levels=prior)
     return inventory.inventory_levels(t, window)
 
 

@@ -8,6 +8,7 @@ resolve them to views over the fixture Parquet tables.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,13 +51,12 @@ class Tables:
     def __contains__(self, name: str) -> bool:
         return name in self._resolvers or self._fallback is not None
 
-    def with_tables(self, **overrides: DataFrame | Callable[["Tables"], DataFrame]) -> "Tables":
-        """A copy where some names resolve differently.
-
-        Keys use ``__`` for the dot: ``with_tables(order_center__orders=df)``.
-        """
-        resolvers = dict(self._resolvers)
-        for key, value in overrides.items():
-            name = key.replace("__", ".")
-            resolvers[name] = value if callable(value) and not isinstance(value, DataFrame) else (lambda _t, v=value: v)
-        return Tables(self.spark, resolvers, self._fallback)
+    def override(self, **tables: DataFrame) -> "Tables":
+        """A copy in which some names resolve to the given DataFrames; keys
+        use ``__`` for the dot (``override(order_center__orders=df)``)."""
+        clone = copy.copy(self)
+        clone._resolvers = dict(self._resolvers)
+        clone._cache = {}
+        for key, df in tables.items():
+            clone._resolvers[key.replace("__", ".")] = lambda _t, d=df: d
+        return clone
