@@ -119,12 +119,19 @@ def test_run_jobs_into_a_warehouse(spark):
     assert spark.read.parquet(summary_path).count() == BY_NAME["daily_order_summary"].fn(fx, both).count() > 2
     update = BatchWindow("1996-01-01", "1997-01-01")
     before = {r.order_id: r.status for r in orders.collect()}
+    files_before = {d: sorted(os.listdir(f"{root}/order_center.orders/{d}"))
+                    for d in os.listdir(f"{root}/order_center.orders") if d.startswith("order_time__day=")}
     run_job("update_order_status", Tables.warehouse(spark, root), update, root)
     run_job("update_order_status", Tables.warehouse(spark, root), update, root)  # refused: applied once
     after = spark.read.parquet(f"{root}/order_center.orders")
     assert after.count() == len(before)
     changed = {r.order_id for r in after.collect() if r.status != before[r.order_id]}
     assert changed and all(r.status == "delivered" for r in after.collect() if r.order_id in changed)
+    # only the days holding a changed order were rewritten
+    touched = {str(r.order_time.date()) for r in after.collect() if r.order_id in changed}
+    for d, files in files_before.items():
+        now = sorted(os.listdir(f"{root}/order_center.orders/{d}"))
+        assert (now != files) == (d.split("=")[1] in touched), d
 
 
 # jobs whose big side (all-history items / payments / logins / reviews) must

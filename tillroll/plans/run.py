@@ -21,7 +21,7 @@ def run_job(name: str, tables: Tables, window: BatchWindow, root: str) -> str:
     path = f"{root.rstrip('/')}/{job.target}"
     df = job.fn(tables, window)
     if job.kind == "update":
-        rewrite_table(df, path, f"{name}:{window.date}:{window.date_next}")
+        rewrite_table(df, path, f"{name}:{window.date}:{window.date_next}", current=tables[job.target])
     else:
         write_day(df, path, window, reads_own_target=name in READS_OWN_TARGET, day_of=PARTITION_TIME.get(job.target))
     return path
