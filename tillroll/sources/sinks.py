@@ -102,7 +102,8 @@ def rewrite_table(df: DataFrame, path: str, batch: str, current: DataFrame | Non
     writer_df = out
     parts = [c for c in out.columns if c == BATCH_DAY or c.endswith(DAY_SUFFIX)]
     if parts and current is not None:
-        changed = _changed_partitions(out, current, parts)
+        # materialised before the write starts replacing the files it reads
+        changed = _changed_partitions(out, current, parts).checkpoint(eager=True)
         cond = F.col(parts[0]).eqNullSafe(F.col(f"__chg_{parts[0]}"))
         for c in parts[1:]:
             cond = cond & F.col(c).eqNullSafe(F.col(f"__chg_{c}"))
