@@ -55,7 +55,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     only for a local-mode session that has none (tests); on a cluster the
     setting must come from the platform, since a machine-local folder would
     not survive the loss of the executor that wrote it."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's own setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         if not sc.getCheckpointDir():
