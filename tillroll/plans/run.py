@@ -25,3 +25,30 @@ def run_job(name: str, tables: Tables, window: BatchWindow, root: str) -> str:
     else:
         write_day(df, path, window, reads_own_target=name in READS_OWN_TARGET, day_of=PARTITION_TIME.get(job.target))
     return path
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``python -m tillroll.plans.run JOB ROOT DATE DATE_NEXT [AS_OF]``."""
+    import argparse
+
+    from pyspark.sql import SparkSession
+
+    from tillroll.session import CLUSTER_CONF
+
+    parser = argparse.ArgumentParser(description="run one job into its target table under ROOT")
+    parser.add_argument("job", choices=sorted(BY_NAME))
+    parser.add_argument("root", help="warehouse root holding <schema.table> Parquet directories")
+    parser.add_argument("date")
+    parser.add_argument("date_next")
+    parser.add_argument("as_of", nargs="?", default=None, help="instant standing in for NOW() (default: now)")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName(f"tillroll-{args.job}").getOrCreate()
+    for key, value in CLUSTER_CONF.items():
+        if key.startswith("spark.sql."):
+            spark.conf.set(key, value)
+    path = run_job(args.job, Tables.warehouse(spark, args.root), BatchWindow(args.date, args.date_next, args.as_of), args.root)
+    print(path)
+
+
+if __name__ == "__main__":
+    main()
