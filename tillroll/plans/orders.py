@@ -41,6 +41,8 @@ def daily_order_summary(t: Tables, w: BatchWindow) -> DataFrame:
         F.count("total_amount").alias("n_amount"),
     )
     per_method = o.groupBy("date", "payment_method").agg(F.count(F.lit(1)).alias("n"))
+    # the list gathered per day holds one (method, count) pair per distinct
+    # payment method, not the day's orders: its size is the number of methods
     dist = per_method.groupBy("date").agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("payment_method", "n"))))).alias(
             "payment_method_distribution"
