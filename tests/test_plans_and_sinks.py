@@ -118,6 +118,13 @@ def test_run_jobs_into_a_warehouse(spark):
     summary_path = run_job("daily_order_summary", wh2, both, root)
     assert spark.read.parquet(summary_path).count() == BY_NAME["daily_order_summary"].fn(fx, both).count() > 2
     update = BatchWindow("1996-01-01", "1997-01-01")
+    delta = BY_NAME["update_order_status"].fn(Tables.warehouse(spark, root), update)
+    delta_days = {r.order_time__day for r in delta.select("order_time__day").distinct().collect()}
+    all_days = {r.order_time__day for r in orders.select("order_time__day").distinct().collect()}
+    assert delta_days and delta_days < all_days  # only days holding a delivered order are read
+    scans = [line for line in _plan(delta).split("\n") if "FileScan" in line and "order_center.orders" in line]
+    # the full-row read of orders carries the touched days as a partition filter
+    assert scans and all("PartitionFilters: [order_time__day#" in line and " IN (" in line for line in scans)
     before = {r.order_id: r.status for r in orders.collect()}
     files_before = {d: sorted(os.listdir(f"{root}/order_center.orders/{d}"))
                     for d in os.listdir(f"{root}/order_center.orders") if d.startswith("order_time__day=")}

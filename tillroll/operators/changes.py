@@ -1,10 +1,17 @@
 """UPDATE as a snapshot rewrite.
 
-Parquet tables cannot be updated in place, so an UPDATE job returns the whole
-new table: ``target LEFT JOIN changes`` on the key, taking the new value where
-a change matched and the old one elsewhere. Row count and untouched rows are
+Parquet tables cannot be updated in place, so an UPDATE job returns the new
+table: ``target LEFT JOIN changes`` on the key, taking the new value where a
+change matched and the old one elsewhere. Row count and untouched rows are
 preserved. ``changes`` must hold at most one row per key; callers pass a
 distinct key set or an aggregate.
+
+On a day-partitioned target (a ``batch_day`` or ``<column>__day`` partition
+column, as the sinks write) the result holds only the partitions that contain
+a changed key, which is what the dynamic-overwrite sink replaces: the days
+are found from the key and day columns alone, and the full rows are then
+read for those days only (a literal partition filter, so whole days are
+never listed or opened). Without a day column the whole table is returned.
 """
 
 from __future__ import annotations
@@ -14,10 +21,35 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.window import DAY_SUFFIX
 from tillroll.operators.sizing import join_small
 
 _HIT = "__tillroll_matched"
 
+# Fixed value: at most this many touched days are turned into a partition
+# filter (one date each); past it the whole target is read.
+MAX_TOUCHED_DAYS = 10_000
+
+
+def _touched_days(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    parts = [c for c in target.columns if c == "batch_day" or c.endswith(DAY_SUFFIX)]
+    if len(parts) != 1:
+        return target
+    part = parts[0]
+    hit_days = (
+        join_small(target.select(*keys, part), changes.select(*keys), list(keys), "left_semi")
+        .select(part)
+        .distinct()
+    )
+    # the distinct days of the table's calendar, not table rows
+    days = [r[0] for r in hit_days.limit(MAX_TOUCHED_DAYS + 1).collect()]
+    if len(days) > MAX_TOUCHED_DAYS:
+        return target
+    cond = F.col(part).isin([d for d in days if d is not None]) if any(d is not None for d in days) else F.lit(False)
+    if None in days:
+        cond = cond | F.col(part).isNull()
+    return target.where(cond)
+
 
 def apply_changes(
     target: DataFrame,
@@ -27,6 +59,7 @@ def apply_changes(
 ) -> DataFrame:
     """Rewrite ``target``: where ``keys`` match a row of ``changes``, set each
     column of ``set_exprs`` (expressions may use columns of either side)."""
+    target = _touched_days(target, changes, keys)
     flagged = changes.withColumn(_HIT, F.lit(True))
     joined = join_small(target, flagged, list(keys), "left")
     hit = F.col(_HIT).isNotNull()
