@@ -3,8 +3,8 @@
 Spark broadcasts a side on its own only when its *static* estimate is small;
 a windowed slice of a large table is estimated at the full file size, so it
 is shuffled even when a day holds a few thousand rows. ``join_small`` probes
-the candidate side with a bounded ``limit(n + 1).count()`` and broadcasts it
-only when the probe proves at most ``n`` rows. Otherwise it falls back to a
+the candidate side with a count and broadcasts it only when the probe proves
+at most ``n`` rows. Otherwise it falls back to a
 plain join, where AQE re-plans at runtime and splits skewed partitions.
 
 The cap is a row count derived from a byte budget and the side's schema
@@ -59,10 +59,15 @@ def broadcast_max_rows(df: DataFrame) -> int:
 
 
 def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has at most ``max_rows`` rows (reads at most n + 1)."""
+    """True iff ``df`` has at most ``max_rows`` rows.
+
+    A plain count: each partition sends one partial count, so the probe costs
+    at most one parallel scan of the candidate side. (``limit(n + 1).count()``
+    would look cheaper but funnels up to n + 1 rows per partition through a
+    single task when the side is not small.)"""
     if max_rows <= 0:
         return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def join_small(
