@@ -1,5 +1,6 @@
 """Plan shape checks for every job, and sink rerun safety."""
 
+import datetime as dt_
 import os
 import tempfile
 
@@ -171,3 +172,17 @@ def test_big_side_is_not_shuffled_by_the_join_key(spark, name):
         spark.conf.unset("tillroll.broadcast.maxRows")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert by_key.search(fallback) or "SortMergeJoin" in fallback
+
+
+def test_rerun_with_no_rows_clears_the_day_and_sub_day_windows_are_refused(spark):
+    path = tempfile.mkdtemp(prefix="tillroll-sink-") + "/t"
+    w = BatchWindow("2024-01-08", "2024-01-10")
+    rows = spark.createDataFrame(
+        [(1, dt_.datetime(2024, 1, 8, 5)), (2, dt_.datetime(2024, 1, 9, 5))], "id long, ts timestamp_ntz"
+    )
+    write_day(rows, path, w, day_of="ts")
+    assert spark.read.parquet(path).count() == 2
+    write_day(rows.where(F.col("id") == 2), path, w, day_of="ts")  # day 8 now has no rows
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2]
+    with pytest.raises(ValueError):
+        write_day(rows, path, BatchWindow("2024-01-08 10:00:00", "2024-01-08 11:00:00"), day_of="ts")

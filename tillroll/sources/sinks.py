@@ -34,21 +34,48 @@ from tillroll.session import ensure_checkpoint_dir
 BATCH_DAY = "batch_day"
 
 
+def _whole_days(w: BatchWindow) -> list[dt.date]:
+    """The calendar days of a window that starts and ends at midnight."""
+    lo, hi = dt.datetime.fromisoformat(w.date), dt.datetime.fromisoformat(w.date_next)
+    if lo.time() != dt.time(0) or hi.time() != dt.time(0) or hi <= lo:
+        raise ValueError(f"write_day replaces whole day partitions; window {w.date}..{w.date_next} is not whole days")
+    return [(lo + dt.timedelta(days=i)).date() for i in range((hi - lo).days)]
+
+
+def _clear_empty_days(df: DataFrame, path: str, part: str, days: list[dt.date]) -> None:
+    """Empty the existing partitions of ``days`` (written again right after),
+    so a day the rerun no longer produces does not keep its old rows."""
+    spark = df.sparkSession
+    empty = spark.createDataFrame([], df.drop(part).schema)
+    for day in days:
+        target = f"{path}/{part}={day.isoformat()}"
+        try:
+            spark.read.parquet(target).schema  # noqa: B018 - existence check
+        except AnalysisException:
+            continue
+        empty.write.mode("overwrite").parquet(target)
+
+
 def write_day(
     df: DataFrame, path: str, w: BatchWindow, reads_own_target: bool = False, day_of: str | None = None
 ) -> None:
-    """Write one batch. Partitioned by the calendar day of ``day_of`` (a time
-    column of ``df``; readers then prune with ``windowed``) or else by the
-    batch's first day; only the partitions present in ``df`` are replaced."""
+    """Write one batch of whole days. Partitioned by the calendar day of
+    ``day_of`` (a time column of ``df``; readers then prune with
+    ``windowed``) or else by the batch's first day. Exactly the window's
+    days are replaced: days with rows by dynamic partition overwrite, days
+    the rerun leaves empty by clearing their old partition first."""
+    days = _whole_days(w)
     if day_of is not None:
         part = day_partition(day_of)
         out = df.withColumn(part, F.to_date(day_of))
     else:
         part = BATCH_DAY
         out = df.withColumn(part, F.lit(w.date[:10]).cast("date"))
+        days = days[:1]
     if reads_own_target:
         ensure_checkpoint_dir(df.sparkSession)
         out = out.checkpoint(eager=True)
+    _clear_empty_days(out, path, part, days)
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
