@@ -1,13 +1,17 @@
 """Differential test: every registered job against its DuckDB statement on
-the smallest fixture (the driver runs the same at sf0.01)."""
+the smallest fixture (the driver runs the same at sf0.01). Set
+TILLROLL_ORACLE_SF to another fixture directory to run it there."""
+
+import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL as _SF_DEFAULT
 from tillroll.sources.fixtures import PHYSICAL
 
+SF_SMALL = os.environ.get("TILLROLL_ORACLE_SF", _SF_DEFAULT)
 QUERIES = entry.queries()
 ORACLE = entry.oracle_sql()
 
