@@ -186,3 +186,24 @@ def test_rerun_with_no_rows_clears_the_day_and_sub_day_windows_are_refused(spark
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [2]
     with pytest.raises(ValueError):
         write_day(rows, path, BatchWindow("2024-01-08 10:00:00", "2024-01-08 11:00:00"), day_of="ts")
+
+
+def test_jobs_sharing_a_table_do_not_replace_each_other(spark):
+    from tillroll.plans.run import run_job
+    from tillroll.sources.tables import Tables
+
+    root = tempfile.mkdtemp(prefix="tillroll-wh-")
+    fx = fixture_tables(spark, SF_SMALL)
+    for name in ("payment_center.refunds", "logistics.shipments"):
+        fx[name].write.parquet(f"{root}/{name}")
+    wh = Tables.warehouse(spark, root)
+    w = BatchWindow("1996-01-01", "1996-03-01")
+    run_job("refund_expense", wh, w, root)
+    run_job("shipping_expense", wh, w, root)
+    run_job("refund_expense", wh, w, root)  # rerun of one writer
+    got = spark.read.parquet(f"{root}/finance.expenses").groupBy("expense_type").count()
+    counts = {r.expense_type: r["count"] for r in got.collect()}
+    assert counts == {
+        "refund": BY_NAME["refund_expense"].fn(fx, w).count(),
+        "shipping": BY_NAME["shipping_expense"].fn(fx, w).count(),
+    }

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tillroll.functions.window import BatchWindow
 from tillroll.plans.registry import BY_NAME, READS_OWN_TARGET
-from tillroll.sources.schemas import PARTITION_TIME
+from tillroll.sources.schemas import PARTITION_BY_SOURCE, PARTITION_TIME
 from tillroll.sources.sinks import rewrite_table, write_day
 from tillroll.sources.tables import Tables
 
@@ -23,7 +23,14 @@ def run_job(name: str, tables: Tables, window: BatchWindow, root: str) -> str:
     if job.kind == "update":
         rewrite_table(df, path, f"{name}:{window.date}:{window.date_next}", current=tables[job.target])
     else:
-        write_day(df, path, window, reads_own_target=name in READS_OWN_TARGET, day_of=PARTITION_TIME.get(job.target))
+        write_day(
+            df,
+            path,
+            window,
+            reads_own_target=name in READS_OWN_TARGET,
+            day_of=PARTITION_TIME.get(job.target),
+            source_col=PARTITION_BY_SOURCE.get(job.target),
+        )
     return path
 
 

@@ -107,6 +107,14 @@ PARTITION_TIME: dict[str, str] = {
 }
 
 
+# Tables filled by several jobs are also partitioned by the
+# column that tells the jobs apart, so one job's rerun replaces only its own
+# rows (the four expense jobs all write finance.expenses).
+PARTITION_BY_SOURCE: dict[str, str] = {
+    "finance.expenses": "expense_type",
+}
+
+
 def fields(table: str, with_extra: bool = False) -> list[tuple[str, str]]:
     ddl = TARGETS[table]
     if with_extra and table in EXTRA_COLUMNS:

@@ -57,13 +57,20 @@ def _clear_empty_days(df: DataFrame, path: str, part: str, days: list[dt.date])
 
 
 def write_day(
-    df: DataFrame, path: str, w: BatchWindow, reads_own_target: bool = False, day_of: str | None = None
+    df: DataFrame,
+    path: str,
+    w: BatchWindow,
+    reads_own_target: bool = False,
+    day_of: str | None = None,
+    source_col: str | None = None,
 ) -> None:
     """Write one batch of whole days. Partitioned by the calendar day of
     ``day_of`` (a time column of ``df``; readers then prune with
-    ``windowed``) or else by the batch's first day. Exactly the window's
-    days are replaced: days with rows by dynamic partition overwrite, days
-    the rerun leaves empty by clearing their old partition first."""
+    ``windowed``) or else by the batch's first day, under ``source_col``
+    when several jobs share the table. Exactly the window's days are
+    replaced: days with rows by dynamic partition overwrite, days the rerun
+    leaves empty by clearing their old partition first (single-writer
+    tables; a shared table cannot tell which source an empty day had)."""
     days = _whole_days(w)
     if day_of is not None:
         part = day_partition(day_of)
@@ -75,8 +82,10 @@ def write_day(
     if reads_own_target:
         ensure_checkpoint_dir(df.sparkSession)
         out = out.checkpoint(eager=True)
-    _clear_empty_days(out, path, part, days)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+    parts = [part] if source_col is None else [source_col, part]
+    if source_col is None:
+        _clear_empty_days(out, path, part, days)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
 def _applied(spark: SparkSession, path: str) -> set[str]:
