@@ -1,4 +1,4 @@
-from tillroll.functions.scalars import as_double, count_if_eq, day, dsum, exact, ratio, unscale
+from tillroll.functions.scalars import as_double, day, dsum, exact, ratio, unscale
 from tillroll.functions.window import BatchWindow, in_days, in_window, since, ts_literal, windowed, windowed_days
 
 __all__ = [
@@ -10,7 +10,6 @@ __all__ = [
     "windowed",
     "windowed_days",
     "as_double",
-    "count_if_eq",
     "day",
     "dsum",
     "exact",

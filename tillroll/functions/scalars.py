@@ -52,8 +52,3 @@ def ratio(num: str | Column, den: str | Column) -> Column:
 def day(col: str | Column) -> Column:
     """MySQL ``DATE(ts)``."""
     return F.to_date(_c(col))
-
-
-def count_if_eq(col: str | Column, value: str) -> Column:
-    """``SUM(CASE WHEN col = value THEN 1 ELSE 0 END)``."""
-    return F.sum(F.when(_c(col) == value, F.lit(1)).otherwise(F.lit(0))).cast("long")
