@@ -25,17 +25,21 @@ def test_lead_time_equals_plain_lead_with_a_hot_key(spark):
     data = []
     for i in range(600):
         key = 1 if i < 300 else rnd.choice([2, 3, None])  # key 1 holds half the rows
-        ts = base + dt.timedelta(seconds=rnd.randint(0, 5 * 86400))
+        # a burst: most of the hot key's rows fall in one minute
+        burst = key == 1 and i < 200
+        ts = base + dt.timedelta(seconds=rnd.randint(0, 59) if burst else rnd.randint(0, 5 * 86400))
         data.append((i, key, ts))
     data.append((1000, 1, None))  # a NULL instant
     df = spark.createDataFrame(data, "id long, k long, ts timestamp_ntz")
     plain = df.withColumn("nxt", F.lead("ts").over(Window.partitionBy("k").orderBy("ts")))
-    bucketed = lead_time(df, "k", "ts", "nxt", bucket_hours=1)
+    bucketed = lead_time(df, "k", "ts", "nxt")
     want = sorted(tuple(r) for r in plain.select("id", "nxt").collect())
     got = sorted(tuple(r) for r in bucketed.select("id", "nxt").collect())
     assert got == want
-    wide = lead_time(df, "k", "ts", "nxt", bucket_hours=7)
+    wide = lead_time(df, "k", "ts", "nxt", bucket_minutes=(7 * 60,))
     assert sorted(tuple(r) for r in wide.select("id", "nxt").collect()) == want
+    odd = lead_time(df, "k", "ts", "nxt", bucket_minutes=(5, 45, 600))
+    assert sorted(tuple(r) for r in odd.select("id", "nxt").collect()) == want
 
 
 def test_join_small_paths_agree(spark):

@@ -3,10 +3,10 @@
 ``lead_time`` is ``LEAD(ts) OVER (PARTITION BY key ORDER BY ts)``. A plain
 window sends every row of a key to one task; if one product holds a third of
 all rows, that task does a third of the work. Here the window is partitioned
-by (key, time bucket) instead, and the last row of each bucket takes the
-first instant of the key's next non-empty bucket, found by a second, tiny
-window over one row per (key, bucket). The result equals the plain LEAD;
-rows with equal instants always share a bucket.
+by (key, minute), and the last row of each minute takes the first instant of
+the key's next non-empty minute, found the same way one level up (minutes
+within hours, hours within days); only one row per (key, day) meets a plain
+per-key window. The result equals the plain LEAD.
 
 ``top1_by_count`` picks, per group, the value with the highest count (ties:
 smallest value) with a ``min(struct)`` aggregate, which is partially
@@ -18,8 +18,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed value: default time-bucket width for lead_time, in hours.
-DEFAULT_BUCKET_HOURS = 1
+# The bucket widths of lead_time, finest first, in minutes
+# (minute, hour, day).
+DEFAULT_BUCKET_MINUTES = (1, 60, 1440)
+
+
+def _wall_minutes(ts: str) -> Column:
+    """Wall-clock minute index (calendar day x 1440 + hour x 60 + minute): no
+    time-zone conversion for TIMESTAMP_NTZ, and monotonic in the instant."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 1440 + F.hour(ts) * 60 + F.minute(ts)
 
 
 def lead_time(
@@ -27,22 +35,37 @@ def lead_time(
     key: str,
     ts: str,
     out: str,
-    bucket_hours: int = DEFAULT_BUCKET_HOURS,
+    bucket_minutes: tuple[int, ...] = DEFAULT_BUCKET_MINUTES,
+    _level: int = 0,
 ) -> DataFrame:
-    bucket, has_next = "__bucket", "__has_next"
-    first, nxt, bkey, bbucket = "__bucket_first", "__next_first", "__bridge_key", "__bridge_bucket"
-    # wall-clock hour index (calendar day x 24 + hour): no time-zone
-    # conversion for TIMESTAMP_NTZ, and monotonic in the instant
-    hours = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 24 + F.hour(ts)
-    b = df.withColumn(bucket, F.floor(hours / F.lit(bucket_hours)))
+    """``LEAD(ts) OVER (PARTITION BY key ORDER BY ts)`` without sending a
+    key's rows to one task.
+
+    Rows are bucketed by the first width; LEAD runs within (key, bucket).
+    The last row of a bucket takes the first instant of the key's next
+    non-empty bucket, which is itself a LEAD, over one row per bucket, so it
+    is computed the same way with the next, coarser width. Only the coarsest
+    level uses a plain window per key, over one row per non-empty bucket
+    (e.g. per day with changes). Rows with equal instants share every
+    bucket, so ties behave as in the plain window."""
+    # helper columns are named per level, so the recursion never collides
+    bucket, has_next, first, nxt, bkey, bbucket = (
+        f"__{name}{_level}" for name in ("bucket", "has_next", "first", "next", "bkey", "bbucket")
+    )
+    width = bucket_minutes[0]
+    b = df.withColumn(bucket, F.floor(_wall_minutes(ts) / F.lit(width)))
     in_bucket = Window.partitionBy(key, bucket).orderBy(F.col(ts).asc_nulls_first())
     within = b.withColumn(out, F.lead(ts).over(in_bucket)).withColumn(has_next, F.lead(F.lit(True)).over(in_bucket))
     # one row per (key, bucket): its first instant, and the next bucket's
     firsts = b.groupBy(key, bucket).agg(F.min(ts).alias(first))
-    by_bucket = Window.partitionBy(key).orderBy(F.col(bucket).asc_nulls_first())
-    bridge = firsts.select(
-        F.col(key).alias(bkey), F.col(bucket).alias(bbucket), F.lead(first).over(by_bucket).alias(nxt)
-    )
+    if len(bucket_minutes) > 1:
+        # bucket order is first-instant order, so the next bucket's first
+        # instant is the LEAD of the firsts: recurse with coarser buckets
+        linked = lead_time(firsts, key, first, nxt, bucket_minutes[1:], _level + 1)
+    else:
+        by_bucket = Window.partitionBy(key).orderBy(F.col(bucket).asc_nulls_first())
+        linked = firsts.withColumn(nxt, F.lead(first).over(by_bucket))
+    bridge = linked.select(F.col(key).alias(bkey), F.col(bucket).alias(bbucket), nxt)
     # null-safe: SQL puts NULL keys (and NULL instants) in a partition too
     cond = F.col(key).eqNullSafe(F.col(bkey)) & F.col(bucket).eqNullSafe(F.col(bbucket))
     joined = within.join(bridge, cond, "left")
