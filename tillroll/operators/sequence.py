@@ -4,8 +4,8 @@
 window sends every row of a key to one task; if one product holds a third of
 all rows, that task does a third of the work. Here the window is partitioned
 by (key, minute), and the last row of each minute takes the first instant of
-the key's next non-empty minute, found the same way one level up (minutes
-within hours, hours within days); only one row per (key, day) meets a plain
+the key's next non-empty minute, found the same way one level up (one row
+per minute, bucketed by day); only one row per (key, day) meets a plain
 per-key window. The result equals the plain LEAD.
 
 ``top1_by_count`` picks, per group, the value with the highest count (ties:
@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The bucket widths of lead_time, finest first, in minutes
-# (minute, hour, day).
-DEFAULT_BUCKET_MINUTES = (1, 60, 1440)
+# (minute, day): the middle level holds at most 1,440 rows per (key, day).
+DEFAULT_BUCKET_MINUTES = (1, 1440)
 
 
 def _wall_minutes(ts: str) -> Column:
