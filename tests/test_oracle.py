@@ -12,8 +12,8 @@ from tests.conftest import SF_SMALL as _SF_DEFAULT
 from tillroll.sources.fixtures import PHYSICAL
 
 SF_SMALL = os.environ.get("TILLROLL_ORACLE_SF", _SF_DEFAULT)
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = {k: v for k, v in entry.queries().items() if k not in entry.LLM_QUERIES}
+ORACLE = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
