@@ -36,7 +36,7 @@ from tillroll.llm.common import cut, id_text, raw_texts, record_batch
 CAPACITY = 2048
 END_ID = 0
 #: Words a worker remembers, in two generations of this size.
-MEMORY = 200_000
+MEMORY = 400_000
 #: Pieces of one (length, salt) that a task ranks, until a length has more
 #: than the square of it; from there on the square root of its count.
 RANKED_TOGETHER = 500
@@ -44,6 +44,24 @@ RANKED_TOGETHER = 500
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
 
+# Closing marks of the short way, and words it is tried on.
+_MARKS = ".,;:!?#$%&*|"
+_PROBES = ("Hello", "the", "Ab.", "straße,", "Éaux!!", "ñandú", "x###", "Zürich$$$", "ÀÿÆ", "µm", "a%%%", "Ça?!")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The signs a byte-level model shows bytes as: printable Latin-1 bytes as
+    themselves, the others, in order, from U+0100 on; here for letters of
+    two UTF-8 bytes."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    signs = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(signs[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
+_SHOWN = _byte_signs()
+
+
 class WordEncoder:
     """Ids of a text by a ``tokenizers`` definition that never joins what
     white space parts, so each word is encoded once and remembered."""
@@ -53,8 +71,12 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
         self.fresh: dict[bytes, bytes] = {}
         self.aged: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        # the short way is taken only if this tokenizer treats the probes so
+        self.short = all(self._short(w) == self._long([w])[0] for w in _PROBES)
 
     def encode(self, raw: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -72,9 +94,40 @@ class WordEncoder:
         for w in words:
             if w in self.aged:
                 self.fresh[w] = self.aged[w]
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for w, x in zip(new, coded, strict=True):
-            self.fresh[w] = np.array(x.ids, "<u4").tobytes()
+        rest = []
+        for w in new:
+            text = w.decode()
+            packed = self._short(text) if self.short else None
+            if packed is None:
+                rest.append(w)
+            else:
+                self.fresh[w] = packed
+        for w, packed in zip(rest, self._long([w.decode() for w in rest]), strict=True):
+            self.fresh[w] = packed
+
+    def _long(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, "<u4").tobytes() for x in coded]
+
+    def _short(self, word: str) -> bytes | None:
+        """A word of Latin letters and closing marks: lower-cased letters and
+        marks go to the merges directly. None for any other word."""
+        letters = word.rstrip(_MARKS)
+        if not letters.isalpha() or not letters.isascii() and max(letters) > "\xff":
+            return None
+        letters = letters.lower()
+        packed = self.parts.get(letters)
+        if packed is None:
+            packed = self._merge(letters)
+        marks = word[len(letters) :]
+        return packed + (self.parts.get(marks) or self._merge(marks)) if marks else packed
+
+    def _merge(self, part: str) -> bytes:
+        if len(self.parts) >= MEMORY:
+            self.parts = {}
+        shown = part if part.isascii() else part.translate(_SHOWN)
+        packed = self.parts[part] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
+        return packed
 
 
 @lru_cache(maxsize=2)

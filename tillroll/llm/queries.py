@@ -8,23 +8,74 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.bpe import bpe_digests, read_ranks
+from tillroll.llm.exact import exact_groups
+from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
 
+# The tokenizers of the contracts.
+WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_RANKS = "byte_bpe_50k.tiktoken"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_tokenizer() -> str:
+    """The word tokenizer's definition, read on the driver."""
+    with open(public_tokenizers.path(WORD_TOKENIZER), encoding="utf-8") as f:
+        return f.read()
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_groups(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = read_ranks(public_tokenizers.path(BYTE_RANKS))
+    return bpe_digests(_table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# the white space of the contracts, as a character class for DuckDB
+_WHITE_CLASS = r"[\x20\x09-\x0D]"
+
+_OP7_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS original,
+         sha256(regexp_replace(coalesce(text, ''), '{_WHITE_CLASS}', '', 'g')) AS text_sha256
+  FROM documents
+), ranked AS (
+  SELECT doc_id, text_sha256,
+         first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY length(original) DESC, doc_id
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id,
+         count(*) OVER (PARTITION BY text_sha256) AS group_size
+  FROM texts
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": _OP7_SQL,
+}
