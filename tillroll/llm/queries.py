@@ -16,11 +16,21 @@ from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
+from tillroll.llm.urls import judge_urls
 
 # The tokenizers of the contracts.
 WORD_TOKENIZER = "word_bpe_49k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 
+# The URL rules of the contract (host, path, verdict).
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,6 +51,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
+    found = judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -54,6 +70,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
 }
@@ -76,6 +93,24 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
+_OP6_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+_OP6_SQL = f"""
+WITH rules(host, path, verdict) AS (VALUES {_OP6_RULES}), split AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM split
+), fits AS (
+  SELECT p.page_id, r.host || r.path AS rule, r.verdict,
+         row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC, length(r.host) DESC, r.verdict DESC) AS place
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op6_url_filter": _OP6_SQL,
     "op7_exact_dedup": _OP7_SQL,
 }
