@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm import toxicity
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.packing import pack_documents
@@ -67,12 +68,28 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(_table(spark, sf_dir, "documents"), tokens, public_tokenizers.PATTERN)
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Rows no label is learnt from: crc32 of the id as text, mod 3, is 1."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(docs, _table(spark, sf_dir, "labels").where(~held_out()))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_toxicity": op9_toxicity,
 }
 
 # the white space of the contracts, as a character class for DuckDB
