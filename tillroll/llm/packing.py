@@ -39,7 +39,7 @@ END_ID = 0
 MEMORY = 400_000
 #: Pieces of one (length, salt) that a task ranks, until a length has more
 #: than the square of it; from there on the square root of its count.
-RANKED_TOGETHER = 500
+RANKED_TOGETHER = 64
 
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
