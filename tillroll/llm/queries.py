@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import toxicity
+from tillroll.llm import quality, toxicity
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.packing import pack_documents
@@ -52,6 +52,12 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = quality.judge(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     found = judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules)
@@ -86,6 +92,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
