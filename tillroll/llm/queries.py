@@ -12,9 +12,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import quality, toxicity
+from tillroll.llm import main_text, quality, toxicity
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
+from tillroll.llm.labelled_pages import labelled_pages
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
 from tillroll.llm.urls import judge_urls
@@ -43,6 +44,11 @@ def word_tokenizer() -> str:
         return f.read()
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = main_text.train(labelled_pages())
+    return main_text.extract(_table(spark, sf_dir, "pages"), model)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
 
@@ -90,6 +96,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
