@@ -12,10 +12,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import main_text, quality, toxicity
+from tillroll.llm import licenses, main_text, quality, toxicity
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.labelled_pages import labelled_pages
+from tillroll.llm.license_texts import TEMPLATES
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
 from tillroll.llm.urls import judge_urls
@@ -53,6 +54,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), word_tokenizer(), capacity=2048)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"), TEMPLATES)
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -98,6 +103,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_url_filter": op6_url_filter,
@@ -124,6 +130,35 @@ WITH texts AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
 """
 
+_OP3_TEMPLATES = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+_OP3_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP3_SQL = f"""
+WITH templates(t, license, text) AS (VALUES {_OP3_TEMPLATES}), units AS (
+  SELECT doc_id, 'line' AS kind, unnest(string_split(text, chr(10))) AS unit FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, 'paragraph', unnest(string_split(text, chr(10) || chr(10))) FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT doc_id, 'whole', text FROM documents WHERE text IS NOT NULL
+), numbered AS (
+  SELECT row_number() OVER () AS u, doc_id, kind, regexp_extract_all({_OP3_LOWER.format("unit")}, '[a-z0-9]+') AS w FROM units
+), own AS (
+  SELECT u, pair, count(*) AS n FROM (
+    SELECT u, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS pair FROM numbered WHERE len(w) > 1
+  ) GROUP BY u, pair
+), t_words AS (
+  SELECT t, license, regexp_extract_all({_OP3_LOWER.format("text")}, '[a-z0-9]+') AS w FROM templates
+), t_own AS (
+  SELECT t, license, pair, count(*) AS n FROM (
+    SELECT t, license, unnest([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS pair FROM t_words
+  ) GROUP BY t, license, pair
+), shared AS (
+  SELECT own.u, t_own.t, t_own.license, sum(least(own.n, t_own.n)) AS both_n FROM own JOIN t_own USING (pair) GROUP BY own.u, t_own.t, t_own.license
+), scored AS (
+  SELECT n.doc_id, n.u, n.kind, s.license, 2 * s.both_n / (len(n.w) - 1 + len(t.w) - 1) AS dice
+  FROM shared s JOIN numbered n USING (u) JOIN t_words t USING (t)
+)
+SELECT doc_id, license, max(dice) AS dice, count(DISTINCT u) FILTER (kind = 'line') AS n_lines
+FROM scored WHERE dice >= 0.8 GROUP BY doc_id, license
+"""
+
 _OP6_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
 _OP6_SQL = f"""
 WITH rules(host, path, verdict) AS (VALUES {_OP6_RULES}), split AS (
@@ -142,6 +177,7 @@ FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_license_scan": _OP3_SQL,
     "op6_url_filter": _OP6_SQL,
     "op7_exact_dedup": _OP7_SQL,
 }
