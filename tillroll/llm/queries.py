@@ -19,6 +19,7 @@ from tillroll.llm.labelled_pages import labelled_pages
 from tillroll.llm.license_texts import TEMPLATES
 from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
+from tillroll.llm.suffix import remove_repeats
 from tillroll.llm.urls import judge_urls
 
 # The tokenizers of the contracts.
@@ -100,6 +101,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -110,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 # the white space of the contracts, as a character class for DuckDB
