@@ -129,5 +129,5 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFram
     kept; of rows that repeat the kept doc_id, each stays (they are one
     document of the input; exact dedup removes repeats)."""
     found = near_duplicates(docs, shingle, max_bits)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
