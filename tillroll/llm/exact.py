@@ -47,21 +47,21 @@ def normalised(raw: bytes) -> bytes:
     return raw.translate(None, WHITE)
 
 
-def _leading(digests: np.ndarray) -> np.ndarray:
-    """The leading FINGERPRINT_BITS of 32-byte digests (n x 32, uint8)."""
-    return np.ascontiguousarray(digests[:, :8]).view(">u8").ravel().astype(np.uint64) >> np.uint64(64 - FINGERPRINT_BITS)
+def _leading(digests: np.ndarray, bits: int = FINGERPRINT_BITS) -> np.ndarray:
+    """The leading ``bits`` of 32-byte digests (n x 32, uint8)."""
+    return np.ascontiguousarray(digests[:, :8]).view(">u8").ravel().astype(np.uint64) >> np.uint64(64 - bits)
 
 
-def _chunks(docs: DataFrame, owners: int) -> DataFrame:
+def _chunks(docs: DataFrame, owners: int, bits: int, chunk_rows: int) -> DataFrame:
     """One row for each chunk of rows and owner: the coded fingerprints, and
     what the sender keeps of its rows (ids, digests, code points)."""
 
     def flush(name: str, ids: list, digests: list[bytes], points: list[int]) -> pa.RecordBatch:
         table = np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32)
-        fps = _leading(table)
+        fps = _leading(table, bits)
         order = np.argsort(fps, kind="stable")
         fps = fps[order]
-        owner = (fps * np.uint64(owners)) >> np.uint64(FINGERPRINT_BITS)
+        owner = (fps * np.uint64(owners)) >> np.uint64(bits)
         size = np.array(points, np.int64)
         columns: list[list] = [[] for _ in _CHUNK]
         for rows in np.split(np.arange(len(fps)), np.flatnonzero(np.diff(owner)) + 1):
@@ -91,13 +91,13 @@ def _chunks(docs: DataFrame, owners: int) -> DataFrame:
             ids += batch.column(0).to_pylist()
             digests += [hashlib.sha256(normalised(x)).digest() for x in raw]
             points += utf8_lengths(raw).tolist()
-            if len(ids) >= CHUNK_ROWS:
+            if len(ids) >= chunk_rows:
                 yield flush(f"{part}-{made}", ids, digests, points)
                 made, ids, digests, points = made + 1, [], [], []
         if ids:
             yield flush(f"{part}-{made}", ids, digests, points)
 
-    # owners split 2**48 fingerprints; fps * owners must stay below 2**64
+    # owners have equal ranges; fps * owners stays below 2**64
     return id_text(docs).mapInArrow(run, _DDL_CHUNK)
 
 
@@ -205,7 +205,7 @@ def _texts(docs: DataFrame, table: np.ndarray) -> DataFrame:
     return id_text(docs).mapInArrow(run, "digest binary, body binary, points long, inverse_id long, rows long")
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, bits: int = FINGERPRINT_BITS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(doc_id, keep_id, group_size, kept, digest) for every row of ``docs``.
 
     Texts are equal when their bytes are after deleting white space
@@ -216,7 +216,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     repeat doc_id and text count in group_size and are all marked alike; an
     empty table gives an empty table; other columns are ignored."""
     owners = min(shuffle_partitions(docs), 1 << 15)
-    chunks = cut(_chunks(docs, owners))
+    chunks = cut(_chunks(docs, owners, bits, chunk_rows))
     rows = cut(_rows(chunks, _bitmaps(chunks)))
     suspects = rows.where("suspect")
     table = _bit_table(suspects.select("digest"))
