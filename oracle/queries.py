@@ -3,7 +3,7 @@
 Statements follow the as-written reference queries where DuckDB can run them
 (fan-out joins included), so they check the Spark jobs' fan-out-free
 re-weighting. Every computed column is cast to the Spark output type; money
-is summed as DECIMAL(18,4) and ratios divide DOUBLEs, as the jobs do.
+is summed as DECIMAL(38,6) and ratios divide DOUBLEs, as the jobs do.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import datetime as dt
 from oracle.views import with_views
 from tillroll.plans.registry import AS_OF, W_COHORT, W_EVT, W_JANUARY, W_LAST_YEAR, W_LEDGER, W_ORD
 
-D = "DECIMAL(18,4)"
+D = "DECIMAL(38,6)"
 
 
 def _ts(s: str) -> str:
@@ -225,7 +225,7 @@ WHERE {win('f.first_paid', W_ORD)}""",
 SELECT CAST(r.receipt_id AS VARCHAR) AS expense_id, 'inventory' AS expense_type,
        {dbl(dsum('ri.quantity * ri.unit_cost'))} AS amount, r.receipt_date AS expense_date,
        CAST(r.supplier_id AS VARCHAR) AS reference_id
-FROM inventory__inventory_receipts r JOIN all_receipt_items ri ON r.receipt_id = ri.receipt_id
+FROM inventory__inventory_receipts r JOIN inventory__receipt_items ri ON r.receipt_id = ri.receipt_id
 WHERE {win('r.receipt_date', W_ORD)}
 GROUP BY r.receipt_id, r.receipt_date, r.supplier_id""",
     "monthly_profit": f"""
@@ -259,7 +259,7 @@ WITH mv AS (
   WHERE {win('ir.receipt_date', W_LEDGER)}
   UNION ALL
   SELECT o.warehouse_id, oi.product_id, CAST(o.order_time AS DATE), 0, oi.quantity, 0, 0, 0
-  FROM ledger_order_items oi JOIN order_center__orders o ON oi.order_id = o.order_id
+  FROM order_center__order_items oi JOIN order_center__orders o ON oi.order_id = o.order_id
   WHERE {win('o.order_time', W_LEDGER)}
   UNION ALL
   SELECT warehouse_id, product_id, CAST(adjustment_time AS DATE), 0, 0, quantity_change, 0, 0
@@ -294,6 +294,55 @@ run AS (SELECT *, rc - sl + aj + ti - tto AS net,
 SELECT d AS date, warehouse_id, product_id, {dbl('ending - net')} AS beginning_quantity,
        {dbl('rc')} AS receipts, {dbl('sl')} AS sales, {dbl('aj')} AS adjustments, {dbl('ti')} AS transfers_in,
        {dbl('tto')} AS transfers_out, {dbl('ending')} AS ending_quantity
+FROM run""",
+    "inventory_levels_carried": f"""
+WITH mv AS (
+  SELECT ir.warehouse_id, ri.product_id, CAST(ir.receipt_date AS DATE) AS d, ri.quantity AS rc,
+         CAST(0 AS DOUBLE) AS sl, CAST(0 AS DOUBLE) AS aj, CAST(0 AS DOUBLE) AS ti, CAST(0 AS DOUBLE) AS tto
+  FROM inventory__receipt_items ri JOIN inventory__inventory_receipts ir ON ri.receipt_id = ir.receipt_id
+  WHERE {win('ir.receipt_date', W_LEDGER)}
+  UNION ALL
+  SELECT o.warehouse_id, oi.product_id, CAST(o.order_time AS DATE), 0, oi.quantity, 0, 0, 0
+  FROM order_center__order_items oi JOIN order_center__orders o ON oi.order_id = o.order_id
+  WHERE {win('o.order_time', W_LEDGER)}
+  UNION ALL
+  SELECT warehouse_id, product_id, CAST(adjustment_time AS DATE), 0, 0, quantity_change, 0, 0
+  FROM inventory__inventory_adjustments WHERE {win('adjustment_time', W_LEDGER)}
+  UNION ALL
+  SELECT it.destination_warehouse_id, t.product_id, CAST(it.transfer_date AS DATE), 0, 0, 0, t.quantity, 0
+  FROM inventory__transfer_items t JOIN inventory__inventory_transfers it ON t.transfer_id = it.transfer_id
+  WHERE {win('it.transfer_date', W_LEDGER)}
+  UNION ALL
+  SELECT it.source_warehouse_id, t.product_id, CAST(it.transfer_date AS DATE), 0, 0, 0, 0, t.quantity
+  FROM inventory__transfer_items t JOIN inventory__inventory_transfers it ON t.transfer_id = it.transfer_id
+  WHERE {win('it.transfer_date', W_LEDGER)}),
+m AS (SELECT warehouse_id, product_id, d, {dsum('rc')} AS rc, {dsum('sl')} AS sl, {dsum('aj')} AS aj,
+             {dsum('ti')} AS ti, {dsum('tto')} AS tto FROM mv GROUP BY 1, 2, 3),
+firsts AS (SELECT warehouse_id, product_id, MIN(f) AS f FROM (
+             SELECT warehouse_id, product_id, MIN(d) AS f FROM m GROUP BY 1, 2
+             UNION ALL SELECT warehouse_id, product_id, DATE '{W_LEDGER.date}' FROM inventory__product_inventory
+             UNION ALL SELECT warehouse_id, product_id, DATE '{W_LEDGER.date}' FROM prior_ledger)
+           WHERE warehouse_id IN (SELECT warehouse_id FROM inventory__warehouses)
+             AND product_id IN (SELECT product_id FROM product_center__products)
+           GROUP BY 1, 2),
+grid AS (SELECT f.warehouse_id, f.product_id, CAST(g.d AS DATE) AS d
+         FROM firsts f, LATERAL (SELECT unnest(generate_series(CAST(f.f AS TIMESTAMP),
+                                   TIMESTAMP '{W_LEDGER.date_next} 00:00:00' - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS d) g),
+carried AS (SELECT warehouse_id, product_id, {dsum('ending_quantity')} AS q FROM prior_ledger
+            WHERE date = DATE '{W_LEDGER.date}' - 1 GROUP BY 1, 2),
+led AS (SELECT g.warehouse_id, g.product_id, g.d,
+               COALESCE(m.rc, 0) AS rc, COALESCE(m.sl, 0) AS sl, COALESCE(m.aj, 0) AS aj,
+               COALESCE(m.ti, 0) AS ti, COALESCE(m.tto, 0) AS tto,
+               CASE WHEN g.d = DATE '{W_LEDGER.date}' THEN COALESCE(c.q, 0) ELSE 0 END AS carried
+        FROM grid g LEFT JOIN m ON m.warehouse_id = g.warehouse_id AND m.product_id = g.product_id AND m.d = g.d
+        LEFT JOIN carried c ON c.warehouse_id = g.warehouse_id AND c.product_id = g.product_id),
+run AS (SELECT *, rc - sl + aj + ti - tto AS net,
+               SUM(carried + rc - sl + aj + ti - tto) OVER (PARTITION BY warehouse_id, product_id ORDER BY d
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ending
+        FROM led)
+SELECT d AS date, warehouse_id, product_id, {dbl('ending - net')} AS beginning_quantity,
+       {dbl('rc')} AS receipts, {dbl('sl')} AS sales, {dbl('aj')} AS adjustments, {dbl('ti')} AS transfers_in,
+       {dbl('tto')} AS transfers_out, {dbl('ending')} AS ending_quantity
 FROM run""",
     "low_stock_alerts": f"""
 SELECT i.product_id, i.warehouse_id, i.quantity AS current_quantity, p.reorder_threshold AS threshold,

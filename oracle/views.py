@@ -40,8 +40,9 @@ VIEWS: dict[str, str] = {
         l_extendedprice AS price, l_shipdate AS create_time FROM lineitem""",
     "order_center__order_items": """SELECT l_orderkey AS order_id, l_partkey AS product_id, l_quantity AS quantity,
         l_extendedprice AS unit_price, l_quantity * l_extendedprice AS subtotal FROM lineitem""",
-    "ledger_order_items": """SELECT l_orderkey AS order_id, l_partkey AS product_id, l_quantity AS quantity
-        FROM lineitem WHERE l_returnflag = 'R'""",
+    "prior_ledger": """SELECT DATE '1996-06-02' AS date, p_partkey % 10 AS warehouse_id, p_partkey AS product_id,
+        CAST(p_size AS DOUBLE) AS ending_quantity FROM part
+        UNION ALL SELECT DATE '1996-06-02', (p_partkey + 3) % 10, p_partkey, CAST(p_size AS DOUBLE) FROM part""",
     "payment_center__payments": f"""SELECT {LINE_ID} AS payment_id, l_orderkey AS order_id, o.o_custkey AS user_id,
         l_extendedprice AS amount, l_shipdate AS payment_time, {DONE_IF_F} AS status
         FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey""",
@@ -79,7 +80,7 @@ VIEWS: dict[str, str] = {
         CAST(p_partkey % 60 AS DOUBLE) AS quantity, {PART_TS} AS last_updated FROM part""",
     "raw_data__price_change_logs": """SELECT user_id AS product_id, value AS new_price, ts AS change_time,
         event_type AS change_reason FROM events""",
-    "raw_data__product_reviews": """SELECT event_id AS review_id, event_id % 200 AS product_id, user_id,
+    "raw_data__product_reviews": """SELECT event_id AS review_id, user_id AS product_id, user_id,
         CAST(1 + event_id % 5 AS INTEGER) AS rating, props AS comment, ts AS create_time
         FROM events WHERE event_type = 'view'""",
     "product_center__product_reviews": """SELECT review_id, product_id, user_id, rating, comment AS review_text,
@@ -147,7 +148,7 @@ VIEWS: dict[str, str] = {
     # inventory
     "raw_data__warehouse_records": f"""SELECT s_suppkey AS warehouse_id, s_name AS warehouse_name,
         CAST(s_nationkey AS VARCHAR) AS warehouse_location, CAST(1000 AS BIGINT) AS storage_capacity,
-        'open' AS operational_status, {jan_ts('s_suppkey')} AS create_time FROM supplier WHERE s_suppkey < 10""",
+        'open' AS operational_status, {jan_ts('s_suppkey')} AS create_time FROM supplier""",
     "inventory__warehouses": """SELECT warehouse_id, warehouse_name AS name, warehouse_location AS location,
         storage_capacity AS capacity, operational_status AS status FROM raw_data__warehouse_records""",
     "raw_data__inventory_receipts": """SELECT o_orderkey AS receipt_id, o_custkey % 10 AS warehouse_id,
@@ -156,14 +157,12 @@ VIEWS: dict[str, str] = {
         item_count AS total_items FROM raw_data__inventory_receipts""",
     "raw_data__receipt_item_details": """SELECT l_orderkey AS receipt_id, l_partkey AS product_id,
         l_quantity AS received_quantity, l_extendedprice AS cost_per_unit, l_shipdate AS create_time
-        FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'""",
+        FROM lineitem""",
     "inventory__receipt_items": """SELECT l_orderkey AS receipt_id, l_partkey AS product_id, l_quantity AS quantity,
-        l_extendedprice AS unit_cost FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'""",
-    "all_receipt_items": """SELECT l_orderkey AS receipt_id, l_partkey AS product_id, l_quantity AS quantity,
         l_extendedprice AS unit_cost FROM lineitem""",
     "raw_data__inventory_adjustments": f"""SELECT {LINE_ID} AS adjustment_id, l_suppkey % 10 AS warehouse_id,
         l_partkey AS product_id, l_quantity - 25 AS quantity_delta, l_linestatus AS adjustment_reason,
-        l_shipdate AS adjustment_time FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'F'""",
+        l_shipdate AS adjustment_time FROM lineitem""",
     "inventory__inventory_adjustments": """SELECT adjustment_id, warehouse_id, product_id,
         quantity_delta AS quantity_change, adjustment_reason AS reason, adjustment_time
         FROM raw_data__inventory_adjustments""",
@@ -174,10 +173,10 @@ VIEWS: dict[str, str] = {
         to_warehouse_id AS destination_warehouse_id, transfer_date, transfer_status AS status
         FROM raw_data__inventory_transfers""",
     "raw_data__transfer_item_details": """SELECT l_orderkey AS transfer_id, l_partkey AS product_id,
-        l_quantity AS transfer_quantity, l_shipdate AS create_time FROM lineitem WHERE l_returnflag = 'A'""",
+        l_quantity AS transfer_quantity, l_shipdate AS create_time FROM lineitem""",
     "inventory__transfer_items": """SELECT transfer_id, product_id, transfer_quantity AS quantity
         FROM raw_data__transfer_item_details""",
-    "inventory__low_stock_alerts": """SELECT event_id % 200 AS product_id, (event_id % 200) % 10 AS warehouse_id,
+    "inventory__low_stock_alerts": """SELECT user_id AS product_id, user_id % 10 AS warehouse_id,
         CAST(ts AS DATE) AS alert_date FROM events WHERE event_type = 'error'""",
     # tables other jobs fill, over all history
     "finance__revenue": """SELECT o.order_id, o.user_id, o.total_amount AS amount, p.payment_time AS revenue_date,
@@ -189,18 +188,18 @@ VIEWS: dict[str, str] = {
         UNION ALL SELECT CAST(shipment_id AS VARCHAR), 'shipping', shipping_cost, shipping_date,
             CAST(order_id AS VARCHAR) FROM logistics__shipments
         UNION ALL SELECT CAST(r.receipt_id AS VARCHAR), 'inventory',
-            CAST(SUM(CAST(i.quantity * i.unit_cost AS DECIMAL(18,4))) AS DOUBLE), r.receipt_date,
+            CAST(SUM(CAST(i.quantity * i.unit_cost AS DECIMAL(38,6))) AS DOUBLE), r.receipt_date,
             CAST(r.supplier_id AS VARCHAR)
-            FROM inventory__inventory_receipts r JOIN all_receipt_items i ON i.receipt_id = r.receipt_id
+            FROM inventory__inventory_receipts r JOIN inventory__receipt_items i ON i.receipt_id = r.receipt_id
             GROUP BY r.receipt_id, r.receipt_date, r.supplier_id
         UNION ALL SELECT CAST(campaign_id AS VARCHAR), 'marketing', budget_spent, CAST(end_date AS TIMESTAMP),
             CAST(channel_id AS VARCHAR) FROM marketing__campaigns""",
     "analytics__user_activity_summary": """SELECT user_id, CAST(login_time AS DATE) AS date,
-        CAST(SUM(CAST(session_duration AS DECIMAL(18,4))) AS DOUBLE) / 60 AS active_minutes
+        CAST(SUM(CAST(session_duration AS DECIMAL(38,6))) AS DOUBLE) / 60 AS active_minutes
         FROM raw_data__user_sessions GROUP BY user_id, CAST(login_time AS DATE)""",
 }
 
-_NAME = re.compile(r"\b[a-z_]+__[a-z_]+\b|\b(?:ev_orders|ledger_order_items|all_receipt_items)\b")
+_NAME = re.compile(r"\b[a-z_]+__[a-z_]+\b|\b(?:ev_orders|prior_ledger)\b")
 
 
 def _deps(sql: str) -> list[str]:

@@ -11,7 +11,7 @@ from tests.conftest import SF_SMALL
 from tillroll.functions.window import BatchWindow
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import lead_time, top1_by_count
-from tillroll.operators.sizing import MAX_ROWS_CONF, is_bounded, join_small
+from tillroll.operators.sizing import MAX_BYTES_CONF, MAX_ROWS_CONF, is_small, join_small, measure, probe_seconds
 from tillroll.plans import inventory
 from tillroll.plans.registry import BY_NAME
 from tillroll.sources.fixtures import fixture_tables
@@ -45,15 +45,97 @@ def test_lead_time_equals_plain_lead_with_a_hot_key(spark):
 def test_join_small_paths_agree(spark):
     big = spark.range(0, 5000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
     small = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert is_bounded(small, 40) and not is_bounded(small, 39) and not is_bounded(small, 0)
     for how in ("inner", "left", "left_semi", "left_anti"):
-        a = sorted(tuple(r) for r in join_small(big, small, "k", how, max_rows=100).collect())
-        b = sorted(tuple(r) for r in join_small(big, small, "k", how, max_rows=0).collect())
+        a = sorted(tuple(r) for r in join_small(big, small, "k", how, proven=True).collect())
+        b = sorted(tuple(r) for r in join_small(big, small, "k", how, proven=False).collect())
         assert a == b
-    plan = join_small(big, small, "k", max_rows=100)._jdf.queryExecution().executedPlan().toString()
+    plan = join_small(big, small, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
+def test_broadcast_bound_is_measured(spark):
+    rows = [(i, "x" * 1000, None if i % 2 else [i] * 10) for i in range(50)]
+    df = spark.createDataFrame(rows, "k long, s string, a array<int>")
+    n, size = measure(df)
+    assert n == 50 and 50 * 1000 < size < 50 * 1300  # long strings count in full
+    probe_seconds(reset=True)
+    try:
+        for conf, value, want in ((MAX_ROWS_CONF, "50", True), (MAX_ROWS_CONF, "49", False), (MAX_BYTES_CONF, "40000", False), (MAX_BYTES_CONF, str(size), True)):
+            spark.conf.set(conf, value)
+            assert is_small(df) is want
+            spark.conf.unset(conf)
+        assert probe_seconds()[1] == 4
+        spark.conf.set(MAX_ROWS_CONF, "0")
+        assert not is_small(df) and probe_seconds()[1] == 4  # off: no probe
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)
+        spark.conf.unset(MAX_BYTES_CONF)
+
+
+def test_no_job_probes_more_than_twice(spark):
+    for job in BY_NAME.values():
+        t = fixture_tables(spark, SF_SMALL, job.profile)
+        for name in ("finance.revenue", "finance.expenses", "analytics.user_activity_summary"):
+            t[name]  # filled by other jobs: their probes are not this job's
+        probe_seconds(reset=True)
+        job.fn(t, job.window)
+        assert probe_seconds()[1] <= 2, job.name
+
+
+def test_sums_equal_decimal_sums(spark):
+    from decimal import Decimal
+
+    from tillroll.functions.scalars import dsum, unscale
+
+    values = ["0.00004", "12.345678", "-0.00005", "-7.654321", "0.1", "0.2", "-0.000001", "123456789.123456"]
+    want = float(sum(map(Decimal, values)))
+    df = spark.createDataFrame([(float(v), Decimal(v), 3) for v in values] + [(None, None, None)], "d double, n decimal(20,6), i int")
+    got = df.agg(unscale(dsum("d")).alias("d"), unscale(dsum("n")).alias("n"), unscale(dsum("i")).alias("i")).first()
+    assert (got.d, got.n, got.i) == (want, want, 3.0 * len(values))
+    import pytest
+
+    with pytest.raises(Exception, match="more than six decimals"):
+        spark.createDataFrame([(0.12345678,)], "d double").agg(dsum("d")).collect()
+
+
+def test_lead_time_breaks_ties_by_the_given_columns(spark):
+    at = T(2024, 1, 1, 5)
+    rows = [(1, at, 3.0), (1, at, 1.0), (1, at, 2.0), (1, at + dt.timedelta(days=40), 0.5)]
+    for order in (rows, rows[::-1], [rows[1], rows[3], rows[0], rows[2]]):
+        df = spark.createDataFrame(order, "k long, ts timestamp_ntz, p double").repartition(3)
+        got = {r.p: r.nxt for r in lead_time(df, "k", "ts", "nxt", ties=("p",)).collect()}
+        assert got == {1.0: at, 2.0: at, 3.0: rows[3][1], 0.5: None}
+
+
+def test_conversion_with_a_third_of_all_events_on_one_user(spark, tables):
+    from tillroll.plans import orders
+
+    rnd = random.Random(8)
+    kinds = ("add_to_cart", "begin_checkout", "view")
+    when = lambda: T(2024, 1, 8 + rnd.randint(0, 2), rnd.randint(0, 23))
+    events = [(7 if i % 3 == 0 else rnd.choice([None, 1, 2, 3, 4]), when(), rnd.choice(kinds)) for i in range(3000)]
+    placed = [(i % 90, 7 if i % 3 == 0 else rnd.choice([None, 1, 2, 9]), when()) for i in range(120)]
+    placed = [(i, u, d) for (i, u), d in {(i, u): d for i, u, d in placed}.items()]
+    placed = list({i: (i, u, d) for i, u, d in placed}.values())
+    t = tables(
+        raw_data__user_events=("user_id bigint, event_time timestamp_ntz, event_type string", events),
+        order_center__orders=("order_id bigint, user_id bigint, order_time timestamp_ntz", placed),
+    )
+    w = BatchWindow("2024-01-08", "2024-01-11")
+    want = {}
+    for u, at, kind in events:
+        same = [o for o, x, d in placed if x is not None and x == u and d.date() == at.date()]
+        day = want.setdefault(at.date(), [0, 0, 0, 0, set()])
+        for k, name in enumerate(kinds[:2]):
+            day[k] += (kind == name) * max(1, len(same))
+            day[2 + k] += kind == name
+        day[4] |= set(same)
+    written = {r.date: (r.cart_additions, r.checkout_starts, r.orders_completed) for r in orders.order_conversion(t, w).collect()}
+    exact = {r.date: (r.cart_additions, r.checkout_starts, r.orders_completed) for r in orders.order_conversion_exact(t, w).collect()}
+    assert written == {d: (v[0], v[1], len(v[4])) for d, v in want.items()}
+    assert exact == {d: (v[2], v[3], len(v[4])) for d, v in want.items()}
+
+
 def test_top1_by_count_ties_and_nulls(spark):
     df = spark.createDataFrame(
         [(1, "b", 3), (1, "a", 3), (1, "c", 1), (2, "z", 1), (3, None, 5), (3, "q", 2)],
@@ -74,7 +156,7 @@ def test_apply_changes_preserves_untouched_rows(spark):
 
 
 def _ledger(spark, window, prior=None):
-    t = fixture_tables(spark, SF_SMALL, "ledger")
+    t = fixture_tables(spark, SF_SMALL)
     if prior is not None:
         t = t.override(analytics__inventory_levels=prior)
     return inventory.inventory_levels(t, window)

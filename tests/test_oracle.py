@@ -25,7 +25,7 @@ def con():
 
 
 def test_every_job_has_an_oracle():
-    assert len(QUERIES) == 59
+    assert len(QUERIES) == 60
     assert set(QUERIES) == set(ORACLE)
 
 

@@ -2,13 +2,14 @@
 
 Money and other fractional measures are summed exactly, so a sum does not
 depend on the order rows arrive in: each value becomes an integer count of
-1/10,000 units (``exact``), sums and differences stay in 64-bit integers
+1/1,000,000 units (``exact``), sums and differences stay in 64-bit integers
 (plain long arithmetic inside whole-stage codegen; Spark widens a DECIMAL sum
 to a BigDecimal-backed type, which is several times slower), and ``unscale``
 turns the result into the correctly rounded DOUBLE, the same value a
-DECIMAL(18,4) sum cast to DOUBLE gives. Ratios follow MySQL: division by zero
-is NULL (``try_divide``), and integer operands give a fractional result.
-Integer sums fail loudly on overflow under ANSI mode (past 9.2e14 units).
+DECIMAL(38,6) sum cast to DOUBLE gives, negative values included. Nothing is
+cut silently: a value with more than six decimals fails the job, as does a
+sum past 9.2e12 (ANSI overflow). Ratios follow MySQL: division by zero is
+NULL (``try_divide``), and integer operands give a fractional result.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: fractional inputs carry at most four decimals (money has two,
-# products of two money-like values four), so they are exact in 1/10,000s.
-SCALE = 10_000
+# Fractional inputs carry at most six decimals (money has two,
+# products of two money-like values four); what a DOUBLE lacks to its decimal
+# is far less than TOLERANCE units.
+SCALE = 1_000_000
+TOLERANCE = 1e-3
 
 
 def _c(col: str | Column) -> Column:
@@ -26,17 +29,24 @@ def _c(col: str | Column) -> Column:
 
 
 def exact(col: str | Column) -> Column:
-    """A fractional measure as an exact integer number of 1/10,000 units."""
-    return F.floor(_c(col) * SCALE + 0.5).cast("long")
+    """A fractional measure (DOUBLE, DECIMAL or integer) as an exact integer
+    number of 1/1,000,000 units."""
+    units = _c(col) * F.lit(SCALE)
+    size = F.abs(units)
+    whole = F.floor(size + F.lit(0.5)).cast("double")
+    # past 2**53 / 4 units a DOUBLE no longer holds the decimals themselves
+    cut = (F.abs(size - whole) > TOLERANCE) & (size < 2.0**51)
+    refused = F.raise_error(F.concat(F.lit("more than six decimals: "), _c(col).cast("string"))).cast("long")
+    return F.when(cut, refused).otherwise((F.signum(units) * whole).cast("long"))
 
 
 def dsum(col: str | Column) -> Column:
-    """Order-independent SUM of a fractional measure (in 1/10,000 units)."""
+    """Order-independent SUM of a fractional measure (in 1/1,000,000 units)."""
     return F.sum(exact(col))
 
 
 def unscale(col: str | Column) -> Column:
-    """An exact 1/10,000-unit integer back to DOUBLE (correctly rounded)."""
+    """An exact 1/1,000,000-unit integer back to DOUBLE (correctly rounded)."""
     return _c(col).cast("double") / F.lit(float(SCALE))
 
 

@@ -1,17 +1,16 @@
-"""UPDATE as a snapshot rewrite.
+"""UPDATE as a rewrite of the partitions it touches.
 
-Parquet tables cannot be updated in place, so an UPDATE job returns the new
-table: ``target LEFT JOIN changes`` on the key, taking the new value where a
-change matched and the old one elsewhere. Row count and untouched rows are
+Parquet tables cannot be updated in place, so an UPDATE job returns new
+contents: ``target LEFT JOIN changes`` on the key, taking the new value where
+a change matched and the old one elsewhere. Row count and untouched rows are
 preserved. ``changes`` must hold at most one row per key; callers pass a
 distinct key set or an aggregate.
 
-On a day-partitioned target (a ``batch_day`` or ``<column>__day`` partition
-column, as the sinks write) the result holds only the partitions that contain
-a changed key, which is what the dynamic-overwrite sink replaces: the days
-are found from the key and day columns alone, and the full rows are then
-read for those days only (a literal partition filter, so whole days are
-never listed or opened). Without a day column the whole table is returned.
+On a partitioned target (as the sinks write) the result holds the whole
+partitions with a changed row, which is what the sink replaces: the distinct
+partition values with a match are found from the key and partition columns
+alone, and a semi-join on them prunes the read of the full rows (dynamic
+partition pruning). Without a partition column the whole table is returned.
 """
 
 from __future__ import annotations
@@ -22,33 +21,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.window import DAY_SUFFIX
-from tillroll.operators.sizing import join_small
+from tillroll.operators.sizing import is_small, join_small
 
 _HIT = "__tillroll_matched"
+_PARTITIONS = ("batch_day", "batch_window")
 
-# Fixed value: at most this many touched days are turned into a partition
-# filter (one date each); past it the whole target is read.
-MAX_TOUCHED_DAYS = 10_000
 
-
-def _touched_days(target: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    parts = [c for c in target.columns if c == "batch_day" or c.endswith(DAY_SUFFIX)]
-    if len(parts) != 1:
-        return target
-    part = parts[0]
-    hit_days = (
-        join_small(target.select(*keys, part), changes.select(*keys), list(keys), "left_semi")
-        .select(part)
-        .distinct()
-    )
-    # the distinct days of the table's calendar, not table rows
-    days = [r[0] for r in hit_days.limit(MAX_TOUCHED_DAYS + 1).collect()]
-    if len(days) > MAX_TOUCHED_DAYS:
+def _touched(target: DataFrame, hits: DataFrame) -> DataFrame:
+    """The partitions of ``target`` that ``hits`` (some of its rows) are in."""
+    parts = [c for c in target.columns if c in _PARTITIONS or c.endswith(DAY_SUFFIX)]
+    if not parts:
         return target
-    cond = F.col(part).isin([d for d in days if d is not None]) if any(d is not None for d in days) else F.lit(False)
-    if None in days:
-        cond = cond | F.col(part).isNull()
-    return target.where(cond)
+    values = hits.select(*[F.col(c).alias(f"__{c}") for c in parts]).distinct()
+    same = F.lit(True)
+    for c in parts:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return target.join(values, same, "left_semi")
 
 
 def apply_changes(
@@ -59,17 +47,19 @@ def apply_changes(
 ) -> DataFrame:
     """Rewrite ``target``: where ``keys`` match a row of ``changes``, set each
     column of ``set_exprs`` (expressions may use columns of either side)."""
-    target = _touched_days(target, changes, keys)
+    small = is_small(changes)
+    hits = join_small(target, changes.select(*keys), list(keys), "left_semi", proven=small)
     flagged = changes.withColumn(_HIT, F.lit(True))
-    joined = join_small(target, flagged, list(keys), "left")
-    hit = F.col(_HIT).isNotNull()
-    out_cols = []
-    for name in target.columns:
-        if name in set_exprs:
-            out_cols.append(F.when(hit, set_exprs[name]).otherwise(F.col(name)).alias(name))
-        else:
-            out_cols.append(F.col(name))
-    for name, expr in set_exprs.items():
-        if name not in target.columns:
-            out_cols.append(F.when(hit, expr).alias(name))
-    return joined.select(*out_cols)
+    joined = join_small(_touched(target, hits), flagged, list(keys), "left", proven=small)
+    return _set(joined, target.columns, F.col(_HIT).isNotNull(), set_exprs)
+
+
+def apply_where(target: DataFrame, cond: Column, set_exprs: Mapping[str, Column]) -> DataFrame:
+    """Rewrite ``target``: set each column of ``set_exprs`` where ``cond``
+    holds (NULL counts as false)."""
+    return _set(_touched(target, target.where(cond)), target.columns, F.coalesce(cond, F.lit(False)), set_exprs)
+
+
+def _set(df: DataFrame, columns: Sequence[str], hit: Column, set_exprs: Mapping[str, Column]) -> DataFrame:
+    out = [F.when(hit, set_exprs[c]).otherwise(F.col(c)).alias(c) if c in set_exprs else F.col(c) for c in columns]
+    return df.select(*out, *[F.when(hit, e).alias(c) for c, e in set_exprs.items() if c not in columns])

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.window import BatchWindow, windowed
-from tillroll.sources.schemas import conform
+from tillroll.sources.schemas import fields
 from tillroll.sources.tables import Tables
 
 # An output column: target name -> source column name, or a Column builder
@@ -42,17 +42,20 @@ def _resolve(src: ColumnSource, w: BatchWindow) -> Column:
     return src(w)
 
 
-def load(spec: LoadSpec, tables: Tables, w: BatchWindow) -> DataFrame:
+def load(spec: LoadSpec, tables: Tables, w: BatchWindow, batch_day: str | None = None) -> DataFrame:
+    """The target's rows of the window; with ``batch_day``, also the calendar
+    day of the source's window column, under that name."""
     df = windowed(tables[spec.source], spec.time_col, w)
     if spec.where is not None:
         df = df.where(spec.where())
-    out = df.select(*[_resolve(src, w).alias(name) for name, src in spec.columns])
-    return conform(out, spec.target)
+    day = [] if batch_day is None else [F.to_date(spec.time_col).alias(batch_day)]
+    kinds, made = dict(fields(spec.target)), dict(spec.columns)
+    return df.select(*[_resolve(made[name], w).cast(kind).alias(name) for name, kind in kinds.items()], *day)
 
 
 def load_job(spec: LoadSpec) -> Callable[[Tables, BatchWindow], DataFrame]:
-    def job(tables: Tables, w: BatchWindow) -> DataFrame:
-        return load(spec, tables, w)
+    def job(tables: Tables, w: BatchWindow, batch_day: str | None = None) -> DataFrame:
+        return load(spec, tables, w, batch_day)
 
     job.__name__ = spec.name
     job.__doc__ = spec.doc or f"{spec.source} -> {spec.target}, window on {spec.time_col}"

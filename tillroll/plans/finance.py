@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale, windowed
-from tillroll.operators.sizing import broadcast_max_rows, is_bounded, join_small
+from tillroll.operators.sizing import is_small, join_small
 from tillroll.plans.loads import JOBS as _LOADS
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
@@ -49,7 +49,7 @@ def revenue_recognition_exact(t: Tables, w: BatchWindow) -> DataFrame:
         .agg(F.min("payment_time").alias("revenue_date"))
     )
     ids = firsts.select("order_id")
-    small = is_bounded(ids, broadcast_max_rows(firsts))
+    small = is_small(firsts)
     paid_before = join_small(
         payments.where(F.col("payment_time") < w.lo).select("order_id"), ids, "order_id", "left_semi", proven=small
     )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions import BatchWindow, day, dsum, exact, since, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
-from tillroll.sources.schemas import conform
+from tillroll.sources.schemas import APPLIED, conform
 from tillroll.sources.tables import Tables
 
 # Fixed value: an alert suppresses new alerts for the same stock this long.
@@ -18,72 +20,54 @@ MOVES = ("receipts", "sales", "adjustments", "transfers_in", "transfers_out")
 PAIR = ["warehouse_id", "product_id"]
 
 
-def _items_of(items: DataFrame, headers: DataFrame, key: str) -> DataFrame:
-    """Item rows of the window's headers; headers broadcast when small."""
-    return join_small(items, headers, key)
+def _rows(df: DataFrame, **given) -> DataFrame:
+    """(warehouse, product, date, moves, carried) rows; what is not given is
+    zero."""
+    zero = F.lit(0).cast("double")
+    return df.select(*PAIR, "date", *[given.get(m, zero).alias(m) for m in (*MOVES, "carried")])
 
 
-def _movements(t: Tables, w: BatchWindow) -> DataFrame:
-    """Stock movements of the window per (warehouse, product, day). Each
-    movement is dated by its header (receipt, order, adjustment, transfer)
-    and reduced to the pair-day grain before anything is joined to it."""
-    zero = F.lit(0).cast("double")
+def _item_moves(t: Tables, w: BatchWindow) -> DataFrame:
+    """Receipt, sale and transfer items of the window's headers. Headers of
+    the three kinds meet their items in one join, on (kind, id)."""
 
-    def moves(df: DataFrame, **cols) -> DataFrame:
-        vals = {m: cols.get(m, zero) for m in MOVES}
-        return df.select("warehouse_id", "product_id", "date", *[v.alias(m) for m, v in vals.items()])
+    def headers(table: str, time: str, key: str, source: str, target: str | None = None) -> DataFrame:
+        to = F.lit(None).cast("long") if target is None else F.col(target)
+        return windowed(t[table], time, w).select(
+            F.lit(table).alias("kind"), F.col(key).alias("id"), F.col(source).alias("warehouse"), to.alias("to_warehouse"), day(time).alias("date")
+        )
 
-    receipts = _items_of(
-        t["inventory.receipt_items"].select("receipt_id", "product_id", "quantity"),
-        windowed(t["inventory.inventory_receipts"], "receipt_date", w)
-        .select("receipt_id", "warehouse_id", day("receipt_date").alias("date")),
-        "receipt_id",
-    )
-    sales = _items_of(
-        t["order_center.order_items"].select("order_id", "product_id", "quantity"),
-        windowed(t["order_center.orders"], "order_time", w)
-        .select("order_id", "warehouse_id", day("order_time").alias("date")),
-        "order_id",
-    )
-    adjustments = (
-        windowed(t["inventory.inventory_adjustments"], "adjustment_time", w)
-        .select("warehouse_id", "product_id", day("adjustment_time").alias("date"), "quantity_change")
+    def items(table: str, header: str, key: str) -> DataFrame:
+        return t[table].select(F.lit(header).alias("kind"), F.col(key).alias("id"), "product_id", "quantity")
+
+    receipts, orders, transfers = "inventory.inventory_receipts", "order_center.orders", "inventory.inventory_transfers"
+    heads = (
+        headers(receipts, "receipt_date", "receipt_id", "warehouse_id")
+        .unionByName(headers(orders, "order_time", "order_id", "warehouse_id"))
+        .unionByName(headers(transfers, "transfer_date", "transfer_id", "source_warehouse_id", "destination_warehouse_id"))
     )
-    transfers = _items_of(
-        t["inventory.transfer_items"].select("transfer_id", "product_id", "quantity"),
-        windowed(t["inventory.inventory_transfers"], "transfer_date", w)
-        .select("transfer_id", "source_warehouse_id", "destination_warehouse_id", day("transfer_date").alias("date")),
-        "transfer_id",
+    lines = (
+        items("inventory.receipt_items", receipts, "receipt_id")
+        .unionByName(items("order_center.order_items", orders, "order_id"))
+        .unionByName(items("inventory.transfer_items", transfers, "transfer_id"))
     )
-    # one pass over transfer items: an inbound row at the destination and an
-    # outbound row at the source
-    legs = transfers.select(
-        "product_id",
-        "date",
-        F.inline(
-            F.array(
-                F.struct(
-                    F.col("destination_warehouse_id").alias("warehouse_id"),
-                    F.col("quantity").alias("transfers_in"),
-                    F.lit(None).cast("double").alias("transfers_out"),
-                ),
-                F.struct(
-                    F.col("source_warehouse_id").alias("warehouse_id"),
-                    F.lit(None).cast("double").alias("transfers_in"),
-                    F.col("quantity").alias("transfers_out"),
-                ),
-            )
-        ),
-    )
-    rows = (
-        moves(receipts, receipts=F.col("quantity"))
-        .unionByName(moves(sales, sales=F.col("quantity")))
-        .unionByName(moves(adjustments, adjustments=F.col("quantity_change")))
-        .unionByName(
-            moves(legs, transfers_in=F.col("transfers_in"), transfers_out=F.col("transfers_out"))
+    met = join_small(lines, heads, ["kind", "id"])
+    none = F.lit(None).cast("double")
+
+    def leg(warehouse: str, move: str):
+        return F.struct(
+            F.col(warehouse).alias("warehouse_id"),
+            *[(F.col("quantity").cast("double") if m == move else none).alias(m) for m in ("receipts", "sales", "transfers_in", "transfers_out")],
         )
+
+    # a transfer is an inbound row at its target and an outbound at its source
+    legs = (
+        F.when(F.col("kind") == receipts, F.array(leg("warehouse", "receipts")))
+        .when(F.col("kind") == orders, F.array(leg("warehouse", "sales")))
+        .otherwise(F.array(leg("to_warehouse", "transfers_in"), leg("warehouse", "transfers_out")))
     )
-    return rows.groupBy(*PAIR, "date").agg(*[F.coalesce(dsum(m), F.lit(0)).alias(m) for m in MOVES])
+    rows = met.select("product_id", "date", F.inline(legs))
+    return _rows(rows, **{m: F.col(m) for m in ("receipts", "sales", "transfers_in", "transfers_out")})
 
 
 def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
@@ -99,57 +83,45 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     window's last day. Pairs never stocked or moved are zero throughout and
     are not materialised: the warehouses x products grid is a Cartesian
     product, and the ledger never builds it.
+
+    One relation holds movements, carried balances and stocked pairs. It is
+    reduced to one row per (pair, day), so no pair is hot after it, and cut
+    to known warehouses and products once. The running balance and the next
+    day with a row come from one window per pair, and the days in between are
+    spun out of the row before them.
     """
-    # semi-joins ignore duplicate keys, so the dimension ids need no distinct
-    warehouses = t["inventory.warehouses"].select("warehouse_id")
-    products = t["product_center.products"].select("product_id")
-
-    def in_grid(df: DataFrame) -> DataFrame:
-        return df.join(warehouses, "warehouse_id", "left_semi").join(products, "product_id", "left_semi")
-
-    moves = in_grid(_movements(t, w))
-    start = w.first_day
-    prior = in_grid(
-        windowed(t["analytics.inventory_levels"], "date", BatchWindow.days_before(w, 1))
-        .groupBy(*PAIR)
-        .agg(dsum("ending_quantity").alias("carried"))
-    )
-    stocked = in_grid(t["inventory.product_inventory"].select(*PAIR))
-    starts = (
-        moves.groupBy(*PAIR)
-        .agg(F.min("date").alias("first"))
-        .unionByName(prior.select(*PAIR, start.alias("first")))
-        .unionByName(stocked.select(*PAIR, start.alias("first")))
-        .groupBy(*PAIR)
-        .agg(F.min("first").alias("first"))
-    )
-    zero = F.lit(0).cast("long")
-    grid = starts.select(
-        *PAIR,
-        F.explode(F.sequence("first", w.last_day)).alias("date"),
-        *[zero.alias(m) for m in MOVES],
-        zero.alias("carried"),
-    )
-    carried = prior.select(*PAIR, start.alias("date"), *[zero.alias(m) for m in MOVES], "carried")
-    movement_rows = moves.select(*PAIR, "date", *MOVES, zero.alias("carried"))
-    # grid, movement and carried rows meet in one shuffle by pair: every input
-    # holds at most one row per (pair, day) from each side, so no pair is hot,
-    # and the per-day sum and the running window then need no further exchange
-    per_day = (
-        grid.unionByName(movement_rows)
-        .unionByName(carried)
-        .repartition(*PAIR)
-        .groupBy(*PAIR, "date")
-        .agg(*[F.sum(m).alias(m) for m in (*MOVES, "carried")])
+    first, last = w.first_day, w.last_day
+    adjustments = windowed(t["inventory.inventory_adjustments"], "adjustment_time", w).select(
+        *PAIR, day("adjustment_time").alias("date"), "quantity_change"
     )
+    prior = windowed(t["analytics.inventory_levels"], "date", BatchWindow.days_before(w, 1)).select(*PAIR, first.alias("date"), "ending_quantity")
+    stocked = t["inventory.product_inventory"].select(*PAIR, first.alias("date"))
+    rows = (
+        _item_moves(t, w)
+        .unionByName(_rows(adjustments, adjustments=F.col("quantity_change").cast("double")))
+        .unionByName(_rows(prior, carried=F.col("ending_quantity")))
+        .unionByName(_rows(stocked))
+    )
+    per_day = rows.groupBy(*PAIR, "date").agg(*[F.coalesce(dsum(m), F.lit(0)).alias(m) for m in (*MOVES, "carried")])
+    # semi-joins ignore duplicate keys, so the dimension ids need no distinct;
+    # the last one leaves the rows partitioned by product, which the window
+    # per pair needs no further exchange for
+    per_day = per_day.join(t["inventory.warehouses"].select("warehouse_id"), "warehouse_id", "left_semi")
+    per_day = per_day.join(t["product_center.products"].select("product_id"), "product_id", "left_semi")
     net = F.col("receipts") - F.col("sales") + F.col("adjustments") + F.col("transfers_in") - F.col("transfers_out")
-    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = per_day.withColumn("net", net).withColumn("ending", F.sum(F.col("carried") + F.col("net")).over(upto))
-    out = running.select(
-        "date",
+    by_day = Window.partitionBy(*PAIR).orderBy("date")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = per_day.withColumn("net", net).select(
+        "*", F.sum(F.col("carried") + F.col("net")).over(upto).alias("ending"), F.lead("date").over(by_day).alias("next")
+    )
+    days = F.sequence("date", F.coalesce(F.date_sub("next", 1), last))
+    spun = running.select(*PAIR, *MOVES, "net", "ending", F.posexplode(days).alias("gap", "day"))
+    moved = F.col("gap") == 0
+    out = spun.select(
+        F.col("day").alias("date"),
         *PAIR,
-        unscale(F.col("ending") - F.col("net")).alias("beginning_quantity"),
-        *[unscale(m).alias(m) for m in MOVES],
+        unscale(F.when(moved, F.col("ending") - F.col("net")).otherwise(F.col("ending"))).alias("beginning_quantity"),
+        *[unscale(F.when(moved, F.col(m)).otherwise(0)).alias(m) for m in MOVES],
         unscale("ending").alias("ending_quantity"),
     )
     return conform(out, "analytics.inventory_levels")
@@ -175,10 +147,28 @@ def low_stock_alerts(t: Tables, w: BatchWindow) -> DataFrame:
     return conform(out, "inventory.low_stock_alerts")
 
 
+def _applied(w: BatchWindow) -> tuple[Column, Column, Column]:
+    """From the windows a row has had (``APPLIED``): whether ``w`` is among
+    them, whether it overlaps them otherwise, and the windows with ``w``
+    added, adjacent ones merged."""
+    lo, hi = (dt.datetime.fromisoformat(x).isoformat(sep=" ", timespec="seconds") for x in (w.date, w.date_next))
+    had = F.filter(F.split(F.coalesce(F.col(APPLIED), F.lit("")), ";"), lambda x: x != "")
+    start, end = (lambda x: F.split(x, "/").getItem(0)), (lambda x: F.split(x, "/").getItem(1))
+    covered = F.exists(had, lambda x: (start(x) <= lo) & (end(x) >= hi))
+    clash = ~covered & F.exists(had, lambda x: (start(x) < hi) & (end(x) > lo))
+    touching = F.filter(had, lambda x: (end(x) == lo) | (start(x) == hi))
+    first = F.least(F.lit(lo), F.array_min(F.transform(touching, start)))
+    last = F.greatest(F.lit(hi), F.array_max(F.transform(touching, end)))
+    rest = F.filter(had, lambda x: (end(x) != lo) & (start(x) != hi))
+    added = F.array_join(F.array_sort(F.array_append(rest, F.concat(first, F.lit("/"), last))), ";")
+    return covered, clash, added
+
+
 def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
-    """Snapshot of stock with the window's completed orders deducted per
-    (product, order warehouse). Applying it twice deducts twice, as the
-    UPDATE does; the sink records applied windows (see sinks.publish)."""
+    """Stock with the window's completed orders deducted per (product, order
+    warehouse). The deduction is not idempotent, so where stock rows have the
+    column ``APPLIED`` (tables that the sinks write), a row that has had the
+    window is left as it is, and one that has had part of it is an error."""
     orders = (
         windowed(t["order_center.orders"], "order_time", w)
         .where(F.col("status") == "completed")
@@ -186,13 +176,15 @@ def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
     )
     items = t["order_center.order_items"].select("order_id", "product_id", "quantity")
     sold = (
-        _items_of(items, orders, "order_id")
+        join_small(items, orders, "order_id")
         .groupBy("product_id", "warehouse_id")
         .agg(dsum("quantity").alias("sold"))
     )
-    return apply_changes(
-        t["inventory.product_inventory"],
-        sold,
-        ["product_id", "warehouse_id"],
-        {"quantity": unscale(exact("quantity") - F.col("sold")), "last_updated": w.now},
-    )
+    stock = t["inventory.product_inventory"]
+    changes = {"quantity": unscale(exact("quantity") - F.col("sold")), "last_updated": w.now}
+    if APPLIED in stock.columns:
+        covered, clash, added = _applied(w)
+        refused = F.raise_error(F.concat(F.lit(f"window {w.date}..{w.date_next} overlaps "), F.col(APPLIED)))
+        changes = {c: F.when(covered, F.col(c)).otherwise(e) for c, e in changes.items()}
+        changes[APPLIED] = F.when(covered, F.col(APPLIED)).when(clash, refused.cast("string")).otherwise(added)
+    return apply_changes(stock, sold, PAIR, changes)

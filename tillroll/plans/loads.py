@@ -6,11 +6,14 @@ columns in target order (target name -> source column or expression).
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.operators.load import LoadSpec, load_job
+from tillroll.functions.window import BatchWindow
+from tillroll.operators.load import LoadSpec, load, load_job
+from tillroll.sources.tables import Tables
 
-# Fixed value: the sales-tax rate the tax job applies, in percent.
+# Fixed value: the sales-tax rate the tax job applies by default, in percent.
 TAX_RATE_PERCENT = 10
 
 
@@ -18,6 +21,18 @@ def _same(*names: str) -> tuple[tuple[str, str], ...]:
     return tuple((n, n) for n in names)
 
 
+def tax_spec(rate_percent: int = TAX_RATE_PERCENT) -> LoadSpec:
+    """The tax load at a rate in percent."""
+    return LoadSpec(
+        "tax_calculations", "finance.revenue", "finance.tax_records", "revenue_date",
+        (("order_id", "order_id"),
+         ("tax_amount", lambda _w: F.col("amount") * (rate_percent / 100)),
+         ("tax_rate", lambda _w: F.lit(rate_percent)),
+         ("tax_category", lambda _w: F.lit("sales_tax")),
+         ("tax_date", "revenue_date")),
+    )
+
+
 SPECS: tuple[LoadSpec, ...] = (
     # orders
     LoadSpec(
@@ -172,15 +187,16 @@ SPECS: tuple[LoadSpec, ...] = (
          ("amount", "budget_spent"), ("expense_date", lambda _w: F.col("end_date").cast("timestamp_ntz")),
          ("reference_id", lambda _w: F.col("channel_id").cast("string"))),
     ),
-    LoadSpec(
-        "tax_calculations", "finance.revenue", "finance.tax_records", "revenue_date",
-        (("order_id", "order_id"),
-         ("tax_amount", lambda _w: F.col("amount") * (TAX_RATE_PERCENT / 100)),
-         ("tax_rate", lambda _w: F.lit(TAX_RATE_PERCENT)),
-         ("tax_category", lambda _w: F.lit("sales_tax")),
-         ("tax_date", "revenue_date")),
-    ),
+    tax_spec(),
 )
 
 SPEC_BY_NAME = {s.name: s for s in SPECS}
 JOBS = {s.name: load_job(s) for s in SPECS}
+
+
+def tax_calculations(tables: Tables, w: BatchWindow, rate_percent: int = TAX_RATE_PERCENT) -> DataFrame:
+    """finance.revenue -> finance.tax_records at ``rate_percent``."""
+    return load(tax_spec(rate_percent), tables, w)
+
+
+JOBS["tax_calculations"] = tax_calculations

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions import BatchWindow, day, dsum, exact, ratio, unscale, windowed, windowed_days
+from tillroll.operators.changes import apply_where
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
 from tillroll.sources.tables import Tables
@@ -191,6 +192,5 @@ def user_acquisition_exact(t: Tables, w: BatchWindow) -> DataFrame:
 def update_campaign_status(t: Tables, w: BatchWindow) -> DataFrame:
     """Snapshot of campaigns: active ones that ended before today are
     completed. No join needed; one pass over the table."""
-    campaigns = t["marketing.campaigns"]
     done = (F.col("status") == "active") & (F.col("end_date") < w.today)
-    return campaigns.withColumn("status", F.when(done, F.lit("completed")).otherwise(F.col("status")))
+    return apply_where(t["marketing.campaigns"], done, {"status": F.lit("completed")})

@@ -9,20 +9,24 @@ from tillroll.functions import BatchWindow, day, dsum, ratio, unscale, windowed,
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import top1_by_count
 from tillroll.operators.sizing import join_small
-from tillroll.sources.schemas import conform
+from tillroll.sources.schemas import conform, fields
 from tillroll.sources.tables import Tables
 
 
-def order_shipping(t: Tables, w: BatchWindow) -> DataFrame:
+def order_shipping(t: Tables, w: BatchWindow, batch_day: str | None = None) -> DataFrame:
     """Shipments of the window with their address text; shipments whose
-    address is unknown drop out (inner join)."""
+    address is unknown drop out (inner join). With ``batch_day``, also the
+    day the shipment was created, under that name."""
+    day_col = [] if batch_day is None else [day("create_time").alias(batch_day)]
     ships = windowed(t["raw_data.shipping_records"], "create_time", w).select(
-        "shipment_id", "order_id", "address_id", "shipping_method", "tracking_number", "status"
+        "shipment_id", "order_id", "address_id", "shipping_method", "tracking_number", "status", *day_col
     )
     addr = t["user_center.user_addresses"].select(
         "address_id", F.col("full_address").alias("shipping_address")
     )
-    return conform(join_small(addr, ships, "address_id"), "logistics.shipments")
+    out = join_small(addr, ships, "address_id")
+    kinds = fields("logistics.shipments")
+    return out.select(*[F.col(n).cast(k).alias(n) for n, k in kinds], *([] if batch_day is None else [batch_day]))
 
 
 def daily_order_summary(t: Tables, w: BatchWindow) -> DataFrame:
@@ -72,9 +76,10 @@ def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
     users = ow.where(F.col("user_id").isNotNull()).select("user_id").distinct()
     their_orders = join_small(orders.select("order_id", "user_id"), users, "user_id", "left_semi").distinct()
     items = t["order_center.order_items"].select("order_id", "product_id")
-    # item rows per (user, product) first, so the product lookup sees one
-    # row per pair and a hot order or product is reduced map-side
-    per_product = join_small(items, their_orders, "order_id").groupBy("user_id", "product_id").agg(
+    # all orders of the users are history by construction: not probed. Item
+    # rows per (user, product) first, so the product lookup sees one row per
+    # pair and a hot order or product is reduced map-side
+    per_product = items.join(their_orders, "order_id").groupBy("user_id", "product_id").agg(
         F.count(F.lit(1)).alias("n")
     )
     products = t["product_center.products"].select("product_id", "category")
@@ -93,64 +98,51 @@ def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
     return conform(out, "analytics.user_order_stats")
 
 
-def _conversion_inputs(t: Tables, w: BatchWindow):
-    ev = windowed(t["raw_data.user_events"], "event_time", w).select(
-        "user_id", day("event_time").alias("date"), "event_type"
+def _conversion_days(t: Tables, w: BatchWindow) -> DataFrame:
+    """Per (user, day) of the window: cart and checkout events, joined with
+    the number and the distinct ids of the user's orders of that day. Events
+    and orders are each reduced to one row per (user, day) before they meet,
+    so neither a bot user's events nor event x order pairs are ever joined.
+    Events without a user keep their counts and meet no order."""
+    is_kind = lambda kind: F.count(F.when(F.col("event_type") == kind, 1))
+    events = (
+        windowed(t["raw_data.user_events"], "event_time", w)
+        .groupBy("user_id", day("event_time").alias("date"))
+        .agg(is_kind("add_to_cart").alias("carts"), is_kind("begin_checkout").alias("checkouts"))
     )
-    orders = windowed_days(t["order_center.orders"], "order_time", w).select(
-        "user_id", day("order_time").alias("date"), "order_id"
+    orders = (
+        windowed_days(t["order_center.orders"], "order_time", w)
+        .where(F.col("user_id").isNotNull())
+        .groupBy("user_id", day("order_time").alias("date"))
+        .agg(F.count(F.lit(1)).alias("order_rows"), F.count_distinct("order_id").alias("order_ids"))
     )
-    active = ev.where(F.col("user_id").isNotNull()).select("user_id", "date")
-    # orders whose (user, day) had an event: a semi-join, so an order is kept
-    # once however many events its (user, day) had
-    converted = (
-        orders.join(active, ["user_id", "date"], "left_semi")
-        .groupBy("date")
-        .agg(F.count_distinct("order_id").alias("orders_completed"))
-    )
-    return ev, orders, converted
+    return events.join(orders, ["user_id", "date"], "left")
 
 
-def _conversion_output(counts: DataFrame, converted: DataFrame) -> DataFrame:
-    out = counts.join(converted, "date", "left").select(
-        "date",
-        "cart_additions",
-        "checkout_starts",
-        F.coalesce(F.col("orders_completed"), F.lit(0)).alias("orders_completed"),
-        ratio(F.coalesce(F.col("orders_completed"), F.lit(0)), "checkout_starts").alias("conversion_rate"),
+def _conversion(t: Tables, w: BatchWindow, weight) -> DataFrame:
+    # an order has one user, so distinct ids add up over users
+    counts = _conversion_days(t, w).groupBy("date").agg(
+        F.sum(F.col("carts") * weight).alias("cart_additions"),
+        F.sum(F.col("checkouts") * weight).alias("checkout_starts"),
+        F.coalesce(F.sum("order_ids"), F.lit(0)).alias("orders_completed"),
+    )
+    out = counts.select(
+        "date", "cart_additions", "checkout_starts", "orders_completed",
+        ratio("orders_completed", "checkout_starts").alias("conversion_rate"),
     )
     return conform(out, "analytics.order_conversion")
 
 
 def order_conversion(t: Tables, w: BatchWindow) -> DataFrame:
     """As written: events LEFT JOIN same-day orders of the user, so an event
-    counts once per matching order row. The multiplicity is joined in as a
-    per-(user, day) count instead of materialising event x order pairs."""
-    ev, orders, converted = _conversion_inputs(t, w)
-    order_rows = orders.where(F.col("user_id").isNotNull()).groupBy("user_id", "date").agg(
-        F.count(F.lit(1)).alias("order_rows")
-    )
-    weighted = ev.join(order_rows, ["user_id", "date"], "left").withColumn(
-        "mult", F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1))
-    )
-    counts = weighted.groupBy("date").agg(
-        F.sum(F.when(F.col("event_type") == "add_to_cart", F.col("mult")).otherwise(0)).alias("cart_additions"),
-        F.sum(F.when(F.col("event_type") == "begin_checkout", F.col("mult")).otherwise(0)).alias(
-            "checkout_starts"
-        ),
-    )
-    return _conversion_output(counts, converted)
+    counts once per matching order row."""
+    return _conversion(t, w, F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1)))
 
 
 def order_conversion_exact(t: Tables, w: BatchWindow) -> DataFrame:
     """Each event counted once; orders counted once per day, restricted to
     users with an event that day."""
-    ev, _orders, converted = _conversion_inputs(t, w)
-    counts = ev.groupBy("date").agg(
-        F.sum(F.when(F.col("event_type") == "add_to_cart", 1).otherwise(0)).alias("cart_additions"),
-        F.sum(F.when(F.col("event_type") == "begin_checkout", 1).otherwise(0)).alias("checkout_starts"),
-    )
-    return _conversion_output(counts, converted)
+    return _conversion(t, w, F.lit(1))
 
 
 def update_order_status(t: Tables, w: BatchWindow) -> DataFrame:

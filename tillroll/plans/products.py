@@ -14,7 +14,9 @@ from tillroll.sources.tables import Tables
 
 
 def _price_rows(logs: DataFrame) -> DataFrame:
-    out = lead_time(logs, "product_id", "change_time", "effective_to").select(
+    # changes at one instant: the one that sorts last stays in force
+    columns = logs.select("product_id", "new_price", "change_time", "change_reason")
+    out = lead_time(columns, "product_id", "change_time", "effective_to", ties=("new_price", "change_reason")).select(
         "product_id",
         F.col("new_price").alias("price"),
         F.col("change_time").alias("effective_from"),
@@ -58,7 +60,9 @@ def product_sales(t: Tables, w: BatchWindow) -> DataFrame:
     sales = _window_items(t, w, ["product_id", "quantity", "subtotal"]).groupBy("date", "product_id").agg(
         dsum("quantity").alias("units"), dsum("subtotal").alias("revenue")
     )
-    ratings = t["product_center.product_reviews"].groupBy("product_id").agg(
+    # only the products sold: one row per product, from rows already reduced
+    sold = sales.select("product_id").distinct()
+    ratings = t["product_center.product_reviews"].join(sold, "product_id", "left_semi").groupBy("product_id").agg(
         F.sum("rating").alias("rating_sum"), F.count("rating").alias("rating_n")
     )
     out = sales.join(ratings, "product_id", "left").select(

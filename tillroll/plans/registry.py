@@ -38,7 +38,7 @@ class Job:
     @property
     def target(self) -> str:
         """The table the job writes (INSERT INTO / UPDATE)."""
-        return TARGET[self.name.removesuffix("_exact")]
+        return TARGET[self.name.removesuffix("_exact").removesuffix("_carried")]
 
 
 def _load(name: str, window: BatchWindow, profile: str = "default") -> Job:
@@ -76,7 +76,21 @@ TARGET: dict[str, str] = {
 }
 
 # jobs that read the table they write (the sink cuts lineage first)
-READS_OWN_TARGET = {"low_stock_alerts", "inventory_levels"}
+READS_OWN_TARGET = {"low_stock_alerts", "inventory_levels", "inventory_levels_carried"}
+
+# jobs whose rows are those of today (``as_of``), added to the day's rows
+ADDS_TO_TODAY = {"low_stock_alerts"}
+
+# jobs that return all rows of whole keys, on any day
+REPLACES_KEYS = {"product_price_history_exact": ["product_id"]}
+
+# The source value of jobs that share a table with others.
+SOURCE_OF = {
+    "refund_expense": "refund",
+    "shipping_expense": "shipping",
+    "marketing_expense": "marketing",
+    "inventory_expense": "inventory",
+}
 
 
 JOBS: tuple[Job, ...] = (
@@ -96,7 +110,7 @@ JOBS: tuple[Job, ...] = (
     Job("revenue_recognition_exact", finance.revenue_recognition_exact, W_ORD),
     _load("refund_expense", W_ORD),
     _load("shipping_expense", W_ORD),
-    Job("inventory_expense", finance.inventory_expense, W_ORD, "expense"),
+    Job("inventory_expense", finance.inventory_expense, W_ORD),
     _load("marketing_expense", W_EVT),
     Job("monthly_profit", finance.monthly_profit, W_ORD),
     Job("customer_lifetime_value", finance.customer_lifetime_value, W_LAST_YEAR),
@@ -109,7 +123,9 @@ JOBS: tuple[Job, ...] = (
     _load("inventory_adjustments", W_ORD),
     _load("inventory_transfers", W_ORD),
     _load("transfer_items", W_ORD),
-    Job("inventory_levels", inventory.inventory_levels, W_LEDGER, "ledger"),
+    Job("inventory_levels", inventory.inventory_levels, W_LEDGER),
+    # the same job on a day after the first: a ledger with carried balances
+    Job("inventory_levels_carried", inventory.inventory_levels, W_LEDGER, "carried"),
     Job("low_stock_alerts", inventory.low_stock_alerts, W_EVT),
     Job("update_inventory_after_order", inventory.update_inventory_after_order, W_ORD, kind="update"),
     # marketing

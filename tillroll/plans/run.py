@@ -1,60 +1,96 @@
 """Run a job into its target table: the INSERT / UPDATE half of each
 reference statement.
 
-INSERT jobs append one batch window to a day-partitioned table (a rerun
-replaces the day); UPDATE jobs rewrite their table once per batch.
+INSERT jobs replace what their batch states (see ``sources.sinks``), so a
+rerun repeats the result; UPDATE jobs rewrite the partitions they change.
+Loads also write the target's columns that only later jobs fill, as NULLs.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import inspect
+
+from pyspark.sql import DataFrame
+
 from tillroll.functions.window import BatchWindow
-from tillroll.plans.registry import BY_NAME, READS_OWN_TARGET
-from tillroll.sources.schemas import PARTITION_BY_SOURCE, PARTITION_TIME
-from tillroll.sources.sinks import rewrite_table, write_day
+from tillroll.plans.registry import ADDS_TO_TODAY, BY_NAME, READS_OWN_TARGET, REPLACES_KEYS, SOURCE_OF, Job
+from tillroll.sources.schemas import PARTITION_BY_SOURCE, PARTITION_TIME, with_extra
+from tillroll.sources.sinks import (
+    BATCH_DAY,
+    ParquetStore,
+    Store,
+    merge_keys,
+    rewrite_partitions,
+    whole_days,
+    write_days,
+    write_window,
+)
 from tillroll.sources.tables import Tables
 
 
-def run_job(name: str, tables: Tables, window: BatchWindow, root: str) -> str:
-    """Compute job ``name`` for ``window`` and write it under ``root``;
-    returns the target table's path."""
+def _has_batch_day(job: Job) -> bool:
+    """Whether the job can name its source's window day (loads and
+    shipping do); other jobs without a day column are marts of a window."""
+    return "batch_day" in inspect.signature(job.fn).parameters
+
+
+def run_job(name: str, tables: Tables, window: BatchWindow, store: Store | str, **params) -> None:
+    """Compute job ``name`` for ``window`` and write it to ``store`` (a root
+    folder means Parquet folders below it). ``params`` go to the job, such as
+    ``rate_percent`` of tax_calculations."""
     job = BY_NAME[name]
-    path = f"{root.rstrip('/')}/{job.target}"
-    df = job.fn(tables, window)
+    table = job.target
+    if isinstance(store, str):
+        store = ParquetStore(tables.spark, store)
     if job.kind == "update":
-        rewrite_table(df, path, f"{name}:{window.date}:{window.date_next}", current=tables[job.target])
+        rewrite_partitions(store, table, job.fn(tables, window, **params))
+        return
+    first, last = whole_days(window)
+    day_of = PARTITION_TIME.get(table)
+    if day_of is None and _has_batch_day(job):
+        params["batch_day"] = BATCH_DAY
+    rows: DataFrame = with_extra(job.fn(tables, window, **params), table)
+    if name in REPLACES_KEYS:
+        merge_keys(store, table, rows, REPLACES_KEYS[name], day_of)
+    elif day_of is None and BATCH_DAY not in rows.columns:
+        write_window(store, table, rows, window)
     else:
-        write_day(
-            df,
-            path,
-            window,
-            reads_own_target=name in READS_OWN_TARGET,
-            day_of=PARTITION_TIME.get(job.target),
-            source_col=PARTITION_BY_SOURCE.get(job.target),
-        )
-    return path
+        if name in ADDS_TO_TODAY:
+            first = last = _today(tables, window)
+        source = (PARTITION_BY_SOURCE[table], SOURCE_OF[name]) if table in PARTITION_BY_SOURCE else None
+        write_days(store, table, rows, first, last, day_of, source, name in READS_OWN_TARGET, name in ADDS_TO_TODAY)
+
+
+def _today(tables: Tables, window: BatchWindow) -> dt.date:
+    return tables.spark.range(1).select(window.today.alias("d")).first()["d"]
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m tillroll.plans.run JOB ROOT DATE DATE_NEXT [AS_OF]``."""
+    """``python -m tillroll.plans.run JOB ROOT DATE DATE_NEXT [AS_OF]``; ROOT
+    is a folder, or ``catalog`` for the session catalog's tables."""
     import argparse
 
     from pyspark.sql import SparkSession
 
     from tillroll.session import CLUSTER_CONF
+    from tillroll.sources.sinks import CatalogStore
 
-    parser = argparse.ArgumentParser(description="run one job into its target table under ROOT")
+    parser = argparse.ArgumentParser(description="run one job into its target table")
     parser.add_argument("job", choices=sorted(BY_NAME))
-    parser.add_argument("root", help="warehouse root holding <schema.table> Parquet directories")
+    parser.add_argument("root", help="warehouse root holding <schema.table> Parquet directories, or 'catalog'")
     parser.add_argument("date")
     parser.add_argument("date_next")
     parser.add_argument("as_of", nargs="?", default=None, help="instant standing in for NOW() (default: now)")
+    parser.add_argument("--tax-rate-percent", type=int, default=None)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tillroll-{args.job}").getOrCreate()
     for key, value in CLUSTER_CONF.items():
         if key.startswith("spark.sql."):
             spark.conf.set(key, value)
-    path = run_job(args.job, Tables.warehouse(spark, args.root), BatchWindow(args.date, args.date_next, args.as_of), args.root)
-    print(path)
+    store = CatalogStore(spark) if args.root == "catalog" else ParquetStore(spark, args.root)
+    params = {} if args.tax_rate_percent is None else {"rate_percent": args.tax_rate_percent}
+    run_job(args.job, Tables.stored(store), BatchWindow(args.date, args.date_next, args.as_of), store, **params)
 
 
 if __name__ == "__main__":

@@ -292,7 +292,7 @@ VIEWS: dict[str, Builder] = {
     ),
     "raw_data.product_reviews": lambda t: _events_of("view")(t).select(
         _c("event_id").alias("review_id"),
-        (_c("event_id") % 200).alias("product_id"),
+        _c("user_id").alias("product_id"),
         "user_id",
         (F.lit(1) + _c("event_id") % 5).cast("int").alias("rating"),
         _c("props").alias("comment"),
@@ -460,9 +460,7 @@ VIEWS: dict[str, Builder] = {
         _c("c_mktsegment").alias("source"),
     ),
     # --- inventory ------------------------------------------------------------
-    "raw_data.warehouse_records": lambda t: t.raw("supplier")
-    .where(_c("s_suppkey") < 10)
-    .select(
+    "raw_data.warehouse_records": lambda t: t.raw("supplier").select(
         _c("s_suppkey").alias("warehouse_id"),
         _c("s_name").alias("warehouse_name"),
         _c("s_nationkey").cast("string").alias("warehouse_location"),
@@ -491,15 +489,15 @@ VIEWS: dict[str, Builder] = {
         _c("receive_date").alias("receipt_date"),
         _c("item_count").alias("total_items"),
     ),
-    "raw_data.receipt_item_details": lambda t: _flags("N", "O")(t).select(
+    "raw_data.receipt_item_details": lambda t: t.raw("lineitem").select(
         _c("l_orderkey").alias("receipt_id"),
         _c("l_partkey").alias("product_id"),
         _c("l_quantity").alias("received_quantity"),
         _c("l_extendedprice").alias("cost_per_unit"),
         _c("l_shipdate").alias("create_time"),
     ),
-    "inventory.receipt_items": lambda t: _receipt_items(_flags("N", "O")(t)),
-    "raw_data.inventory_adjustments": lambda t: _flags("N", "F")(t).select(
+    "inventory.receipt_items": lambda t: _receipt_items(t.raw("lineitem")),
+    "raw_data.inventory_adjustments": lambda t: t.raw("lineitem").select(
         _line_id().alias("adjustment_id"),
         (_c("l_suppkey") % 10).alias("warehouse_id"),
         _c("l_partkey").alias("product_id"),
@@ -529,7 +527,7 @@ VIEWS: dict[str, Builder] = {
         "transfer_date",
         _c("transfer_status").alias("status"),
     ),
-    "raw_data.transfer_item_details": lambda t: _flags("A", None)(t).select(
+    "raw_data.transfer_item_details": lambda t: t.raw("lineitem").select(
         _c("l_orderkey").alias("transfer_id"),
         _c("l_partkey").alias("product_id"),
         _c("l_quantity").alias("transfer_quantity"),
@@ -539,8 +537,8 @@ VIEWS: dict[str, Builder] = {
         "transfer_id", "product_id", _c("transfer_quantity").alias("quantity")
     ),
     "inventory.low_stock_alerts": lambda t: _events_of("error")(t).select(
-        (_c("event_id") % 200).alias("product_id"),
-        ((_c("event_id") % 200) % 10).alias("warehouse_id"),
+        _c("user_id").alias("product_id"),
+        (_c("user_id") % 10).alias("warehouse_id"),
         F.lit(None).cast("double").alias("current_quantity"),
         F.lit(None).cast("double").alias("threshold"),
         F.to_date("ts").alias("alert_date"),
@@ -558,10 +556,24 @@ VIEWS: dict[str, Builder] = {
 PROFILES: dict[str, dict[str, Builder]] = {
     "default": {},
     "events": {"order_center.orders": _orders_events},
-    "ledger": {"order_center.order_items": lambda t: _order_items(_flags("R", None)(t))},
-    "expense": {"inventory.receipt_items": lambda t: _receipt_items(t.raw("lineitem"))},
+    "carried": {"analytics.inventory_levels": lambda t: _prior_ledger(t)},
 }
 
+# Fixed value: the day before the ledger's fixture window.
+PRIOR_LEDGER_DAY = "1996-06-02"
+
+
+def _prior_ledger(t: "FixtureTables") -> DataFrame:
+    """Balances of the day before: for every part, its stocked pair and one
+    at another warehouse."""
+    own = {"date": F.lit(PRIOR_LEDGER_DAY), "product_id": _c("p_partkey"), "ending_quantity": _c("p_size")}
+
+    def day(warehouse: Column) -> DataFrame:
+        given = own | {"warehouse_id": warehouse}
+        return t.raw("part").select(*[given.get(n, F.lit(None)).cast(ty).alias(n) for n, ty in fields("analytics.inventory_levels")])
+
+    return day(_c("p_partkey") % 10).unionByName(day((_c("p_partkey") + 3) % 10))
+
 
 def _plans():
     import tillroll.plans as plans
@@ -571,11 +583,10 @@ def _plans():
 
 def _all_expenses(t: "FixtureTables") -> DataFrame:
     f = _plans().finance
-    with_all_items = t.profile("expense")
     parts = [
         f.refund_expense(t, ALL_TIME),
         f.shipping_expense(t, ALL_TIME),
-        f.inventory_expense(with_all_items, ALL_TIME),
+        f.inventory_expense(t, ALL_TIME),
         f.marketing_expense(t, ALL_TIME),
     ]
     out = parts[0]

@@ -2,13 +2,13 @@
 
 Ids are BIGINT (expense ids and references are STRING because four id
 domains share ``finance.expenses``); money and quantities are DOUBLE on the
-way out (they are summed exactly in 1/10,000 units inside jobs); timestamps are
+way out (they are summed exactly in 1/1,000,000 units inside jobs); timestamps are
 TIMESTAMP_NTZ and calendar days DATE.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The column list, in order, of every table the jobs write.
@@ -68,13 +68,20 @@ EXTRA_COLUMNS: dict[str, str] = {
     "marketing.campaigns": "budget_spent double, channel_id bigint",
     "product_center.products": "reorder_threshold double, average_rating double",
     "user_center.registered_users": "referral_source string, deletion_time timestamp_ntz",
+    "inventory.product_inventory": "applied_windows string",
 }
 
+# Fixed value: where a row records the batch windows of a non-idempotent
+# update that it has had ("lo/hi;lo/hi", adjacent windows merged). A loaded
+# row has none.
+APPLIED = "applied_windows"
+
 
 # The time column whose calendar day partitions each table the
-# sinks write (partition column ``<column>__day``); tables not listed are
-# partitioned by the batch's first day. A column is listed only if no job
-# rewrites it later (stock ``last_updated`` is, so stock is not listed).
+# sinks write (partition column ``<column>__day``). Loaded tables not listed
+# keep the day of the source's window column as ``batch_day``, and marts not
+# listed are partitioned by the batch window. A column is listed only if no
+# job rewrites it later (stock ``last_updated`` is, so stock is not listed).
 PARTITION_TIME: dict[str, str] = {
     "order_center.orders": "order_time",
     "payment_center.payments": "payment_time",
@@ -126,6 +133,18 @@ def fields(table: str, with_extra: bool = False) -> list[tuple[str, str]]:
     return out
 
 
-def conform(df: DataFrame, table: str, with_extra: bool = False) -> DataFrame:
+def with_extra(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with the target's columns that no INSERT loads as typed NULLs,
+    where it does not have them."""
+    extra = [(n, t) for n, t in fields(table, with_extra=True) if n not in df.columns]
+    return df.select("*", *[F.lit(None).cast(t).alias(n) for n, t in extra])
+
+
+def empty_table(spark: SparkSession, table: str) -> DataFrame:
+    """A known target that has not been written yet."""
+    return spark.createDataFrame([], ", ".join(f"`{n}` {t}" for n, t in fields(table, with_extra=True)))
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the target's columns by name, in order, cast to its types."""
-    return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields(table, with_extra)])
+    return df.select(*[F.col(n).cast(t).alias(n) for n, t in fields(table)])

@@ -1,204 +1,266 @@
 """Writing job results.
 
-``write_day``: INSERT jobs append one batch window. The sink partitions by
-the calendar day of the table's window column (``order_time__day`` for
-orders; see ``schemas.PARTITION_TIME``), or by the batch day for tables
-without one, and overwrites only the partitions being written (dynamic
-partition overwrite), so rerunning a day replaces it instead of duplicating
-it; windowed reads prune to the window's days. A job that reads its own target (alerts, the ledger) first checkpoints
-its result into ``spark.checkpoint.dir`` so the write never overwrites the
-files it is reading.
-
-``rewrite_table``: UPDATE jobs return a whole new table. It is checkpointed
-into the shared checkpoint folder (cutting lineage to the files it was read
-from) and written back over the same day partitions; a small log records the
-applied batches, and applying the same batch twice is refused, which makes
-the non-idempotent stock deduction safe to rerun.
-
-``SnapshotTable``: the alternative for pure state tables: each new table is
-published as a new version directory, never over the version it was
-computed from, with the same once-per-batch log.
+INSERT jobs replace the days (or the window) they state and nothing else:
+
+* ``write_days``: tables partitioned by a calendar day, either that of one of
+  their own time columns (``<column>__day``, see ``schemas.PARTITION_TIME``)
+  or that of the source's window column, kept as ``batch_day``. Days with rows
+  are replaced by dynamic partition overwrite; a stated day that has no rows
+  any more is emptied after the new rows are in place. A row of any other day
+  fails the write before it commits.
+* ``write_window``: tables without a day (monthly or per-user marts) are
+  partitioned by the window itself; a window that overlaps another one than
+  itself is refused.
+* ``merge_keys``: the rows of whole keys (a product's price history) replace
+  those keys' rows on whatever days either has them.
+
+UPDATE jobs return the partitions that hold a changed row, and
+``rewrite_partitions`` replaces those. Whether a non-idempotent update was
+applied is recorded in the rows it changed (``schemas.APPLIED``), so data and
+record commit together, survive a crash between two partitions, and vanish
+together when a load replaces the rows.
+
+A ``Store`` says where tables live: ``ParquetStore`` (folders below a root) or
+``CatalogStore`` (the session catalog).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tillroll.functions.window import DAY_SUFFIX, BatchWindow, day_partition
 from tillroll.session import ensure_checkpoint_dir
 
+# The partition columns of tables without a day of their own.
 BATCH_DAY = "batch_day"
+BATCH_WINDOW = "batch_window"
+
+
+class Store:
+    """Where tables live. ``replace`` overwrites exactly the partitions that
+    ``df`` has rows in; ``empty`` leaves one partition without rows."""
+
+    spark: SparkSession
+
+    def read(self, table: str) -> DataFrame | None:
+        raise NotImplementedError
+
+    def replace(self, table: str, df: DataFrame, parts: Sequence[str]) -> None:
+        raise NotImplementedError
+
+    def replace_all(self, table: str, df: DataFrame) -> None:
+        raise NotImplementedError
+
+    def empty(self, table: str, df: DataFrame, partition: dict[str, str]) -> None:
+        raise NotImplementedError
+
+
+class ParquetStore(Store):
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def read(self, table: str) -> DataFrame | None:
+        self._recover(table)
+        try:
+            return self.spark.read.parquet(self.path(table))
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+
+    def replace(self, table: str, df: DataFrame, parts: Sequence[str]) -> None:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(self.path(table))
+
+    def empty(self, table: str, df: DataFrame, partition: dict[str, str]) -> None:
+        folder = "/".join(f"{k}={v}" for k, v in partition.items())
+        self.spark.createDataFrame([], df.drop(*partition).schema).write.mode("overwrite").parquet(f"{self.path(table)}/{folder}")
+
+    def _files(self):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        return path(self.root).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def replace_all(self, table: str, df: DataFrame) -> None:
+        """An unpartitioned table: the new one is written beside the old and
+        takes its name once it is whole."""
+        fs, path = self._files()
+        own, new, old = (path(self.path(table) + x) for x in ("", ".next", ".previous"))
+        df.write.mode("overwrite").parquet(new.toString())
+        fs.delete(old, True)
+        if fs.exists(own) and not fs.rename(own, old):
+            raise OSError(f"cannot move {own.toString()}")
+        if not fs.rename(new, own):
+            raise OSError(f"cannot move {new.toString()}")
+        fs.delete(old, True)
+
+    def _recover(self, table: str) -> None:
+        """After a crash between the two moves: finish with the new table if
+        it is whole, else go back to the old one."""
+        fs, path = self._files()
+        own, new, old = (path(self.path(table) + x) for x in ("", ".next", ".previous"))
+        if not fs.exists(own) and fs.exists(old):
+            fs.rename(new if fs.exists(path(new, "_SUCCESS")) else old, own)
+
+
+class CatalogStore(Store):
+    """Tables of the session catalog, created on their first write."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def read(self, table: str) -> DataFrame | None:
+        return self.spark.table(table) if self.spark.catalog.tableExists(table) else None
+
+    def _create(self, table: str, df: DataFrame, parts: Sequence[str]) -> None:
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+            self.spark.createDataFrame([], df.schema).write.partitionBy(*parts).format("parquet").saveAsTable(table)
+
+    def replace(self, table: str, df: DataFrame, parts: Sequence[str]) -> None:
+        self._create(table, df, parts)
+        columns = self.spark.table(table).columns
+        df.select(*columns).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+
+    def replace_all(self, table: str, df: DataFrame) -> None:
+        """The catalog commits an unpartitioned overwrite; the rows were
+        checkpointed before, so a failed one can be repeated from there."""
+        self._create(table, df, [])
+        df.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=True)
+
+    def empty(self, table: str, df: DataFrame, partition: dict[str, str]) -> None:
+        spec = ", ".join(f"{k} = '{v}'" for k, v in partition.items())
+        kinds = [(c, k) for c, k in self.spark.table(table).dtypes if c not in partition]
+        nothing = ", ".join(f"CAST(NULL AS {k}) AS `{c}`" for c, k in kinds)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({spec}) SELECT {nothing} WHERE false")
 
 
-def _whole_days(w: BatchWindow) -> list[dt.date]:
-    """The calendar days of a window that starts and ends at midnight."""
+def whole_days(w: BatchWindow) -> tuple[dt.date, dt.date]:
+    """First and last calendar day of a window that starts and ends at
+    midnight."""
     lo, hi = dt.datetime.fromisoformat(w.date), dt.datetime.fromisoformat(w.date_next)
     if lo.time() != dt.time(0) or hi.time() != dt.time(0) or hi <= lo:
-        raise ValueError(f"write_day replaces whole day partitions; window {w.date}..{w.date_next} is not whole days")
-    return [(lo + dt.timedelta(days=i)).date() for i in range((hi - lo).days)]
+        raise ValueError(f"the sink replaces whole day partitions; window {w.date}..{w.date_next} is not whole days")
+    return lo.date(), (hi - dt.timedelta(days=1)).date()
 
 
-def _clear_empty_days(df: DataFrame, path: str, part: str, days: list[dt.date]) -> None:
-    """Empty the existing partitions of ``days`` (written again right after),
-    so a day the rerun no longer produces does not keep its old rows."""
-    spark = df.sparkSession
-    empty = spark.createDataFrame([], df.drop(part).schema)
-    for day in days:
-        target = f"{path}/{part}={day.isoformat()}"
-        try:
-            spark.read.parquet(target).schema  # noqa: B018 - existence check
-        except AnalysisException:
-            continue
-        empty.write.mode("overwrite").parquet(target)
+def _date(day: dt.date) -> Column:
+    return F.lit(day.isoformat()).cast("date")
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder, so that a write
+    never replaces files its own plan still reads."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
-def write_day(
+def _replace(store: Store, table: str, df: DataFrame, parts: list[str], stated: Column, source: tuple[str, str] | None) -> None:
+    """Replace the partitions of ``df``, then empty those that match
+    ``stated`` (and the source) and got no rows."""
+    part = parts[-1]
+    before = store.read(table)
+    there: list[str] = []
+    if before is not None and part in before.columns:
+        cond = stated if source is None else stated & (F.col(source[0]) == source[1])
+        there = [r[0] for r in before.where(cond).select(F.col(part).cast("string")).distinct().collect()]
+    # the values of a partition column, not rows: days or windows of the batch
+    seen = Observation()
+    store.replace(table, df.observe(seen, F.collect_set(F.col(part).cast("string")).alias("values")), parts)
+    written = set(seen.get["values"])
+    for value in there:
+        if value not in written:
+            own = {part: value} if source is None else {source[0]: source[1], part: value}
+            store.empty(table, df, own)
+
+
+def write_days(
+    store: Store,
+    table: str,
     df: DataFrame,
-    path: str,
-    w: BatchWindow,
-    reads_own_target: bool = False,
+    first: dt.date,
+    last: dt.date,
     day_of: str | None = None,
-    source_col: str | None = None,
+    source: tuple[str, str] | None = None,
+    reads_own_target: bool = False,
+    keep_day: bool = False,
 ) -> None:
-    """Write one batch of whole days. Partitioned by the calendar day of
-    ``day_of`` (a time column of ``df``; readers then prune with
-    ``windowed``) or else by the batch's first day, under ``source_col``
-    when several jobs share the table. Exactly the window's days are
-    replaced: days with rows by dynamic partition overwrite, days the rerun
-    leaves empty by clearing their old partition first (single-writer
-    tables; a shared table cannot tell which source an empty day had)."""
-    days = _whole_days(w)
+    """Replace the days ``first`` to ``last`` of ``table`` by ``df``.
+
+    The day is that of the column ``day_of``, or the column ``batch_day`` of
+    ``df``. With ``source`` = (column, value), several jobs share the table
+    and only that source's rows are replaced. With ``keep_day`` the rows
+    already there stay and ``df`` is added."""
     if day_of is not None:
         part = day_partition(day_of)
-        out = df.withColumn(part, F.to_date(day_of))
+        df = df.withColumn(part, F.to_date(day_of))
     else:
         part = BATCH_DAY
-        out = df.withColumn(part, F.lit(w.date[:10]).cast("date"))
-        days = days[:1]
+    if keep_day and (before := store.read(table)) is not None:
+        df = before.where(F.col(part).between(_date(first), _date(last))).unionByName(df)
+        reads_own_target = True
     if reads_own_target:
-        ensure_checkpoint_dir(df.sparkSession)
-        out = out.checkpoint(eager=True)
-    parts = [part] if source_col is None else [source_col, part]
-    if source_col is None:
-        _clear_empty_days(out, path, part, days)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
-
-
-def _applied(spark: SparkSession, path: str) -> set[str]:
-    try:
-        return {r["batch"] for r in spark.read.parquet(f"{path}/_applied").select("batch").collect()}
-    except AnalysisException:
-        return set()
-
-
-def _signature(df: DataFrame, parts: list[str]) -> DataFrame:
-    """Per partition: row count and two order-independent row hashes."""
-    cols = [F.col(c) for c in df.columns if c not in parts]
-    return df.groupBy(*parts).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.bit_xor(F.xxhash64(*cols)).alias("__h1"),
-        F.bit_xor(F.hash(*cols).cast("long")).alias("__h2"),
-    )
-
-
-def _changed_partitions(new: DataFrame, old: DataFrame, parts: list[str]) -> DataFrame:
-    a = _signature(new, parts)
-    b = _signature(old, parts).select(*[F.col(c).alias(f"__old_{c}") for c in [*parts, "__n", "__h1", "__h2"]])
-    same_part = [F.col(c).eqNullSafe(F.col(f"__old_{c}")) for c in parts]
-    cond = same_part[0]
-    for c in same_part[1:]:
-        cond = cond & c
-    joined = a.join(b, cond, "left")
-    unchanged = (
-        F.col("__n").eqNullSafe(F.col("__old___n"))
-        & F.col("__h1").eqNullSafe(F.col("__old___h1"))
-        & F.col("__h2").eqNullSafe(F.col("__old___h2"))
-    )
-    return joined.where(~unchanged).select(*[F.col(c).alias(f"__chg_{c}") for c in parts])
-
-
-def rewrite_table(df: DataFrame, path: str, batch: str, current: DataFrame | None = None) -> bool:
-    """UPDATE sink: replace the table at ``path`` by ``df`` (the job's whole
-    new table), at most once per ``batch``. The result is checkpointed into
-    ``spark.checkpoint.dir`` before the write, so the files it was computed
-    from can be replaced. For a day-partitioned table with its ``current``
-    contents given, only partitions whose contents changed are rewritten
-    (a per-partition signature of row count and row hashes decides), so
-    marking one day's orders delivered does not rewrite years of orders.
-    Returns False if ``batch`` was already applied."""
-    spark = df.sparkSession
-    if batch in _applied(spark, path):
-        return False
-    ensure_checkpoint_dir(spark)
-    out = df.checkpoint(eager=True)
-    writer_df = out
-    parts = [c for c in out.columns if c == BATCH_DAY or c.endswith(DAY_SUFFIX)]
-    if parts and current is not None:
-        # materialised before the write starts replacing the files it reads
-        changed = _changed_partitions(out, current, parts).checkpoint(eager=True)
-        cond = F.col(parts[0]).eqNullSafe(F.col(f"__chg_{parts[0]}"))
-        for c in parts[1:]:
-            cond = cond & F.col(c).eqNullSafe(F.col(f"__chg_{c}"))
-        # one row per changed day: bounded by the table's days, broadcast
-        writer_df = out.join(F.broadcast(changed), cond, "left_semi")
-    writer = writer_df.write.mode("overwrite")
-    if parts:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
-    writer.parquet(path)
-    spark.createDataFrame(
-        [(batch, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], "batch string, applied_at timestamp_ntz"
-    ).write.mode("append").parquet(f"{path}/_applied")
-    return True
+        df = _cut(df)
+    inside = F.col(part).between(_date(first), _date(last))
+    refused = F.raise_error(F.concat(F.lit(f"{table}: the batch replaces {first}..{last}, not "), F.coalesce(F.col(part).cast("string"), F.lit("NULL"))))
+    checked = df.withColumn(part, F.when(inside, F.col(part)).otherwise(refused.cast("date")))
+    _replace(store, table, checked, [part] if source is None else [source[0], part], inside, source)
 
 
-def read_days(spark: SparkSession, path: str, w: BatchWindow | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
-    if w is not None:
-        df = df.where((F.col(BATCH_DAY) >= F.lit(w.date[:10]).cast("date")) & (F.col(BATCH_DAY) < F.lit(w.date_next[:10]).cast("date")))
-    return df
+def write_window(store: Store, table: str, df: DataFrame, w: BatchWindow) -> None:
+    """Replace the rows of window ``w`` in a table without days."""
+    whole_days(w)
+    key = f"{w.date[:10]}_{w.date_next[:10]}"
+    before = store.read(table)
+    if before is not None and BATCH_WINDOW in before.columns:
+        lo, hi = (F.split(BATCH_WINDOW, "_").getItem(i) for i in (0, 1))
+        clash = before.where((F.col(BATCH_WINDOW) != key) & (lo < w.date_next[:10]) & (hi > w.date[:10])).select(BATCH_WINDOW).limit(1).collect()
+        if clash:
+            raise ValueError(f"{table}: window {key} overlaps {clash[0][0]}, which is already there")
+    _replace(store, table, df.withColumn(BATCH_WINDOW, F.lit(key)), [BATCH_WINDOW], F.col(BATCH_WINDOW) == key, None)
 
 
-class SnapshotTable:
-    """Versioned full-table snapshots under ``base``: ``base/v=<n>/`` plus
-    ``base/_log`` with one row per published version."""
+def merge_keys(store: Store, table: str, df: DataFrame, keys: list[str], day_of: str) -> None:
+    """``df`` holds all rows of its keys: they replace the rows of those keys,
+    on the days that either has them. Other keys' rows on those days stay."""
+    part = day_partition(day_of)
+    new = _cut(df.withColumn(part, F.to_date(day_of)))
+    before = store.read(table)
+    if before is None:
+        store.replace(table, new, [part])
+        return
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    changed = new.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    days = before.join(changed, cond, "left_semi").select(part).unionAll(new.select(part)).distinct()
+    days = days.select(F.col(part).alias("__touched"))
+    touched = before.join(days, F.col(part).eqNullSafe(F.col("__touched")), "left_semi")
+    merged = _cut(touched.join(changed, cond, "left_anti").unionByName(new))
+    # the touched days of the table's calendar, not rows
+    stated = F.col(part).isin([r[0] for r in days.collect()])
+    _replace(store, table, merged, [part], stated, None)
 
-    def __init__(self, spark: SparkSession, base: str):
-        self.spark = spark
-        self.base = base.rstrip("/")
 
-    def _log(self) -> list[tuple[int, str]]:
-        try:
-            rows = self.spark.read.parquet(f"{self.base}/_log").select("version", "batch").collect()
-        except AnalysisException:
-            return []
-        return sorted((int(r["version"]), str(r["batch"])) for r in rows)
-
-    def current_version(self) -> int | None:
-        log = self._log()
-        return log[-1][0] if log else None
-
-    def current(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"no snapshot published under {self.base}")
-        return self.spark.read.parquet(f"{self.base}/v={v}")
-
-    def publish(self, df: DataFrame, batch: str) -> int:
-        """Write ``df`` as the next version for ``batch``; if ``batch`` was
-        already published, return its version and write nothing."""
-        log = self._log()
-        for version, done in log:
-            if done == batch:
-                return version
-        version = (log[-1][0] + 1) if log else 0
-        df.write.mode("overwrite").parquet(f"{self.base}/v={version}")
-        entry = self.spark.createDataFrame(
-            [(version, batch, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))],
-            "version int, batch string, published_at timestamp_ntz",
-        )
-        entry.write.mode("append").parquet(f"{self.base}/_log")
-        return version
+def partition_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c in (BATCH_DAY, BATCH_WINDOW) or c.endswith(DAY_SUFFIX)]
+
+
+def rewrite_partitions(store: Store, table: str, df: DataFrame) -> None:
+    """UPDATE: ``df`` holds whole partitions of ``table`` (or, if it has no
+    partitions, the whole table) with the changes made. They are checkpointed
+    before they are replaced, as they were read from the same files."""
+    parts = partition_columns(df)
+    out = _cut(df)
+    if parts:
+        store.replace(table, out, parts)
+    else:
+        store.replace_all(table, out)

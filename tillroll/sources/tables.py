@@ -13,6 +13,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.sources.schemas import TARGETS, empty_table
+from tillroll.sources.sinks import CatalogStore, ParquetStore, Store
+
 
 class Tables:
     def __init__(
@@ -26,17 +29,31 @@ class Tables:
         self._fallback = fallback
         self._cache: dict[str, DataFrame] = {}
 
+    @classmethod
+    def stored(cls, store: Store) -> "Tables":
+        """Resolve every name through a store. A target that no job has
+        written yet is an empty relation of its schema."""
+
+        def read(name: str) -> DataFrame:
+            df = store.read(name)
+            if df is None and name in TARGETS:
+                df = empty_table(store.spark, name)
+            if df is None:
+                raise KeyError(f"no table {name!r}")
+            return df
+
+        return cls(store.spark, fallback=read)
+
     @classmethod
     def catalog(cls, spark: SparkSession) -> "Tables":
         """Resolve every name through the session catalog."""
-        return cls(spark, fallback=spark.table)
+        return cls.stored(CatalogStore(spark))
 
     @classmethod
     def warehouse(cls, spark: SparkSession, root: str) -> "Tables":
         """Resolve ``schema.table`` to the Parquet directory ``root/schema.table``
         (the layout ``plans.run.run_job`` writes)."""
-        base = root.rstrip("/")
-        return cls(spark, fallback=lambda name: spark.read.parquet(f"{base}/{name}"))
+        return cls.stored(ParquetStore(spark, root))
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
