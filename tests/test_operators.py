@@ -87,7 +87,7 @@ def test_sums_equal_decimal_sums(spark):
 
     from tillroll.functions.scalars import dsum, unscale
 
-    values = ["0.00004", "12.345678", "-0.00005", "-7.654321", "0.1", "0.2", "-0.000001", "123456789.123456"]
+    values = ["16917783.19", "-98765432101.12", "0.00004", "12.345678", "-0.00005", "-7.654321", "0.1", "0.2", "-0.000001", "123456789.123456"]
     want = float(sum(map(Decimal, values)))
     df = spark.createDataFrame([(float(v), Decimal(v), 3) for v in values] + [(None, None, None)], "d double, n decimal(20,6), i int")
     got = df.agg(unscale(dsum("d")).alias("d"), unscale(dsum("n")).alias("n"), unscale(dsum("i")).alias("i")).first()

@@ -18,10 +18,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fractional inputs carry at most six decimals (money has two,
-# products of two money-like values four); what a DOUBLE lacks to its decimal
-# is far less than TOLERANCE units.
+# products of two money-like values four). A DOUBLE misses its decimal by
+# rounding, a few parts in 2**53; what is off by more has further decimals.
 SCALE = 1_000_000
 TOLERANCE = 1e-3
+ROUNDING = 2.0**-49
 
 
 def _c(col: str | Column) -> Column:
@@ -34,8 +35,7 @@ def exact(col: str | Column) -> Column:
     units = _c(col) * F.lit(SCALE)
     size = F.abs(units)
     whole = F.floor(size + F.lit(0.5)).cast("double")
-    # past 2**53 / 4 units a DOUBLE no longer holds the decimals themselves
-    cut = (F.abs(size - whole) > TOLERANCE) & (size < 2.0**51)
+    cut = F.abs(size - whole) > F.lit(TOLERANCE) + size * F.lit(ROUNDING)
     refused = F.raise_error(F.concat(F.lit("more than six decimals: "), _c(col).cast("string"))).cast("long")
     return F.when(cut, refused).otherwise((F.signum(units) * whole).cast("long"))
 
