@@ -33,10 +33,14 @@ def _touched(target: DataFrame, hits: DataFrame) -> DataFrame:
     if not parts:
         return target
     values = hits.select(*[F.col(c).alias(f"__{c}") for c in parts]).distinct()
-    same = F.lit(True)
+    same, known = F.lit(True), F.lit(True)
     for c in parts:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return target.join(values, same, "left_semi")
+        same = same & (F.col(c) == F.col(f"__{c}"))
+        known = known & F.col(c).isNotNull()
+    # one row for each partition of the table at most: broadcast, which lets
+    # the equality prune the partitions that are listed and opened. The NULL
+    # partition, which the sinks never write, is always taken along
+    return target.join(F.broadcast(values), same, "left_semi").unionByName(target.where(~known))
 
 
 def apply_changes(
