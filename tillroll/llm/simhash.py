@@ -120,6 +120,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
     linked = linked.join(smallest, "root").select(F.col("fp").alias("linked_fp"), "linked_id")
     named = distinct.join(linked, distinct.fp == linked.linked_fp, "left")
     named = named.select(F.col("fp").alias("named_fp"), F.coalesce("linked_id", "first_id").alias("component_id"))
+    # dealt anew, so that the join has an exchange on both sides and Spark can
+    # split the partition of a frequent fingerprint
+    named = named.hint("rebalance")
     return fps.join(named, fps.fp == named.named_fp).select("doc_id", "fp", "component_id")
 
 
