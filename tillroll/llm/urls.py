@@ -85,6 +85,9 @@ def judge_urls(urls: DataFrame, rules: DataFrame, column: str = "url", default:
     order = F.struct(F.length("rule"), "host_length", (F.col("r_verdict") == "block").cast("int"))
     won = met.groupBy("host", "head").agg(F.max_by(F.struct("rule", "r_verdict"), order).alias("won"))
     won = won.select(F.col("host").alias("w_host"), F.col("head").alias("w_head"), F.col("won.rule").alias("rule"), F.col("won.r_verdict").alias("w_verdict"))
+    # dealt anew, so that the join has an exchange on both sides and Spark can
+    # split the partition of a frequent host
+    won = won.hint("rebalance")
     same = (F.col(host) == F.col("w_host")) & (F.left(path, F.lit(max(lengths, default=0))) == F.col("w_head"))
     out = judged.join(won, same, "left")
     return out.select(
