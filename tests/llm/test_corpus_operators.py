@@ -247,6 +247,22 @@ def test_answers_are_the_smallest_ids_of_equal_windows(monkeypatch, setting):
         assert [next(along) for _ in range(len(t) - 49)] == [first[t[i : i + 50]] for i in range(len(t) - 49)]
 
 
+def test_frequent_anchors_are_parted_consistently():
+    """Parts cover the runs' windows once, and equal windows of different
+    texts get equal new anchors at equal places."""
+    pairs = [p for p in _passages() if p[0] is not None]
+    raw = [(t or "").encode() for _, t in pairs]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw])])
+    runs, whole = find_runs(data, offsets), b"".join(raw)
+    anchor, row, start, windows, place = suffix._parted(data, runs.anchor, runs.row, runs.start, runs.windows, runs.place)
+    assert sorted(w for s, n in zip(start.tolist(), windows.tolist(), strict=True) for w in range(s, s + n)) == sorted(w for s, n in zip(runs.start.tolist(), runs.windows.tolist(), strict=True) for w in range(s, s + n))
+    seen = {}
+    for a, s, n, p in zip(anchor.tolist(), start.tolist(), windows.tolist(), place.tolist(), strict=True):
+        assert 1 <= n <= suffix.PART and 0 <= p <= 26
+        for i in range(n):
+            assert seen.setdefault(whole[s + i : s + i + 50], (a, p - i)) == (a, p - i)
+
+
 def test_slices_hold_every_row(monkeypatch):
     import pyarrow as pa
 
@@ -256,11 +272,12 @@ def test_slices_hold_every_row(monkeypatch):
     assert sum((x.to_pylist() for x in slices), []) == batch.to_pylist() and len(slices) > 2
 
 
-@pytest.mark.parametrize("size", [suffix.GROUP_BYTES, 3000])
-def test_removed_bytes_equal_brute_force(spark, monkeypatch, size):
+@pytest.mark.parametrize(("size", "slices"), [(suffix.GROUP_BYTES, 3), (3000, 3), (9000, 200)])
+def test_removed_bytes_equal_brute_force(spark, monkeypatch, size, slices):
+    """200 slices make the passages of 120 texts frequent."""
     monkeypatch.setattr(suffix, "GROUP_BYTES", size)
     pairs = _passages()
-    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix.remove_repeats(_table(spark, pairs).repartition(3)).collect()]
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix.remove_repeats(_table(spark, pairs).repartition(slices)).collect()]
     assert sorted(got, key=repr) == sorted(_without(pairs), key=repr)
 
 

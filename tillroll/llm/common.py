@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.session import ensure_checkpoint_dir
@@ -28,9 +28,21 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+#: What crosses to a Python worker at a time, where the session does not say:
+#: texts are long, and Spark's default of 10,000 rows may be hundreds of MB.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+
+
 def id_text(docs: DataFrame) -> DataFrame:
     """The two columns the operators read; every other column, whatever its
     name, is left out of the plan."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
@@ -51,10 +63,6 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
-def utf8_lengths(raw: list[bytes]) -> np.ndarray:
-    """Code points of each UTF-8 text: bytes that do not continue a character."""
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.cumsum(sizes)
-    starts_before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    return starts_before[ends] - starts_before[ends - sizes]
+def code_points(column: pa.Array) -> pa.Array:
+    """Code points of each text of a string column; null counts as empty."""
+    return pc.utf8_length(column).fill_null(0).cast(pa.int64())

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import golomb
-from tillroll.llm.common import WHITE, cut, id_text, raw_texts, record_batch, shuffle_partitions, unused, utf8_lengths
+from tillroll.llm.common import WHITE, code_points, cut, id_text, raw_texts, record_batch, shuffle_partitions, unused
 
 FINGERPRINT_BITS = 48
 CHUNK_ROWS = 1 << 16
@@ -87,10 +87,9 @@ def _chunks(docs: DataFrame, owners: int, bits: int, chunk_rows: int) -> DataFra
         digests: list[bytes] = []
         points: list[int] = []
         for batch in batches:
-            raw = raw_texts(batch.column(1))
             ids += batch.column(0).to_pylist()
-            digests += [hashlib.sha256(normalised(x)).digest() for x in raw]
-            points += utf8_lengths(raw).tolist()
+            digests += [hashlib.sha256(normalised(x)).digest() for x in raw_texts(batch.column(1))]
+            points += code_points(batch.column(1)).to_pylist()
             if len(ids) >= chunk_rows:
                 yield flush(f"{part}-{made}", ids, digests, points)
                 made, ids, digests, points = made + 1, [], [], []
@@ -177,17 +176,16 @@ def _texts(docs: DataFrame, table: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(table)
         for batch in batches:
-            raw = raw_texts(batch.column(1))
-            if not raw:
+            if not batch.num_rows:
                 continue
-            bodies = [normalised(x) for x in raw]
+            bodies = [normalised(x) for x in raw_texts(batch.column(1))]
             digests = [hashlib.sha256(x).digest() for x in bodies]
             fps = _leading(np.frombuffer(b"".join(digests), np.uint8).reshape(-1, 32))
             through = bits[(fps % np.uint64(TABLE_BITS)).astype(np.int64)]
             best: dict[bytes, list] = {}
-            points, ids = utf8_lengths(raw), batch.column(0).to_pylist()
+            points, ids = code_points(batch.column(1)).to_pylist(), batch.column(0).to_pylist()
             for i in np.flatnonzero(through).tolist():
-                here = (int(points[i]), None if ids[i] is None else ~ids[i])
+                here = (points[i], None if ids[i] is None else ~ids[i])
                 known = best.setdefault(bodies[i], [digests[i], here, 0])
                 known[1] = max(known[1], here, key=lambda x: (x[0], x[1] is not None, x[1] or 0))
                 known[2] += 1

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import bound_batches
 from tillroll.llm.dom import BLOCK, RAW, Node, parse
 
 SMOOTHING = 0.5
@@ -194,5 +195,6 @@ def extract(pages: DataFrame, model: Model) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
+    bound_batches(pages.sparkSession)
     wanted = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return wanted.mapInArrow(run, "page_id long, url string, text string, n_chars long")

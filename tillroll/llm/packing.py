@@ -36,7 +36,7 @@ from tillroll.llm.common import cut, id_text, raw_texts, record_batch
 CAPACITY = 2048
 END_ID = 0
 #: Words a worker remembers, in two generations of this size.
-MEMORY = 400_000
+MEMORY = 120_000
 #: Pieces of one (length, salt) that a task ranks, until a length has more
 #: than the square of it; from there on the square root of its count.
 RANKED_TOGETHER = 64

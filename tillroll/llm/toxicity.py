@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import cut, id_text
+from tillroll.llm.common import bound_batches, cut, id_text
 
 MAX_LABELLED = 40_000
 PRIOR_SHARE = 0.2
@@ -218,6 +218,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without the rows whose own text is predicted toxic, in one
     pass and without a shuffle; columns and null texts stay as they are."""
+    bound_batches(docs.sparkSession)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
