@@ -35,8 +35,8 @@ from tillroll.llm.common import cut, id_text, raw_texts, record_batch
 
 CAPACITY = 2048
 END_ID = 0
-#: Words a worker remembers, in two generations of this size.
-MEMORY = 120_000
+#: Words a task remembers, in two generations of this size.
+MEMORY = 400_000
 #: Pieces of one (length, salt) that a task ranks, until a length has more
 #: than the square of it; from there on the square root of its count.
 RANKED_TOGETHER = 64
@@ -78,6 +78,10 @@ class WordEncoder:
         # the short way is taken only if this tokenizer treats the probes so
         self.short = all(self._short(w) == self._long([w])[0] for w in _PROBES)
 
+    def forget(self) -> None:
+        """Give the memory back: the worker lives on after the task."""
+        self.fresh, self.aged, self.parts = {}, {}, {}
+
     def encode(self, raw: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         words = raw.split()
@@ -151,6 +155,7 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> DataFr
                     part = ids[at : at + 4 * capacity]
                     rows.append((doc, piece, at // 4, len(part) // 4, part))
             yield record_batch(_PIECE, list(zip(*rows, strict=True)) or [[]] * 5)
+        encoder.forget()
 
     return id_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
