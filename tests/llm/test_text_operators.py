@@ -161,6 +161,17 @@ def test_main_text_of_odd_pages_and_held_out_labels():
         assert isinstance(main_text.main_text(odd, model), str)
 
 
+def test_stray_quotes_in_tags_lose_no_text():
+    model = main_text.train(labelled_pages(200))
+    for tag in ("<p title=it's>", '<p class="a"">', "<p title = it's class='b''>", '<p title="open>', "<p ' title='x>y' \" lang=\"e>n\">", "<p title=a=\"b>"):
+        page = f"<article>{tag}First words of the page.</p><p>More words here.</p></article>"
+        assert main_text.main_text(page, model) == "First words of the page.\nMore words here.", tag
+    page = "<article><p title=it's>First words.</p><p>More words here.</p></article>"
+    assert main_text.main_text(page, model) == "First words.\nMore words here."
+    (node,) = [n for n in main_text.parse("<p class='a>b' id = \"c\"\" title=it's hidden lang=en/>") if n.tag == "p"]
+    assert [node.attrs[k] for k in ("class", "id", "title", "hidden", "lang")] == ["a>b", "c", "it's", "", "en/"]
+
+
 def test_messages_equal_enumeration():
     """Marginals against the sum over all labellings of a small tree."""
     import itertools

@@ -33,11 +33,14 @@ CLOSES = {
 ENDS_P = BLOCK - {"html", "body", "head", "br", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SCOPE = frozenset("body article section div main td th li blockquote figure aside nav header footer form table".split())
 
+# A quote opens a value only directly after "=" (and white space) and if it is
+# closed somewhere; any other quote is a plain character.
+_NAME = r"[^\s/>][^\s/>=]*"
+_ATTR = re.compile(rf"""({_NAME})(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _TOKEN = re.compile(
-    r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    rf"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_NAME}(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))?)*)(?:>|\Z)""",
     re.S,
 )
-_ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"?|'([^']*)'?|([^\s>]+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in RAW}
 
 
