@@ -172,6 +172,15 @@ def test_stray_quotes_in_tags_lose_no_text():
     assert [node.attrs[k] for k in ("class", "id", "title", "hidden", "lang")] == ["a>b", "c", "it's", "", "en/"]
 
 
+def test_self_closed_icons_lose_no_text():
+    model = main_text.train(labelled_pages(200))
+    article = "<article><p>First words of the page.</p><p>More words here.</p></article>"
+    for icon in ('<svg class="icon"/>', "<svg/>", "<math />"):
+        for later in ("", "<footer><svg><text>x</text></svg><math><mi>y</mi></math></footer>"):
+            page = f"<header>{icon}</header>{article}{later}"
+            assert main_text.main_text(page, model) == "First words of the page.\nMore words here.", page
+
+
 def test_messages_equal_enumeration():
     """Marginals against the sum over all labellings of a small tree."""
     import itertools

@@ -97,7 +97,7 @@ def parse(page: str) -> list[Node]:
         attrs = {k.lower(): html.unescape(a or b or c or "") for k, a, b, c in _ATTR.findall(m.group(3))} if m.group(3).strip("/ \t\n\r\f") else {}
         nodes.append(Node(tag, stack[-1], attrs))
         nodes[stack[-1]].items.append(len(nodes) - 1)
-        if tag in VOID or m.group(3).endswith("/") and tag in ("path", "rect", "circle"):
+        if tag in VOID or m.group(3).endswith("/") and tag in ("svg", "math", "path", "rect", "circle"):
             continue
         if tag in RAW:
             end = _RAW_END[tag].search(page, at)
