@@ -81,6 +81,16 @@ def test_drop_copies_keeps_one_row_of_each_text(spark):
     assert exact.drop_copies(df.limit(0)).count() == 0
 
 
+def test_drop_copies_keeps_a_text_whose_doc_id_repeats(spark):
+    pairs = [(5, "a b"), (5, "a  b"), (5, "ab"), (7, "ab"), (None, "ab"), (6, "alone"), (6, "al one"), (6, "other"), (8, "c d"), (9, "c  d"), (9, "cd"), (10, None), (10, " "), (11, "rep"), (11, "rep")]
+    df = _table(spark, pairs).repartition(3)
+    left = exact.drop_copies(df)
+    assert left.schema == df.schema
+    # copies without a doc_id are never told apart
+    want = [(5, "a  b"), (None, "ab"), (6, "al one"), (6, "other"), (9, "c  d"), (10, " "), (11, "rep")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
 # -- SimHash -------------------------------------------------------------------
 
 

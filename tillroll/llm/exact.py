@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm import golomb
-from tillroll.llm.common import WHITE, code_points, cut, id_text, raw_texts, record_batch, shuffle_partitions, unused
+from tillroll.llm.common import WHITE, code_points, cut, id_text, raw_texts, record_batch, shuffle_partitions
 
 FINGERPRINT_BITS = 48
 CHUNK_ROWS = 1 << 16
@@ -242,17 +242,19 @@ def exact_groups(docs: DataFrame, bits: int = FINGERPRINT_BITS, chunk_rows: int
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text another row keeps. Rows that
-    repeat doc_id and text are one document: one of them stays; copies that
-    all lack a doc_id cannot be told apart and stay."""
+    repeat doc_id with equal texts are one document: of one that stays, one
+    row with the most code points does; copies that all lack a doc_id cannot
+    be told apart and stay."""
     found = cut(exact_groups(docs))
     named = found.where("doc_id is not null and group_size > 1")
-    gone = named.where("not kept").select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    left = _match(docs, gone, "left_anti")
-    repeats = named.where("kept").groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).count().where("count > 1").drop("count")
+    keys = named.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
+    left = _match(docs, keys.where("not __kept").select("__id", "__digest"), "left_anti")
+    repeats = keys.where("__kept and __rows > 1").select("__id", "__digest")
     if repeats.isEmpty():
         return left
-    column = unused("digest", docs)
-    once = _match(left, repeats, "left_semi").withColumn(column, _digest(docs)).dropDuplicates(["doc_id", column]).drop(column)
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    longest = F.max_by(F.struct("*"), F.struct(F.length(text), text))
+    once = _match(left, repeats, "left_semi").groupBy(docs["doc_id"].cast("long"), _digest(docs)).agg(longest.alias("row")).select("row.*")
     return _match(left, repeats, "left_anti").unionByName(once)
 
 
