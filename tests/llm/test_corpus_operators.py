@@ -162,6 +162,18 @@ def test_near_duplicates_equal_brute_force(spark):
     assert simhash.near_duplicates(df.limit(0)).count() == 0 and simhash.keep_first(df.limit(0)).count() == 0
 
 
+def test_keep_first_goes_by_text_where_a_doc_id_repeats(spark):
+    text = " ".join(f"word{i % 97}x{i % 13}" for i in range(400))
+    near, other = text.replace("word9x9 ", "CHANGED ", 1), " ".join(f"other{i}" for i in range(50))
+    assert (_fingerprint(text) ^ _fingerprint(near)).bit_count() <= 3
+    pairs = [(1, text), (5, near), (5, other), (5, near), (6, near), (7, other), (8, ""), (None, near)]
+    df = _table(spark, pairs).repartition(3)
+    left = simhash.keep_first(df)
+    assert left.schema == df.schema
+    want = [(1, text), (5, other), (8, ""), (None, near)]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(want, key=repr)
+
+
 # -- suffix arrays -------------------------------------------------------------
 
 

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import cut, id_text, raw_texts
+from tillroll.llm.common import cut, id_text, raw_texts, unused
 from tillroll.llm.components import components
 
 SEED = 42
@@ -130,7 +130,21 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFram
     """``docs`` with one row of each near-duplicate component: the one with
     the smallest doc_id. Rows without a doc_id cannot be named and are all
     kept; of rows that repeat the kept doc_id, each stays (they are one
-    document of the input; exact dedup removes repeats)."""
-    found = near_duplicates(docs, shingle, max_bits)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_id"], "left_anti")
+    document of the input; exact dedup removes repeats). Of rows that repeat
+    a doc_id with different texts, each goes or stays with its own text."""
+    found = cut(near_duplicates(docs, shingle, max_bits)).where("doc_id is not null")
+    gone = F.col("doc_id") != F.col("component_id")
+    ids = found.groupBy(F.col("doc_id").alias("gone_id")).agg(F.bool_or(gone).alias("any_gone"), F.bool_and(gone).alias("all_gone"))
+    own_id = docs["doc_id"].cast("long")
+    whole = ids.where("all_gone").select("gone_id")
+    left = docs.join(whole, own_id == whole["gone_id"], "left_anti")
+    # only rows of these doc_ids need their fingerprint beside the other columns
+    mixed = ids.where("any_gone and not all_gone").select("gone_id")
+    if mixed.isEmpty():
+        return left
+    signed = F.udf(lambda raw: int(np.uint64(fingerprint(bytes(raw), shingle)).astype(np.int64)), "long")
+    column = unused("fp", docs)
+    some = left.join(mixed, own_id == mixed["gone_id"], "left_semi").withColumn(column, signed(F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")))
+    parts = found.where(gone).select(F.col("doc_id").alias("gone_id"), F.col("fp").alias("gone_fp")).distinct()
+    some = some.join(parts, (own_id == parts["gone_id"]) & (some[column] == parts["gone_fp"]), "left_anti").drop(column)
+    return left.join(mixed, own_id == mixed["gone_id"], "left_anti").unionByName(some)
