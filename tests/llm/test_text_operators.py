@@ -1,6 +1,7 @@
 """Operators that look at one text or page at a time."""
 
 import hashlib
+import itertools
 import re
 import zlib
 from collections import Counter
@@ -139,6 +140,39 @@ def test_license_scan_equals_all_comparisons(spark, odd):
     assert licenses.scan(odd, TEMPLATES).count() == 0
 
 
+def test_license_scan_finds_notices_inside_longer_units(spark):
+    mit, bsd = TEMPLATES[5][1], TEMPLATES[6][1]
+    prose = "The tool was written in one summer by two people who needed it for their own work and it is Released under the MIT License. so that all may use it as they like and change what they want"
+    rest = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the work. The work is provided as is, without warranty of any kind, and in no event shall its authors be liable for any claim, damages or other liability that may come from it or its use by anyone."
+    wrap = lambda text, lead: "\n".join(lead + " ".join(w) for w in itertools.batched(text.split(), 9))
+    comment = lambda text, lead: f"{lead}\n{wrap('Copyright 2020 Some One', lead)}\n{lead}\n{wrap(text, lead)}\n{lead}\n{wrap(rest, lead)}\n"
+    crlf = "\r\n\r\n".join(["First words of a file of several parts. " * 9, wrap(bsd, "").replace("\n", "\r\n"), rest])
+    spread = " ".join(w + " inserted" * (i % 9 == 4) for i, w in enumerate(mit.split()))  # longer than its template
+    texts = [prose, comment(mit, " * "), comment(bsd, "# "), crlf, f"{rest} {spread} {rest}", rest, "the license under the license under the mit and the mit under a license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.dice, r.n_lines) for r in licenses.scan(df, TEMPLATES).collect()}
+
+    def pairs(t):
+        w = re.findall("[a-z0-9]+", t.lower())
+        return list(zip(w, w[1:], strict=False))
+
+    want: dict = {}
+    for i, t in enumerate(texts):
+        own = pairs(t)
+        for name, text in TEMPLATES:
+            template = Counter(pairs(text))
+            for a in range(len(own)):
+                run, shared = Counter(), 0
+                for b in range(a, len(own)):
+                    run[own[b]] += 1
+                    shared += run[own[b]] <= template[own[b]]
+                    dice = 2 * shared / (b - a + 1 + template.total())
+                    if dice >= 0.8 and b - a + 1 >= template.total():
+                        want[i, name] = (max(dice, want.get((i, name), (0, 0))[0]), 0)
+    assert got == want
+    assert {k for k, v in got.items() if v[0] == 1} == {(0, "MIT"), (1, "MIT"), (2, "BSD-3-Clause"), (3, "BSD-3-Clause")} and (4, "MIT") in got
+
+
 def test_main_text_of_odd_pages_and_held_out_labels():
     model = main_text.train(labelled_pages())
     right = total = 0
