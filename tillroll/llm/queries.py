@@ -6,13 +6,14 @@ name -> DuckDB statement, where SQL can express the result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import licenses, main_text, quality, toxicity
+from tillroll.llm import licenses, main_text, quality, toxicity, warc
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.labelled_pages import labelled_pages
@@ -21,6 +22,7 @@ from tillroll.llm.packing import pack_documents
 from tillroll.llm.simhash import near_duplicates
 from tillroll.llm.suffix import remove_repeats
 from tillroll.llm.urls import judge_urls
+from tillroll.session import ensure_checkpoint_dir
 
 # The tokenizers of the contracts.
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -106,6 +108,13 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    index = warc.write_archives(_table(spark, sf_dir, "pages"), folder, min_bytes=1000)
+    found = warc.read_records(index, payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -117,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_warc": op13_warc,
 }
 
 # the white space of the contracts, as a character class for DuckDB
@@ -183,8 +193,22 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
 """
 
+_OP13_SQL = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS payload FROM pages
+), kept AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload) AS keep_id FROM payloads
+), judged AS (
+  SELECT *, payload_bytes >= 1000 AND keep_id IS NOT NULL AND page_id IS DISTINCT FROM keep_id AS again FROM kept
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN keep_id END AS refers_to
+FROM judged
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": _OP3_SQL,
     "op6_url_filter": _OP6_SQL,
     "op7_exact_dedup": _OP7_SQL,
+    "op13_warc": _OP13_SQL,
 }
