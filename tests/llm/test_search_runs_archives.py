@@ -10,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tillroll.llm import warc
+from tillroll.llm import periodic, warc
+from tillroll.llm.queries import QUERIES
 
 # -- WARC ----------------------------------------------------------------------
 
@@ -98,3 +99,101 @@ def test_warc_empty_table_and_bad_digest(spark, tmp_path):
     for bad in (warc._page_record(1, "u", b"body", "0" * 40, None, b"d"), warc._page_record(1, "u", b"body", "0" * 40, None, b"d")[:-2]):
         with pytest.raises(ValueError):
             warc.parse_record(warc._member(bad))
+
+
+# -- periodic runs -------------------------------------------------------------
+
+
+def _runs(w, min_length=6, min_exponent=4):
+    """Every run (start, period, length), by start and period."""
+    n, out = len(w), []
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i < n - q:
+            s = i
+            while i < n - q and w[i] == w[i + q]:
+                i += 1
+            size = i - s + q
+            if i > s and size >= max(min_length, min_exponent * q):
+                part = w[s : s + size]
+                if all(part[x:] != part[:-x] for x in range(1, q)):
+                    out.append((s, q, size))
+            i += 1
+    return sorted(out)
+
+
+def _left(w, runs):
+    gone = {i for s, q, size in runs for i in range(s + q, s + size)}
+    return b" ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def _planted(doc_id, text):
+    w = (text or "").encode().split()
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not w:
+        return w
+    g = h // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+
+
+def _random_texts(seed, count):
+    rnd = random.Random(seed)
+    for _ in range(count):
+        n = rnd.choice([0, 1, 5, 6, 12, 40, 150])
+        w = [rnd.choice("abcde"[: rnd.randint(1, 5)]) for _ in range(n)]
+        at, q = rnd.randrange(n + 1), rnd.randint(1, 1 + n // 4)
+        for i in range(at + q, n):
+            w[i] = w[i - q]
+        yield rnd.choice([" ", "\t", " \n"]).join(w)
+
+
+@pytest.mark.parametrize(("min_length", "min_exponent", "span"), [(6, 4, 4096), (6, 4, 8), (1, 3, 16), (10, 5, 8)])
+def test_runs_equal_brute_force(spark, min_length, min_exponent, span):
+    texts = [*_random_texts(3, 250), None, "", " \x0b", "x " * 900, ("p q r " * 700).strip(), "é e e é " * 5, "A a " * 9]
+    pairs = [(i // 2, t) for i, t in enumerate(texts)] + [(None, "n " * 9)] + [(7, "u v " * 8)] * 40
+    df = spark.createDataFrame([(*p, "c", None, 1) for p in pairs], "doc_id long, text string, runs string, key binary, period long").repartition(4)
+    got = [(r.doc_id, [tuple(x) for x in r.runs], r.text) for r in periodic.collapse_runs(df, min_length, min_exponent, span=span).collect()]
+    want = []
+    for i, t in pairs:
+        w = (t or "").encode().split()
+        found = _runs(w, min_length, min_exponent)
+        want.append((i, found, _left(w, found).decode()))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_runs_of_an_empty_table(spark):
+    assert periodic.collapse_runs(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    with pytest.raises(ValueError):
+        periodic.collapse_runs(spark.createDataFrame([], "doc_id long, text string"), min_exponent=2)
+
+
+def test_long_texts_are_numbered_in_pieces(monkeypatch):
+    monkeypatch.setattr(periodic, "_PIECE_BYTES", 7)
+    monkeypatch.setattr(periodic, "_PENDING_WORDS", 3)
+    raw = b"  ab c ab \n c ab c  ddddddddddddddd ab c ab c ab c ab c e "
+    numbers, words = periodic._Numbers(), []
+    for piece in periodic._pieces(raw):
+        numbers.add(piece)
+        words += piece
+    assert words == raw.split()
+    got = numbers.all().tolist()
+    assert [words.index(w) for w in words] == [got.index(x) for x in got]
+
+
+def test_op12_equals_brute_force(spark, tmp_path):
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    pairs = given + [(10_000 + i, t) for i, t in enumerate(_random_texts(5, 400))] + [(None, "z " * 20), (3, None)]
+    spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in QUERIES["op12_periodic_runs"](spark, str(tmp_path)).collect()]
+    want = []
+    for i, t in pairs:
+        w = _planted(i, t)
+        found = _runs(w)
+        size, start, q = min(((-n, s, q) for s, q, n in found), default=(None,) * 3)
+        listed = "".join(f"{s},{n},{q}\n" for s, q, n in found)
+        digests = (hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(_left(w, found)).hexdigest())
+        want.append((i, len(found), start, -size if found else None, q, 1000 * -size // q if found else None, *digests))
+    assert sum(x[1] > 0 for x in want) > 100
+    assert sorted(got, key=repr) == sorted(want, key=repr)

@@ -13,12 +13,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import licenses, main_text, quality, toxicity, warc
+from tillroll.llm import licenses, main_text, periodic, quality, toxicity, warc
 from tillroll.llm.bpe import bpe_digests, read_ranks
 from tillroll.llm.exact import exact_groups
 from tillroll.llm.labelled_pages import labelled_pages
 from tillroll.llm.license_texts import TEMPLATES
 from tillroll.llm.packing import pack_documents
+from tillroll.llm.ranked import search
 from tillroll.llm.simhash import near_duplicates
 from tillroll.llm.suffix import remove_repeats
 from tillroll.llm.urls import judge_urls
@@ -108,6 +109,45 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=50)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` as op12's contract has it: of each document whose
+    h = crc32(doc_id) ends in 0, the words from a = g % n on, g = floor(h/10),
+    go round the p = 1 + floor((n - a) / (3 + g % 8)) words at a."""
+    words = F.filter(F.split(F.col("text").cast("string"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g, n = F.floor(h / 10), F.greatest(F.size(words), F.lit(1))
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, p), times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    hit = (h % 10 == 0) & (F.size(words) > 0)
+    return docs.select("doc_id", F.when(hit, planted).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(_table(spark, sf_dir, "documents"))
+    found = periodic.collapse_runs(docs, min_length=6, min_exponent=4, digest=True)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("longest.col2")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.col3")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.col3")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.col("text").alias("collapsed_sha256"),
+    )
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
     index = warc.write_archives(_table(spark, sf_dir, "pages"), folder, min_bytes=1000)
@@ -126,6 +166,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_warc": op13_warc,
 }
 
@@ -193,6 +235,31 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.place = 1
 """
 
+_TERM_CLASS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_OP11_TERMS = f"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM_CLASS}')"
+_OP11_SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, {_OP11_TERMS} AS words FROM documents WHERE text IS NOT NULL
+), counted AS (
+  SELECT count(*) AS n_docs, sum(len(words))::BIGINT AS total FROM texts WHERE len(words) > 0
+), sized AS (
+  SELECT r, doc_id, 100 - 50 + (50 * len(words) * n_docs) // total AS m FROM texts, counted WHERE len(words) > 0
+), held AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(words) AS term FROM texts) GROUP BY r, term
+), items AS (
+  SELECT row_number() OVER () AS i, item_id, unnest(list_distinct({_OP11_TERMS})) AS term FROM benchmark WHERE text IS NOT NULL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, counted GROUP BY term, n_docs
+), scored AS (
+  SELECT i.i, i.item_id, s.r, s.doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM items i JOIN weights USING (term) JOIN held h USING (term) JOIN sized s USING (r) GROUP BY i.i, i.item_id, s.r, s.doc_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
 _OP13_SQL = """
 WITH payloads AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest, coalesce(html, '') AS payload FROM pages
@@ -210,5 +277,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_license_scan": _OP3_SQL,
     "op6_url_filter": _OP6_SQL,
     "op7_exact_dedup": _OP7_SQL,
+    "op11_ranked_search": _OP11_SQL,
     "op13_warc": _OP13_SQL,
 }
