@@ -2,15 +2,21 @@
 
 import hashlib
 import itertools
+import math
 import os
 import random
+import re
 import zlib
+from collections import Counter
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tillroll.llm import periodic, warc
+from tillroll.llm import periodic, ranked, warc
 from tillroll.llm.queries import QUERIES
 
 # -- WARC ----------------------------------------------------------------------
@@ -46,8 +52,8 @@ WARC_CASES = [
 
 def test_warc_round_trip_equals_brute_force(spark, tmp_path):
     hot = [(100 + i, f"https://h.org/{i}", "hot page " * 200) for i in range(400)]
-    given = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
-    rows = WARC_CASES + hot + [(1000 + i, u, h) for i, u, h in given]
+    own = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()]
+    rows = WARC_CASES + hot + [(1000 + i, u, h) for i, u, h in own]
     for n, least in enumerate((1000, 1)):
         index = warc.write_archives(_pages(spark, rows).repartition(5), f"file://{tmp_path}/{n}", least)
         found = warc.read_records(index)
@@ -183,8 +189,8 @@ def test_long_texts_are_numbered_in_pieces(monkeypatch):
 
 
 def test_op12_equals_brute_force(spark, tmp_path):
-    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
-    pairs = given + [(10_000 + i, t) for i, t in enumerate(_random_texts(5, 400))] + [(None, "z " * 20), (3, None)]
+    own = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
+    pairs = own + [(10_000 + i, t) for i, t in enumerate(_random_texts(5, 400))] + [(None, "z " * 20), (3, None)]
     spark.createDataFrame(pairs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = [tuple(r) for r in QUERIES["op12_periodic_runs"](spark, str(tmp_path)).collect()]
     want = []
@@ -197,3 +203,99 @@ def test_op12_equals_brute_force(spark, tmp_path):
         want.append((i, len(found), start, -size if found else None, q, 1000 * -size // q if found else None, *digests))
     assert sum(x[1] > 0 for x in want) > 100
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+# -- ranked search -------------------------------------------------------------
+
+_TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def _terms(text):
+    return _TERMS.findall("".join(c.lower() if c.isascii() else c for c in text or ""))
+
+
+def _ranked(docs, items, k):
+    """What the contract says, document by document."""
+    own = [(d, Counter(_terms(t))) for d, t in docs]
+    own = [(d, c, sum(c.values())) for d, c in own if c]
+    total, count, df = sum(n for *_, n in own), len(own), Counter(t for _, c, _ in own for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for d, c, n in own:
+            m = 100 - 50 + 50 * n * count // total
+            score = 0
+            for t in set(_terms(text)) & c.keys():
+                w = math.floor(1000 * math.log((2 * count + 2) / (2 * df[t] + 1)))
+                score += w * (1_000_000_000 * c[t] // (1000 * c[t] + 20 * m))
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        out += [(item, i + 1, None if none else d, -score) for i, (score, none, d) in enumerate(sorted(found)[:k])]
+    return out
+
+
+def _search_tables(spark, docs, items):
+    docs = spark.createDataFrame([(*d, 1, "x", [1], 2) for d in docs], "doc_id long, text string, n long, terms string, counts array<int>, item long")
+    return docs.repartition(5), spark.createDataFrame([(*i, 3, "y") for i in items], "item_id long, text string, rank long, score string")
+
+
+def test_search_equals_brute_force(spark, monkeypatch):
+    rnd = random.Random(9)
+    common = ["the", "de", "Und", "é", "x1", "ÄÖ"]
+    rare = [f"w{i}" for i in range(300)]
+    docs = [(i, " ".join(rnd.choices(common, k=rnd.randint(0, 40)) + rnd.choices(rare, k=rnd.randint(0, 30)))) for i in range(500)]
+    docs += [(1000 + i, "copy of the w1 w2 w3 passage") for i in range(200)] + [(None, "w1 w2 w3"), (None, "w1 w2 w3"), (7, "w1, W2;w3"), (-5, "w1_w2"), (2000, None), (2001, " .,-\n"), (2002, "w9 " * 30_000)]
+    items = [(i, " ".join(rnd.choices(common + rare, k=rnd.randint(1, 25)))) for i in range(30)]
+    items += [(50, None), (51, ""), (52, "nowhere else"), (None, "w1 W1 w2"), (3, "w1 w2 w3"), (3, "the"), (60, "copy passage"), (61, " ".join(rare + common))]
+    tables = _search_tables(spark, docs, items)
+    want = sorted(_ranked(docs, items, 20), key=repr)
+    for trees, slices, block in ((8192, 16, 256), (40, 3, 7)):
+        monkeypatch.setattr(ranked, "TREE_DOCS", trees)
+        monkeypatch.setattr(ranked, "FIRST_SLICE", slices)
+        monkeypatch.setattr(ranked, "ITEM_BLOCK", block)
+        assert sorted((tuple(r) for r in ranked.search(*tables, 20).collect()), key=repr) == want
+
+
+def test_search_without_rows(spark):
+    docs, items = _search_tables(spark, [(1, "a b"), (2, "!?")], [(1, "a"), (2, "zzz")])
+    assert [tuple(r)[:3] for r in ranked.search(docs, items).collect()] == [(1, 1, 1)]
+    for d, i in ((docs.limit(0), items), (docs, items.limit(0)), (docs.where("doc_id = 2"), items)):
+        found = ranked.search(d, i)
+        assert found.columns == ["item_id", "rank", "doc_id", "score"] and found.count() == 0
+
+
+def _csr(vectors):
+    begin = np.concatenate([[0], np.cumsum([len(v) for v in vectors])])
+    return begin, np.array([t for v in vectors for t in v], np.int64), np.array([x for v in vectors for x in v.values()], np.int64)
+
+
+@given(st.data())
+@settings(max_examples=150, deadline=None)
+def test_ball_bounds_hold_and_search_is_exact(data):
+    size = data.draw(st.integers(1, 12))
+    value = st.sampled_from([1, 2, 7, 10**6, 999_999])
+    vectors = data.draw(st.lists(st.dictionaries(st.integers(0, size - 1), value, min_size=1), max_size=60))
+    weights = np.array(data.draw(st.lists(st.sampled_from([0, 1, 3000, 30_000]), min_size=size, max_size=size)), np.int64)
+    queries = [sorted(q) for q in data.draw(st.lists(st.sets(st.integers(0, size - 1), min_size=1), min_size=1, max_size=4))]
+    items, csr = ranked.Items(list(range(len(queries))), queries, weights), _csr(vectors)
+    scores = [[sum(int(weights[t]) * v.get(t, 0) for t in q) for v in vectors] for q in queries]
+    tree = ranked.BallTree(*csr, size, leaf=3)
+    assert sorted(tree.order.tolist()) == list(range(len(vectors)))
+    if vectors:
+        bounds = tree.bounds(items)
+        for node, (low, high) in enumerate(zip(tree.low, tree.high, strict=True)):
+            assert all(scores[i][d] <= bounds[node, i] for i in range(len(queries)) for d in tree.order[low:high])
+    best = [ranked.Best(5, 1) for _ in queries]
+    ranked.search_tree(list(range(len(vectors))), *csr, items, best)
+    for i, found in enumerate(best):
+        want = sorted((-s, d) for d, s in enumerate(scores[i]) if s > 0)[:5]
+        assert sorted((-s, d) for s, d in found.rows()) == want
+
+
+def test_search_prunes_subtrees():
+    # two groups without a term in common: the item's own is all that is scored
+    rng = np.random.default_rng(4)
+    vectors = [{int(t) + 50 * (i % 2): int(x) for t, x in zip(rng.choice(50, 8, replace=False), rng.integers(1, 10**6, 8), strict=True)} for i in range(2000)]
+    items = ranked.Items([1], [list(range(50, 60))], np.full(100, 5000))
+    scored = ranked.search_tree(list(range(2000)), *_csr(vectors), items, [ranked.Best(5, 1)])
+    assert scored <= 1100
