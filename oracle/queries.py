@@ -362,6 +362,16 @@ SELECT i.product_id, i.warehouse_id,
        CASE WHEN s.product_id IS NOT NULL THEN {NOW} ELSE i.last_updated END AS last_updated
 FROM inventory__product_inventory i
 LEFT JOIN sold s ON i.product_id = s.product_id AND i.warehouse_id = s.warehouse_id""",
+    "stock_after_days": f"""
+WITH taken AS (SELECT oi.product_id, o.warehouse_id, CAST(CAST(o.order_time AS DATE) + 1 AS TIMESTAMP) AS until,
+                      {dsum('oi.quantity')} AS q
+               FROM order_center__order_items oi JOIN ev_orders o ON oi.order_id = o.order_id
+               WHERE {win('o.order_time', W_EVT)} GROUP BY 1, 2, 3)
+SELECT i.product_id, i.warehouse_id, {dbl(f'CAST(i.quantity AS {D}) - COALESCE(SUM(s.q), 0)')} AS quantity,
+       CASE WHEN COUNT(s.q) > 0 THEN {NOW} ELSE i.last_updated END AS last_updated
+FROM inventory__product_inventory i
+LEFT JOIN taken s ON i.product_id = s.product_id AND i.warehouse_id = s.warehouse_id AND s.until > i.last_updated
+GROUP BY i.product_id, i.warehouse_id, i.quantity, i.last_updated""",
     "email_metrics": f"""
 WITH s AS (SELECT campaign_id, CAST(sent_time AS DATE) AS d, SUM(recipient_count) AS sent
            FROM marketing__email_campaigns WHERE {win('sent_time', W_JANUARY)} GROUP BY 1, 2)
@@ -499,4 +509,9 @@ SELECT u.user_id, u.username, u.email, u.phone, u.register_time,
 FROM user_center__registered_users u LEFT JOIN hit h ON h.user_id = u.user_id""",
 }
 
+# the same rows by another route
+JOBS["inventory_levels_repaired"] = JOBS["inventory_levels"]
+JOBS["customer_lifetime_value_merged"] = JOBS["customer_lifetime_value"]
+JOBS["user_order_stats_merged"] = JOBS["user_order_stats"]
+
 ORACLE_SQL: dict[str, str] = {name: with_views(sql) for name, sql in {**LOADS, **JOBS}.items()}

@@ -34,7 +34,7 @@ VIEWS: dict[str, str] = {
         o_totalprice AS total_amount,
         CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'pending' WHEN 'P' THEN 'processing' END AS status,
         o_orderpriority AS payment_method, o_custkey % 10 AS warehouse_id FROM orders""",
-    "ev_orders": """SELECT event_id AS order_id, user_id, ts AS order_time, value AS total_amount
+    "ev_orders": """SELECT event_id AS order_id, user_id, ts AS order_time, value AS total_amount, user_id % 10 AS warehouse_id
         FROM events WHERE event_type = 'purchase'""",
     "raw_data__order_item_details": """SELECT l_orderkey AS order_id, l_partkey AS product_id, l_quantity AS quantity,
         l_extendedprice AS price, l_shipdate AS create_time FROM lineitem""",

@@ -92,10 +92,40 @@ def test_sums_equal_decimal_sums(spark):
     df = spark.createDataFrame([(float(v), Decimal(v), 3) for v in values] + [(None, None, None)], "d double, n decimal(20,6), i int")
     got = df.agg(unscale(dsum("d")).alias("d"), unscale(dsum("n")).alias("n"), unscale(dsum("i")).alias("i")).first()
     assert (got.d, got.n, got.i) == (want, want, 3.0 * len(values))
-    import pytest
 
-    with pytest.raises(Exception, match="more than six decimals"):
-        spark.createDataFrame([(0.12345678,)], "d double").agg(dsum("d")).collect()
+
+def test_wide_sums_equal_decimal_sums(spark):
+    """Values and sums of any size against Python's decimals: up to nine
+    decimals and 15 digits, what has more is rounded half up."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tillroll.functions.scalars import dsum, exact, minus, plus, times, unscale
+
+    rnd = random.Random(11)
+    values = [0.0, -0.0, 1e15, -1e15, 9.3e12, 1234567890123.45, 0.123456789, 0.12345678951, 0.12345678849, -0.0000000006, 3 * 0.1, 7 * 19.99, 2.0**53, 1e16, 123456789012.123, 1048575.999999999, 1048577.123456789, 0.29, 1.005, -1.005]
+    for _ in range(2000):
+        whole = rnd.randint(0, 13)
+        values.append(float(f"{rnd.uniform(-1, 1) * 10**whole:.{rnd.randint(0, min(9, 14 - whole))}f}"))
+    values += [0.1 * 3, 45.0 * 104949.5, 50 * 104949.51, 7 * 1234567.89, 1e-9, 4e-10, 6e-10, 123456.7, 99999999.9999999]
+
+    def unit(v):
+        digits = len(str(int(abs(v)))) if abs(v) >= 1e6 else 6
+        return Decimal(repr(v)).quantize(Decimal(1).scaleb(-max(2, 15 - digits)), ROUND_HALF_UP)
+
+    units = [unit(v) for v in values]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, v double")
+    got = df.select("i", exact("v").alias("x")).select("i", "x.*").orderBy("i").collect()
+    assert [Decimal(r.hundredths).scaleb(-2) + Decimal(r.rest).scaleb(-9) for r in got] == units
+    assert all(0 <= r.rest < 10**7 for r in got)
+    back = df.select("i", unscale(exact("v")).alias("x")).orderBy("i").collect()
+    assert [r.x for r in back] == [float(u) for u in units]
+    sums = df.groupBy((df.i % 7).alias("k")).agg(dsum("v").alias("s"), dsum(-df.v).alias("t"))
+    sums = sums.select("k", unscale("s").alias("s"), unscale(plus("s", times(F.lit(3), "s"))).alias("four"), unscale(minus("s", "t")).alias("two"))
+    for r in sums.collect():
+        want = sum(u for i, u in enumerate(units) if i % 7 == r.k)
+        assert (r.s, r.four, r.two) == (float(want), float(4 * want), float(2 * want))
+    month = spark.range(2_000_000).select(F.lit(8_388_608.07).alias("v")).agg(unscale(dsum("v")).alias("s")).first()
+    assert month.s == float(Decimal("8388608.07") * 2_000_000)
 
 
 def test_lead_time_breaks_ties_by_the_given_columns(spark):

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_SMALL as _SF_DEFAULT
+from tillroll.plans.registry import JOBS
 from tillroll.sources.fixtures import PHYSICAL
 
 SF_SMALL = os.environ.get("TILLROLL_ORACLE_SF", _SF_DEFAULT)
@@ -25,7 +26,7 @@ def con():
 
 
 def test_every_job_has_an_oracle():
-    assert len(QUERIES) == 60
+    assert len(QUERIES) == len(JOBS)
     assert set(QUERIES) == set(ORACLE)
 
 

@@ -1,4 +1,4 @@
-from tillroll.functions.scalars import as_double, day, dsum, exact, ratio, unscale
+from tillroll.functions.scalars import as_double, day, dsum, exact, minus, or_zero, plus, ratio, times, total, unscale
 from tillroll.functions.window import BatchWindow, in_days, in_window, since, ts_literal, windowed, windowed_days
 
 __all__ = [
@@ -13,6 +13,11 @@ __all__ = [
     "day",
     "dsum",
     "exact",
+    "minus",
+    "or_zero",
+    "plus",
     "ratio",
+    "times",
+    "total",
     "unscale",
 ]

@@ -1,53 +1,106 @@
 """Column helpers shared by the jobs.
 
 Money and other fractional measures are summed exactly, so a sum does not
-depend on the order rows arrive in: each value becomes an integer count of
-1/1,000,000 units (``exact``), sums and differences stay in 64-bit integers
-(plain long arithmetic inside whole-stage codegen; Spark widens a DECIMAL sum
-to a BigDecimal-backed type, which is several times slower), and ``unscale``
-turns the result into the correctly rounded DOUBLE, the same value a
-DECIMAL(38,6) sum cast to DOUBLE gives, negative values included. Nothing is
-cut silently: a value with more than six decimals fails the job, as does a
-sum past 9.2e12 (ANSI overflow). Ratios follow MySQL: division by zero is
-NULL (``try_divide``), and integer operands give a fractional result.
+depend on the order rows arrive in. A value is the decimal that its DOUBLE
+stands for (up to nine decimals, and up to the 15 digits a DOUBLE keeps: the
+rounding noise of a product is not carried on), held in two 64-bit limbs:
+whole hundredths, and the rest below one in units of 1e-9 (``exact``). Sums
+(``dsum``, ``total``), differences and multiples go limb by limb in plain long
+arithmetic inside whole-stage codegen (Spark widens a DECIMAL sum to a
+BigDecimal-backed type, which is several times slower), and the limbs need no
+carry until the end: a group may hold 9e11 rows and a sum 9e16. ``unscale``
+makes them the correctly rounded DOUBLE, the same value as a DECIMAL(38,9) sum
+cast to DOUBLE.
+
+Ratios follow MySQL: division by zero is NULL (``try_divide``), and integer
+operands give a fractional result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
-# Fractional inputs carry at most six decimals (money has two,
-# products of two money-like values four). A DOUBLE misses its decimal by
-# rounding, a few parts in 2**53; what is off by more has further decimals.
-SCALE = 1_000_000
-TOLERANCE = 1e-3
-ROUNDING = 2.0**-49
+# The limbs' units, and the largest integer up to which DOUBLEs
+# hold every one.
+PER_HUNDREDTH = 10_000_000
+_WHOLE = float(1 << 53)
+# Below these sizes a DOUBLE keeps so many decimals (15 digits).
+_KEEPS = ((1e6, 9), (1e7, 8), (1e8, 7), (1e9, 6), (1e10, 5), (1e11, 4), (1e12, 3))
 
 
 def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _limbs(hundredths: Column, rest: Column) -> Column:
+    return F.struct(hundredths.alias("hundredths"), rest.alias("rest"))
+
+
+def _of(col: str | Column) -> tuple[Column, Column]:
+    return _c(col).getField("hundredths"), _c(col).getField("rest")
+
+
 def exact(col: str | Column) -> Column:
-    """A fractional measure (DOUBLE, DECIMAL or integer) as an exact integer
-    number of 1/1,000,000 units."""
-    units = _c(col) * F.lit(SCALE)
-    size = F.abs(units)
-    whole = F.floor(size + F.lit(0.5)).cast("double")
-    cut = F.abs(size - whole) > F.lit(TOLERANCE) + size * F.lit(ROUNDING)
-    refused = F.raise_error(F.concat(F.lit("more than six decimals: "), _c(col).cast("string"))).cast("long")
-    return F.when(cut, refused).otherwise((F.signum(units) * whole).cast("long"))
+    """A fractional measure (DOUBLE, DECIMAL or integer) in two limbs; what
+    lies beyond its last decimal is rounded half up, as a cast does."""
+    x = _c(col).cast("double")
+    size = F.abs(x)
+    scale = F
+    for below, decimals in _KEEPS:
+        scale = scale.when(size < below, float(10**decimals))
+    scale = scale.otherwise(100.0)
+    units = F.signum(x) * F.floor(size * scale + 0.5)
+    per = scale / F.lit(100.0)
+    # the floor of the quotient is exact: units are below 2**53 / 2
+    hundredths = F.floor(units / per)
+    return _limbs(hundredths, ((units - hundredths * per) * (PER_HUNDREDTH / per)).cast("long"))
 
 
 def dsum(col: str | Column) -> Column:
-    """Order-independent SUM of a fractional measure (in 1/1,000,000 units)."""
-    return F.sum(exact(col))
+    """Order-independent SUM of a fractional measure, in limbs."""
+    return total(exact(col))
+
+
+def total(col: str | Column, over: WindowSpec | None = None) -> Column:
+    """SUM of limbs, or their running sum over a window."""
+    sums = [F.sum(x) for x in _of(col)]
+    return _limbs(*(sums if over is None else [x.over(over) for x in sums]))
+
+
+def plus(a: str | Column, *more: str | Column) -> Column:
+    hundredths, rest = _of(a)
+    for b in more:
+        h, r = _of(b)
+        hundredths, rest = hundredths + h, rest + r
+    return _limbs(hundredths, rest)
+
+
+def minus(a: str | Column, *more: str | Column) -> Column:
+    hundredths, rest = _of(a)
+    for b in more:
+        h, r = _of(b)
+        hundredths, rest = hundredths - h, rest - r
+    return _limbs(hundredths, rest)
+
+
+def times(n: str | Column, a: str | Column) -> Column:
+    """A whole number of times."""
+    return _limbs(*[_c(n) * x for x in _of(a)])
+
+
+def or_zero(col: str | Column) -> Column:
+    return _limbs(*[F.coalesce(x, F.lit(0).cast("long")) for x in _of(col)])
 
 
 def unscale(col: str | Column) -> Column:
-    """An exact 1/1,000,000-unit integer back to DOUBLE (correctly rounded)."""
-    return _c(col).cast("double") / F.lit(float(SCALE))
+    """Limbs back to DOUBLE (correctly rounded)."""
+    h, r = _of(col)
+    rest = F.pmod(r, F.lit(PER_HUNDREDTH))
+    whole = h + ((r - rest) / PER_HUNDREDTH).cast("long")
+    wide = whole.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)") + rest.cast("decimal(10,0)") * F.lit("0.000000001").cast("decimal(10,9)")
+    # the double quotient of two exact integers is correctly rounded
+    return F.when((rest == 0) & (F.abs(whole) < _WHOLE), whole.cast("double") / F.lit(100.0)).otherwise(wide.cast("double"))
 
 
 def as_double(col: str | Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, dsum, in_window, ratio, unscale, windowed
+from tillroll.functions import BatchWindow, dsum, in_window, minus, or_zero, ratio, unscale, windowed
 from tillroll.operators.sizing import is_small, join_small
 from tillroll.plans.loads import JOBS as _LOADS
 from tillroll.sources.schemas import conform
@@ -94,8 +94,8 @@ def monthly_profit(t: Tables, w: BatchWindow) -> DataFrame:
         .groupBy(F.month("expense_date").alias("month"), F.year("expense_date").alias("year"))
         .agg(dsum("amount").alias("total_expenses"))
     )
-    expenses = F.coalesce(F.col("total_expenses"), F.lit(0).cast("long"))
-    profit = F.col("revenue") - expenses
+    expenses = or_zero("total_expenses")
+    profit = minus("revenue", expenses)
     out = rev.join(exp, ["month", "year"], "left").select(
         "month",
         "year",

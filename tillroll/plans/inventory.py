@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, exact, since, unscale, windowed
+from tillroll.functions import BatchWindow, day, dsum, exact, in_window, minus, or_zero, plus, since, total, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
-from tillroll.sources.schemas import APPLIED, conform
+from tillroll.sources.schemas import BATCH_WINDOW, conform
 from tillroll.sources.tables import Tables
 
 # Fixed value: an alert suppresses new alerts for the same stock this long.
@@ -102,17 +102,17 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
         .unionByName(_rows(prior, carried=F.col("ending_quantity")))
         .unionByName(_rows(stocked))
     )
-    per_day = rows.groupBy(*PAIR, "date").agg(*[F.coalesce(dsum(m), F.lit(0)).alias(m) for m in (*MOVES, "carried")])
+    per_day = rows.groupBy(*PAIR, "date").agg(*[or_zero(dsum(m)).alias(m) for m in (*MOVES, "carried")])
     # semi-joins ignore duplicate keys, so the dimension ids need no distinct;
     # the last one leaves the rows partitioned by product, which the window
     # per pair needs no further exchange for
     per_day = per_day.join(t["inventory.warehouses"].select("warehouse_id"), "warehouse_id", "left_semi")
     per_day = per_day.join(t["product_center.products"].select("product_id"), "product_id", "left_semi")
-    net = F.col("receipts") - F.col("sales") + F.col("adjustments") + F.col("transfers_in") - F.col("transfers_out")
+    net = minus(plus("receipts", "adjustments", "transfers_in"), "sales", "transfers_out")
     by_day = Window.partitionBy(*PAIR).orderBy("date")
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = per_day.withColumn("net", net).select(
-        "*", F.sum(F.col("carried") + F.col("net")).over(upto).alias("ending"), F.lead("date").over(by_day).alias("next")
+        "*", total(plus("carried", "net"), upto).alias("ending"), F.lead("date").over(by_day).alias("next")
     )
     days = F.sequence("date", F.coalesce(F.date_sub("next", 1), last))
     spun = running.select(*PAIR, *MOVES, "net", "ending", F.posexplode(days).alias("gap", "day"))
@@ -120,17 +120,72 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     out = spun.select(
         F.col("day").alias("date"),
         *PAIR,
-        unscale(F.when(moved, F.col("ending") - F.col("net")).otherwise(F.col("ending"))).alias("beginning_quantity"),
-        *[unscale(F.when(moved, F.col(m)).otherwise(0)).alias(m) for m in MOVES],
+        F.when(moved, unscale(minus("ending", "net"))).otherwise(unscale("ending")).alias("beginning_quantity"),
+        *[F.when(moved, unscale(m)).otherwise(0.0).alias(m) for m in MOVES],
         unscale("ending").alias("ending_quantity"),
     )
     return conform(out, "analytics.inventory_levels")
 
 
+def broken_pairs(after: DataFrame, boundary: DataFrame) -> DataFrame:
+    """Pairs whose balance does not go on from one ledger day to the next:
+    (warehouse, product, base, known). ``after`` is the day that was
+    rewritten, ``boundary`` the day behind it; base is the rewritten ending in
+    limbs, and ``known`` says that the pair has a row on the rewritten day.
+
+    A row behind it that carries a balance on which nothing rests any more is
+    broken too; one that starts from zero is not."""
+    own = after.select(*PAIR, exact("ending_quantity").alias("base"))
+    behind = boundary.select(*PAIR, exact("beginning_quantity").alias("begun"))
+    met = own.join(behind, PAIR, "full_outer")
+    known, there = F.col("base").isNotNull(), F.col("begun").isNotNull()
+    none = exact(F.lit(0.0))
+    broken = F.when(known & there, F.col("base") != F.col("begun")).when(known, True).otherwise(F.col("begun") != none)
+    return met.where(broken).select(*PAIR, F.coalesce("base", none).alias("base"), known.alias("known"))
+
+
+def repaired_rows(changed: DataFrame, later: DataFrame, days: list[dt.date], proven: bool | None = None) -> DataFrame:
+    """The ledger rows of the ``changed`` pairs (``broken_pairs``) on the
+    consecutive ``days`` behind the rewritten one, from their movements in
+    ``later``: a row a day from the first day the pair is known or moved.
+    ``proven`` as in ``join_small``."""
+    grid = changed.withColumn("date", F.explode(F.array(*[F.lit(d) for d in days])))
+    rows = later.select(*PAIR, "date", *MOVES)
+    met = join_small(rows, changed.select(*PAIR), PAIR, "left_semi", proven=proven)
+    full = grid.join(met, [*PAIR, "date"], "left")
+    full = full.select(*PAIR, "date", "base", "known", *[F.coalesce(m, F.lit(0.0)).alias(m) for m in MOVES])
+    moves = {m: exact(m) for m in MOVES}
+    full = full.withColumn("net", minus(plus(moves["receipts"], moves["adjustments"], moves["transfers_in"]), moves["sales"], moves["transfers_out"]))
+    moved = F.lit(False)
+    for m in MOVES:
+        moved = moved | (F.col(m) != 0)
+    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = full.withColumn("ending", plus("base", total("net", upto))).withColumn("begun", F.max(moved).over(upto))
+    out = full.where(F.col("known") | F.col("begun")).select(
+        "date", *PAIR, unscale(minus("ending", "net")).alias("beginning_quantity"), *MOVES, unscale("ending").alias("ending_quantity")
+    )
+    return conform(out, "analytics.inventory_levels")
+
+
+def inventory_levels_repaired(t: Tables, w: BatchWindow) -> DataFrame:
+    """The ledger of ``w`` after its first day was run again: it had been
+    chained over all days while the first day's adjustments were missing, then
+    only that day was rerun, and the days behind it repaired."""
+    first = dt.date.fromisoformat(w.date[:10])
+    days = [first + dt.timedelta(days=i) for i in range(1, (dt.date.fromisoformat(w.date_next[:10]) - first).days)]
+    rerun = BatchWindow(w.date, days[0].isoformat(), w.as_of)
+    late = ~in_window("adjustment_time", rerun)
+    stale = inventory_levels(t.override(inventory__inventory_adjustments=t["inventory.inventory_adjustments"].where(late)), w)
+    after, later = inventory_levels(t, rerun), stale.where(F.col("date") > F.lit(first))
+    changed = broken_pairs(after, later.where(F.col("date") == F.lit(days[0])))
+    kept = later.join(changed, PAIR, "left_anti")
+    return after.unionByName(kept).unionByName(repaired_rows(changed, later, days, proven=False))
+
+
 def low_stock_alerts(t: Tables, w: BatchWindow) -> DataFrame:
     """Stock at or below its product's reorder threshold, unless the same
     (product, warehouse) was alerted in the last seven days."""
-    stock = t["inventory.product_inventory"].select("product_id", "warehouse_id", "quantity")
+    stock = stock_tables(t).select("product_id", "warehouse_id", "quantity")
     products = t["product_center.products"].select("product_id", "reorder_threshold")
     low = stock.join(products, "product_id").where(F.col("quantity") <= F.col("reorder_threshold"))
     recent = (
@@ -147,44 +202,80 @@ def low_stock_alerts(t: Tables, w: BatchWindow) -> DataFrame:
     return conform(out, "inventory.low_stock_alerts")
 
 
-def _applied(w: BatchWindow) -> tuple[Column, Column, Column]:
-    """From the windows a row has had (``APPLIED``): whether ``w`` is among
-    them, whether it overlaps them otherwise, and the windows with ``w``
-    added, adjacent ones merged."""
-    lo, hi = (dt.datetime.fromisoformat(x).isoformat(sep=" ", timespec="seconds") for x in (w.date, w.date_next))
-    had = F.filter(F.split(F.coalesce(F.col(APPLIED), F.lit("")), ";"), lambda x: x != "")
-    start, end = (lambda x: F.split(x, "/").getItem(0)), (lambda x: F.split(x, "/").getItem(1))
-    covered = F.exists(had, lambda x: (start(x) <= lo) & (end(x) >= hi))
-    clash = ~covered & F.exists(had, lambda x: (start(x) < hi) & (end(x) > lo))
-    touching = F.filter(had, lambda x: (end(x) == lo) | (start(x) == hi))
-    first = F.least(F.lit(lo), F.array_min(F.transform(touching, start)))
-    last = F.greatest(F.lit(hi), F.array_max(F.transform(touching, end)))
-    rest = F.filter(had, lambda x: (end(x) != lo) & (start(x) != hi))
-    added = F.array_join(F.array_sort(F.array_append(rest, F.concat(first, F.lit("/"), last))), ";")
-    return covered, clash, added
-
-
-def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
-    """Stock with the window's completed orders deducted per (product, order
-    warehouse). The deduction is not idempotent, so where stock rows have the
-    column ``APPLIED`` (tables that the sinks write), a row that has had the
-    window is left as it is, and one that has had part of it is an error."""
+def _sold(t: Tables, w: BatchWindow) -> DataFrame:
+    """Quantity of the window's completed orders per (product, order
+    warehouse), in limbs."""
     orders = (
         windowed(t["order_center.orders"], "order_time", w)
         .where(F.col("status") == "completed")
         .select("order_id", "warehouse_id")
     )
     items = t["order_center.order_items"].select("order_id", "product_id", "quantity")
-    sold = (
-        join_small(items, orders, "order_id")
-        .groupBy("product_id", "warehouse_id")
-        .agg(dsum("quantity").alias("sold"))
-    )
+    return join_small(items, orders, "order_id").groupBy("product_id", "warehouse_id").agg(dsum("quantity").alias("sold"))
+
+
+def update_inventory_after_order(t: Tables, w: BatchWindow) -> DataFrame:
+    """The statement itself, once: the stock rows of ``t`` with the window's
+    completed orders deducted per (product, order warehouse). Repeating it
+    would deduct twice; tables that the sinks write keep the deductions apart
+    instead (``stock_deductions``, ``stock_on_hand``)."""
+    changes = {"quantity": unscale(minus(exact("quantity"), "sold")), "last_updated": w.now}
+    return apply_changes(t["inventory.product_inventory"], _sold(t, w), PAIR, changes)
+
+
+def stock_deductions(t: Tables, w: BatchWindow) -> DataFrame:
+    """What the window takes from each (product, warehouse): a row per pair
+    sold, which a rerun replaces. Stock rows are not touched."""
+    out = _sold(t, w).select("product_id", "warehouse_id", unscale("sold").alias("quantity"), w.now.alias("deducted_at"))
+    return conform(out.where("product_id is not null and warehouse_id is not null"), "inventory.stock_deductions")
+
+
+def stock_on_hand(stock: DataFrame, deductions: DataFrame) -> DataFrame:
+    """``stock`` as loaded, less the deductions that are due.
+
+    ``last_updated`` of a loaded row is its watermark: it was measured then,
+    so it already lacks what was sold before, and only windows that end after
+    it are due (those that end at that instant or earlier are not, whenever
+    they are run or rerun). A row without it has every window deducted. The
+    result is therefore the same for any order of loads, updates and reruns;
+    ``last_updated`` becomes the instant of the latest deduction due.
+
+    ``deductions`` has product_id, warehouse_id, quantity, deducted_at and
+    the window's end ``until``. Rows and deductions of a pair meet in one
+    running sum, latest first: a pair has a row per load and per window, and
+    no load x window pairs are built."""
+    row = F.struct(*[F.col(c) for c in stock.columns])
+    none = F.lit(None)
+    loaded = stock.select(*PAIR, F.col("last_updated").alias("at"), F.lit(0).alias("late"), none.cast("double").alias("taken"), none.cast("timestamp_ntz").alias("taken_at"), row.alias("row"))
+    taken = deductions.select(*PAIR, F.col("until").alias("at"), F.lit(1).alias("late"), F.col("quantity").alias("taken"), F.col("deducted_at").alias("taken_at"), none.cast(loaded.schema["row"].dataType).alias("row"))
+    # at equal instants the row comes first: a window that ends as the stock
+    # is measured is not due
+    latest_first = Window.partitionBy(*PAIR).orderBy(F.col("at").desc_nulls_last(), "late").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = loaded.unionByName(taken.where("product_id is not null and warehouse_id is not null"))
+    due = met.withColumn("due", or_zero(total(exact("taken"), latest_first))).withColumn("due_at", F.max("taken_at").over(latest_first))
+    rows = due.where(F.col("row").isNotNull())
+    changed = {"quantity": unscale(minus(exact("row.quantity"), "due")), "last_updated": F.coalesce("due_at", "row.last_updated")}
+    return rows.select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in stock.columns])
+
+
+def stock_tables(t: Tables) -> DataFrame:
+    """The stock rows of ``t``, with the deductions the sinks have recorded."""
     stock = t["inventory.product_inventory"]
-    changes = {"quantity": unscale(exact("quantity") - F.col("sold")), "last_updated": w.now}
-    if APPLIED in stock.columns:
-        covered, clash, added = _applied(w)
-        refused = F.raise_error(F.concat(F.lit(f"window {w.date}..{w.date_next} overlaps "), F.col(APPLIED)))
-        changes = {c: F.when(covered, F.col(c)).otherwise(e) for c, e in changes.items()}
-        changes[APPLIED] = F.when(covered, F.col(APPLIED)).when(clash, refused.cast("string")).otherwise(added)
-    return apply_changes(stock, sold, PAIR, changes)
+    if "inventory.stock_deductions" not in t:
+        return stock
+    deductions = t["inventory.stock_deductions"]
+    if BATCH_WINDOW not in deductions.columns:  # none recorded yet
+        return stock
+    until = F.split(BATCH_WINDOW, "_").getItem(1).cast("timestamp_ntz")
+    return stock_on_hand(stock, deductions.withColumn("until", until))
+
+
+def stock_after_days(t: Tables, w: BatchWindow) -> DataFrame:
+    """Stock on hand after the updates of each day of ``w``, run one by one
+    (in whatever order): loaded rows and a deduction per pair and day."""
+    day_end = F.date_add(day("order_time"), 1).cast("timestamp_ntz").alias("until")
+    orders = windowed(t["order_center.orders"], "order_time", w).where(F.col("status") == "completed").select("order_id", "warehouse_id", day_end)
+    items = t["order_center.order_items"].select("order_id", "product_id", "quantity")
+    sold = join_small(items, orders, "order_id").groupBy(*PAIR, "until").agg(dsum("quantity").alias("sold"))
+    deductions = sold.select(*PAIR, "until", unscale("sold").alias("quantity"), w.now.alias("deducted_at"))
+    return conform(stock_on_hand(t["inventory.product_inventory"], deductions), "inventory.product_inventory")

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, exact, ratio, unscale, windowed, windowed_days
+from tillroll.functions import BatchWindow, day, dsum, exact, ratio, times, total, unscale, windowed, windowed_days
 from tillroll.operators.changes import apply_where
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import conform
@@ -73,8 +73,8 @@ def _metrics(t: Tables, w: BatchWindow) -> DataFrame:
 
 
 def _performance(out: DataFrame) -> DataFrame:
-    spend = F.col("spend")
-    roi = F.when(spend > 0, ratio(unscale("revenue"), unscale(spend))).otherwise(F.lit(0.0))
+    spend = unscale("spend")
+    roi = F.when(spend > 0, ratio(unscale("revenue"), spend)).otherwise(F.lit(0.0))
     return conform(
         out.select(
             "campaign_id",
@@ -82,7 +82,7 @@ def _performance(out: DataFrame) -> DataFrame:
             "impressions",
             "clicks",
             F.coalesce(F.col("conversions"), F.lit(0)).alias("conversions"),
-            unscale(spend).alias("spend"),
+            spend.alias("spend"),
             unscale("revenue").alias("revenue"),
             roi.alias("roi"),
         ),
@@ -103,7 +103,7 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
     per_user = metrics.groupBy("campaign_id", "date", "user_id").agg(
         F.sum(k * _kind("impression")).alias("imp"),
         F.sum(k * _kind("click")).alias("clk"),
-        F.sum(k * exact("cost")).alias("cost"),
+        total(times(k, exact("cost"))).alias("cost"),
         F.sum(k).alias("rows"),
     )
     orders = _same_day_orders(t, w)
@@ -113,8 +113,8 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
         F.sum(F.col("imp") * mult).alias("impressions"),
         F.sum(F.col("clk") * mult).alias("clicks"),
         F.sum("order_ids").alias("conversions"),
-        F.sum(F.col("cost") * mult).alias("spend"),
-        F.sum(F.col("rows") * F.col("order_revenue")).alias("revenue"),
+        total(times(mult, "cost")).alias("spend"),
+        total(times("rows", "order_revenue")).alias("revenue"),
     )
     return _performance(out)
 
@@ -133,7 +133,7 @@ def campaign_performance_exact(t: Tables, w: BatchWindow) -> DataFrame:
     attributed = (
         users.join(_same_day_orders(t, w), ["user_id", "date"])
         .groupBy("campaign_id", "date")
-        .agg(F.sum("order_ids").alias("conversions"), F.sum("order_revenue").alias("revenue"))
+        .agg(F.sum("order_ids").alias("conversions"), total("order_revenue").alias("revenue"))
     )
     return _performance(totals.join(attributed, ["campaign_id", "date"], "left"))
 
@@ -165,7 +165,7 @@ def _acquisition(signups: DataFrame, t: Tables, w: BatchWindow, as_written: bool
         F.sum(F.col("user_rows") * mult).alias("fanout"),
     )
     with_cost = per_group.join(_source_cost(t, w), ["source", "date"], "left")
-    cost = F.col("source_cost") * F.col("fanout") if as_written else F.col("source_cost")
+    cost = times("fanout", "source_cost") if as_written else F.col("source_cost")
     out = with_cost.select(
         "date",
         "source",

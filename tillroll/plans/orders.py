@@ -62,17 +62,25 @@ def daily_order_summary(t: Tables, w: BatchWindow) -> DataFrame:
     return conform(out, "analytics.daily_order_summary")
 
 
-def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
-    """Window stats per user, plus the category the user bought most often
-    over all of their orders (item rows; ties go to the smallest category)."""
-    orders = t["order_center.orders"]
-    ow = windowed(orders, "order_time", w)
-    stats = ow.groupBy("user_id").agg(
+def window_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
+    """Per user of the window: orders, what was spent (in limbs), first and
+    last order day."""
+    return windowed(t["order_center.orders"], "order_time", w).groupBy("user_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
         dsum("total_amount").alias("spent"),
         F.min(day("order_time")).alias("first_order_date"),
         F.max(day("order_time")).alias("last_order_date"),
     )
+
+
+def user_order_stats(t: Tables, w: BatchWindow) -> DataFrame:
+    """Window stats per user, plus the category the user bought most often
+    over all of their orders (item rows; ties go to the smallest category).
+    Written tables keep a state for the second part
+    (``states.stats_from_state``)."""
+    orders = t["order_center.orders"]
+    ow = windowed(orders, "order_time", w)
+    stats = window_order_stats(t, w)
     users = ow.where(F.col("user_id").isNotNull()).select("user_id").distinct()
     their_orders = join_small(orders.select("order_id", "user_id"), users, "user_id", "left_semi").distinct()
     items = t["order_center.order_items"].select("order_id", "product_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, ratio, unscale, windowed
+from tillroll.functions import BatchWindow, day, dsum, ratio, total, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import lead_time
 from tillroll.operators.sizing import join_small
@@ -89,9 +89,9 @@ def category_performance(t: Tables, w: BatchWindow) -> DataFrame:
         per_product.join(products, "product_id")
         .groupBy("date", "category")
         .agg(
-            F.sum("sales").alias("sales"),
+            total("sales").alias("sales"),
             F.count_distinct("product_id").alias("product_count"),
-            F.sum("price_sum").alias("price_sum"),
+            total("price_sum").alias("price_sum"),
             F.sum("price_n").alias("price_n"),
         )
         .select(

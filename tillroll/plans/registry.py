@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tillroll.functions.window import BatchWindow
-from tillroll.plans import finance, inventory, loads, marketing, orders, products, users
+from tillroll.plans import finance, inventory, loads, marketing, orders, products, states, users
 from tillroll.sources.tables import Tables
 
 # The fixture test windows (FIXTURES.md section 3).
@@ -33,12 +33,12 @@ class Job:
     fn: Callable[[Tables, BatchWindow], DataFrame]
     window: BatchWindow
     profile: str = "default"
-    kind: str = "insert"  # insert | update
+    kind: str = "insert"  # insert | update | view (of stored tables)
 
     @property
     def target(self) -> str:
         """The table the job writes (INSERT INTO / UPDATE)."""
-        return TARGET[self.name.removesuffix("_exact").removesuffix("_carried")]
+        return TARGET[self.name.removesuffix("_exact").removesuffix("_carried").removesuffix("_repaired").removesuffix("_merged")]
 
 
 def _load(name: str, window: BatchWindow, profile: str = "default") -> Job:
@@ -61,6 +61,7 @@ TARGET: dict[str, str] = {
     "inventory_levels": "analytics.inventory_levels",
     "low_stock_alerts": "inventory.low_stock_alerts",
     "update_inventory_after_order": "inventory.product_inventory",
+    "stock_after_days": "inventory.product_inventory",
     "email_metrics": "analytics.email_performance",
     "campaign_performance": "analytics.campaign_performance",
     "user_acquisition": "analytics.user_acquisition",
@@ -78,6 +79,10 @@ TARGET: dict[str, str] = {
 # jobs that read the table they write (the sink cuts lineage first)
 READS_OWN_TARGET = {"low_stock_alerts", "inventory_levels", "inventory_levels_carried"}
 
+# updates that must not be applied twice: what a window takes is written to a
+# table of its own (its name, and the job that gives its rows)
+RECORDED_AS = {"update_inventory_after_order": ("inventory.stock_deductions", inventory.stock_deductions)}
+
 # jobs whose rows are those of today (``as_of``), added to the day's rows
 ADDS_TO_TODAY = {"low_stock_alerts"}
 
@@ -102,6 +107,8 @@ JOBS: tuple[Job, ...] = (
     _load("order_refund", W_ORD),
     Job("daily_order_summary", orders.daily_order_summary, W_ORD),
     Job("user_order_stats", orders.user_order_stats, W_ORD),
+    # the same statement from maintained state
+    Job("user_order_stats_merged", states.user_order_stats_merged, W_ORD, kind="view"),
     Job("order_conversion", orders.order_conversion, W_EVT, "events"),
     Job("order_conversion_exact", orders.order_conversion_exact, W_EVT, "events"),
     Job("update_order_status", orders.update_order_status, W_ORD, kind="update"),
@@ -114,6 +121,7 @@ JOBS: tuple[Job, ...] = (
     _load("marketing_expense", W_EVT),
     Job("monthly_profit", finance.monthly_profit, W_ORD),
     Job("customer_lifetime_value", finance.customer_lifetime_value, W_LAST_YEAR),
+    Job("customer_lifetime_value_merged", states.customer_lifetime_value_merged, W_LAST_YEAR, kind="view"),
     _load("tax_calculations", W_ORD),
     Job("payment_methods_summary", finance.payment_methods_summary, W_ORD),
     # inventory
@@ -126,8 +134,12 @@ JOBS: tuple[Job, ...] = (
     Job("inventory_levels", inventory.inventory_levels, W_LEDGER),
     # the same job on a day after the first: a ledger with carried balances
     Job("inventory_levels_carried", inventory.inventory_levels, W_LEDGER, "carried"),
+    # a rerun of one day and the repair of those behind it
+    Job("inventory_levels_repaired", inventory.inventory_levels_repaired, W_LEDGER, kind="view"),
     Job("low_stock_alerts", inventory.low_stock_alerts, W_EVT),
     Job("update_inventory_after_order", inventory.update_inventory_after_order, W_ORD, kind="update"),
+    # stock as readers see it: loaded rows less the deductions that are due
+    Job("stock_after_days", inventory.stock_after_days, W_EVT, "events", kind="view"),
     # marketing
     _load("campaign_creation", W_EVT),
     _load("campaign_channels", W_EVT),

@@ -68,13 +68,19 @@ EXTRA_COLUMNS: dict[str, str] = {
     "marketing.campaigns": "budget_spent double, channel_id bigint",
     "product_center.products": "reorder_threshold double, average_rating double",
     "user_center.registered_users": "referral_source string, deletion_time timestamp_ntz",
-    "inventory.product_inventory": "applied_windows string",
 }
 
-# Fixed value: where a row records the batch windows of a non-idempotent
-# update that it has had ("lo/hi;lo/hi", adjacent windows merged). A loaded
-# row has none.
-APPLIED = "applied_windows"
+# Tables that jobs maintain beside their targets, so that a run
+# reads its own day and what they hold instead of all history.
+STATES: dict[str, str] = {
+    "inventory.stock_deductions": "product_id bigint, warehouse_id bigint, quantity double, deducted_at timestamp_ntz",
+    "analytics.customer_ltv_state": "user_id bigint, total_hundredths bigint, total_rest bigint, first_purchase timestamp_ntz, last_purchase timestamp_ntz, order_ids array<bigint>, batch_day date",
+    "analytics.user_product_state": "user_id bigint, order_id bigint, product_id bigint, n bigint, batch_day date",
+}
+
+# The partition columns of tables without a day of their own.
+BATCH_DAY = "batch_day"
+BATCH_WINDOW = "batch_window"
 
 
 # The time column whose calendar day partitions each table the
@@ -122,8 +128,24 @@ PARTITION_BY_SOURCE: dict[str, str] = {
 }
 
 
+# Tables whose days are also partitioned by a hash of some
+# columns, so that rows of few keys can be rewritten without the others of
+# their day: partition column, key columns, number of parts.
+PARTITION_BY_HASH: dict[str, tuple[str, tuple[str, ...], int]] = {
+    "analytics.inventory_levels": ("pair_bucket", ("warehouse_id", "product_id"), 8),
+}
+
+
+def with_bucket(df: DataFrame, table: str) -> DataFrame:
+    """``df`` with its partition column by hash, if the table has one."""
+    if table not in PARTITION_BY_HASH:
+        return df
+    part, keys, parts = PARTITION_BY_HASH[table]
+    return df.withColumn(part, F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+
+
 def fields(table: str, with_extra: bool = False) -> list[tuple[str, str]]:
-    ddl = TARGETS[table]
+    ddl = TARGETS[table] if table in TARGETS else STATES[table]
     if with_extra and table in EXTRA_COLUMNS:
         ddl = ddl + ", " + EXTRA_COLUMNS[table]
     out = []

@@ -11,14 +11,15 @@ INSERT jobs replace the days (or the window) they state and nothing else:
 * ``write_window``: tables without a day (monthly or per-user marts) are
   partitioned by the window itself; a window that overlaps another one than
   itself is refused.
+* ``replace_keys``: single keys' rows on some days, in the partitions that
+  hold them (the days behind a rewritten ledger day).
 * ``merge_keys``: the rows of whole keys (a product's price history) replace
   those keys' rows on whatever days either has them.
 
 UPDATE jobs return the partitions that hold a changed row, and
-``rewrite_partitions`` replaces those. Whether a non-idempotent update was
-applied is recorded in the rows it changed (``schemas.APPLIED``), so data and
-record commit together, survive a crash between two partitions, and vanish
-together when a load replaces the rows.
+``rewrite_partitions`` replaces those. An update that must not be applied
+twice writes what it takes, by window, to a table of its own, and readers
+subtract what is due (``inventory.stock_on_hand``).
 
 A ``Store`` says where tables live: ``ParquetStore`` (folders below a root) or
 ``CatalogStore`` (the session catalog).
@@ -34,11 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tillroll.functions.window import DAY_SUFFIX, BatchWindow, day_partition
+from tillroll.operators.sizing import join_small
 from tillroll.session import ensure_checkpoint_dir
-
-# The partition columns of tables without a day of their own.
-BATCH_DAY = "batch_day"
-BATCH_WINDOW = "batch_window"
+from tillroll.sources.schemas import BATCH_DAY, BATCH_WINDOW, PARTITION_BY_HASH, with_bucket
 
 
 class Store:
@@ -165,20 +164,17 @@ def _cut(df: DataFrame) -> DataFrame:
 def _replace(store: Store, table: str, df: DataFrame, parts: list[str], stated: Column, source: tuple[str, str] | None) -> None:
     """Replace the partitions of ``df``, then empty those that match
     ``stated`` (and the source) and got no rows."""
-    part = parts[-1]
     before = store.read(table)
-    there: list[str] = []
-    if before is not None and part in before.columns:
+    there: set[tuple] = set()
+    values = [F.col(p).cast("string").alias(p) for p in parts]
+    if before is not None and set(parts) <= set(before.columns):
         cond = stated if source is None else stated & (F.col(source[0]) == source[1])
-        there = [r[0] for r in before.where(cond).select(F.col(part).cast("string")).distinct().collect()]
-    # the values of a partition column, not rows: days or windows of the batch
+        there = {tuple(r) for r in before.where(cond).select(*values).distinct().collect()}
+    # the values of the partition columns, not rows: days or windows of the batch
     seen = Observation()
-    store.replace(table, df.observe(seen, F.collect_set(F.col(part).cast("string")).alias("values")), parts)
-    written = set(seen.get["values"])
-    for value in there:
-        if value not in written:
-            own = {part: value} if source is None else {source[0]: source[1], part: value}
-            store.empty(table, df, own)
+    store.replace(table, df.observe(seen, F.collect_set(F.struct(*values)).alias("values")), parts)
+    for gone in sorted(there - {tuple(r) for r in seen.get["values"]}, key=repr):
+        store.empty(table, df, dict(zip(parts, gone, strict=True)))
 
 
 def write_days(
@@ -192,7 +188,8 @@ def write_days(
     reads_own_target: bool = False,
     keep_day: bool = False,
 ) -> None:
-    """Replace the days ``first`` to ``last`` of ``table`` by ``df``.
+    """Replace the days ``first`` to ``last`` of ``table`` by ``df``. Tables
+    in ``schemas.PARTITION_BY_HASH`` are parted by that hash too.
 
     The day is that of the column ``day_of``, or the column ``batch_day`` of
     ``df``. With ``source`` = (column, value), several jobs share the table
@@ -211,7 +208,37 @@ def write_days(
     inside = F.col(part).between(_date(first), _date(last))
     refused = F.raise_error(F.concat(F.lit(f"{table}: the batch replaces {first}..{last}, not "), F.coalesce(F.col(part).cast("string"), F.lit("NULL"))))
     checked = df.withColumn(part, F.when(inside, F.col(part)).otherwise(refused.cast("date")))
-    _replace(store, table, checked, [part] if source is None else [source[0], part], inside, source)
+    parts = [part] if source is None else [source[0], part]
+    if table in PARTITION_BY_HASH:
+        checked = with_bucket(checked, table)
+        parts.append(PARTITION_BY_HASH[table][0])
+    _replace(store, table, checked, parts, inside, source)
+
+
+def replace_keys(store: Store, table: str, new: DataFrame, keys: DataFrame, on: list[str], day_of: str, days: list[dt.date]) -> None:
+    """On the ``days`` of a table that is parted by day and hash, the rows of
+    ``keys`` are replaced by ``new``; partitions without such a row, old or
+    new, are neither read whole nor written. The first day is replaced last,
+    so a rerun after a crash finds it as it was and repeats the rest."""
+    part = day_partition(day_of)
+    bucket = PARTITION_BY_HASH[table][0]
+    before = store.read(table).where(F.col(part).isin(days))
+    new = _cut(with_bucket(new.withColumn(part, F.to_date(day_of)), table))
+    held = join_small(before.select(*on, part, bucket), keys.select(*on), on, "left_semi")
+    touched = _cut(held.select(part, bucket).unionAll(new.select(part, bucket)).distinct())
+    # a partition of these days at most
+    places = [tuple(r) for r in touched.collect()]
+    at = [F.col(part) == F.col("__day"), F.col(bucket) == F.col("__bucket")]
+    named = touched.select(F.col(part).alias("__day"), F.col(bucket).alias("__bucket"))
+    rest = before.join(F.broadcast(named), at[0] & at[1], "left_semi")
+    merged = _cut(join_small(rest, keys.select(*on), on, "left_anti").unionByName(new))
+    for these in ([d for d in days if d != days[0]], days[:1]):
+        stated = F.lit(False)
+        for day, number in places:
+            if day in these:
+                stated = stated | ((F.col(part) == F.lit(day)) & (F.col(bucket) == number))
+        if any(day in these for day, _ in places):
+            _replace(store, table, merged.where(F.col(part).isin(these)), [part, bucket], stated, None)
 
 
 def write_window(store: Store, table: str, df: DataFrame, w: BatchWindow) -> None:

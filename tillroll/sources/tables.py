@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.sources.schemas import TARGETS, empty_table
+from tillroll.sources.schemas import STATES, TARGETS, empty_table
 from tillroll.sources.sinks import CatalogStore, ParquetStore, Store
 
 
@@ -36,7 +36,7 @@ class Tables:
 
         def read(name: str) -> DataFrame:
             df = store.read(name)
-            if df is None and name in TARGETS:
+            if df is None and (name in TARGETS or name in STATES):
                 df = empty_table(store.spark, name)
             if df is None:
                 raise KeyError(f"no table {name!r}")
