@@ -297,11 +297,8 @@ def test_isolation_depths_are_path_lengths():
     assert depths[-1] < depths[:-1].min()
 
 
-def _all_maximal(at, weights, gap, n):
+def _all_maximal(value):
     """Ruzzo and Tompa by definition: the best span, then left and right."""
-    value = [-gap] * n
-    for i, w in zip(at, weights, strict=True):
-        value[i] = w
 
     def inner(lo, hi):
         best = None
@@ -316,18 +313,15 @@ def _all_maximal(at, weights, gap, n):
         s, a, b = best
         return [*inner(lo, a), (a, b, s), *inner(b + 1, hi)]
 
-    return inner(0, n)
+    return inner(0, len(value))
 
 
 def test_segments_equal_their_definition():
     rng = np.random.default_rng(3)
     for _ in range(150):
         n = int(rng.integers(1, 30))
-        at = [i for i in range(n) if rng.random() < 0.3]
-        weights = [float(w) for w in rng.uniform(0.1, 2, len(at))]
-        gap = float(rng.uniform(0.05, 1.1))
-        got = toxicity.maximal_segments(at, weights, gap)
-        want = _all_maximal(at, weights, gap, n)
+        weights = [float(w) for w in np.where(rng.random(n) < 0.3, rng.uniform(0.1, 2, n), rng.uniform(-1.5, 0, n))]
+        got, want = toxicity.maximal_segments(weights), _all_maximal(weights)
         assert [(a, b) for a, b, _ in got] == [(a, b) for a, b, _ in want]
         assert [s for *_, s in got] == pytest.approx([s for *_, s in want])
 
@@ -338,7 +332,8 @@ def test_toxicity_on_held_out_labels(spark, odd):
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for d, r in got.items())
     marked = [(r.toxic, got[r.doc_id].predicted) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if got[r.doc_id].held_out]
     hits = sum(t and p for t, p in marked)
-    assert hits >= 0.6 * sum(t for t, _ in marked) and hits >= 0.9 * sum(p for _, p in marked)
+    # 14 of 18; the other four hold no word that a learnt toxic text has
+    assert hits >= 0.75 * sum(t for t, _ in marked) and hits >= 0.9 * sum(p for _, p in marked)
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     model = toxicity.fit(docs, labels.where(~held_out()))
     kept = toxicity.keep_clean(docs, model)
@@ -351,6 +346,15 @@ def test_toxicity_on_held_out_labels(spark, odd):
         assert empty == toxicity.Model() and toxicity.score(docs, empty).where("score <> 0").count() == 0
 
 
+def test_every_token_has_a_weight_and_sure_ones_more():
+    clean, bad = np.array([40.0, 1, 0, 0, 30, 500]), np.array([0.0, 0, 1, 20, 30, 50])
+    weights, rate = toxicity._weights(clean, bad)
+    weights = weights + toxicity.DRIFT
+    assert weights[0] < weights[1] < 0 < weights[2] < 0.5 < weights[3] and (weights != 0).all()
+    shares = (clean + 0.5) / (clean + 0.5).sum()
+    assert rate > 0 and np.dot(shares, weights - toxicity.DRIFT) < 0  # a clean text's sum falls
+
+
 def test_digests_of_queries(spark):
     ids = QUERIES["op8_byte_bpe"](spark, SF_SMALL).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}

@@ -1,19 +1,24 @@
 """Toxicity by maximum-scoring segments.
 
 Fitting. On labelled rows, every token gets the log-odds of occurring in a
-toxic against a clean text, with an informative Dirichlet prior: the pooled
-token shares, worth PRIOR_SHARE of the sample. Tokens count once a text, and
-equal texts once, so that one long or much-copied text does not make its own
-words toxic. Tokens whose log-odds stand out (z of MIN_Z or more) weigh what
-remains of them SURE standard errors below; every other token costs GAP.
+toxic against a clean text, with a Dirichlet prior of PRIOR occurrences a
+token at the pooled rate. Tokens count once a text, and equal texts once, so
+that one long or much-copied text does not make its own words toxic. The
+log-odds are shrunk by how sure they are: with z, their size in posterior
+standard deviations, a weight keeps the share z^2 / (z^2 + DOUBT). No token
+is left out: one seen once weighs little, an unseen one nothing, clean-leaning
+ones count against, and each token costs DRIFT, so that a clean text's sum
+falls.
 
 Scoring. One linear scan over a text's tokens finds all its maximal scoring
 segments (Ruzzo and Tompa). Under the clean token shares a segment of score S
-in n tokens has the expected count E = K n exp(-lambda S); lambda solves the
-usual equation for those shares. The text's evidence is the sum of -ln E over
-its significant segments (E below SIGNIFICANT), or the best -ln E above zero
-if none is. A logistic curve, fitted to the same labelled rows, maps
-evidence to a score; its 0.7 lies where the labelled rows are told apart best.
+in n tokens has an expected count of at most E = n exp(-lambda S); lambda
+solves the usual equation for those shares. The text's evidence is the sum of
+-ln E over its significant segments (E below SIGNIFICANT), or the best -ln E
+above zero if none is. A logistic curve maps evidence to a score; its 0.7 lies
+where labelled rows are told apart best. The curve is set out of fold: the
+evidence of each labelled row comes from weights learnt without its fold
+(FOLDS of them, by hash of the text, so that copies are never on both sides).
 
 The fit reads at most MAX_LABELLED labelled rows (those with the smallest
 hash of doc_id); scoring covers every row and whole texts.
@@ -22,7 +27,7 @@ hash of doc_id); scoring covers every row and whole texts.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -34,10 +39,10 @@ from pyspark.sql import functions as F
 from tillroll.llm.common import bound_batches, cut, id_text
 
 MAX_LABELLED = 40_000
-PRIOR_SHARE = 0.2
-MIN_Z = 3.0
-GAP = 0.05
-SURE = 2.5
+PRIOR = 1.0
+DOUBT = 9.0
+DRIFT = 0.1
+FOLDS = 5
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 
@@ -49,17 +54,20 @@ def tokens(text: str | None) -> list[bytes]:
     return (text or "").lower().encode().translate(_PARTS).split()
 
 
-def maximal_segments(at: list[int], weights: list[float], gap: float) -> list[tuple[int, int, float]]:
+def maximal_segments(weights: list[float]) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first token, last token, score) of a
-    text whose tokens at ``at`` weigh ``weights`` (> 0), any other -gap."""
+    text whose tokens weigh ``weights``."""
     left: list[float] = []  # total before the segment
     right: list[float] = []  # total at its end
     link: list[int] = []  # the last segment with a smaller left
     span: list[tuple[int, int]] = []
-    total, last = 0.0, -1
-    for p, w in zip(at, weights, strict=True):
-        low = total - gap * (p - last - 1)
-        total, last, start = low + w, p, p
+    total = 0.0
+    for p, w in enumerate(weights):
+        if w <= 0:
+            total += w
+            continue
+        low, start = total, p
+        total += w
         while True:
             j = len(left) - 1
             while j >= 0 and left[j] >= low:
@@ -77,20 +85,19 @@ def maximal_segments(at: list[int], weights: list[float], gap: float) -> list[tu
 
 @dataclass(frozen=True)
 class Model:
-    """Token weights, the extreme-value constants and the logistic curve."""
+    """Token weights (less DRIFT), the extreme-value rate and the logistic
+    curve."""
 
     weights: dict[bytes, float] = field(default_factory=dict)
     rate: float = 1.0  # lambda
-    scale: float = 1.0  # K
     slope: float = 0.0
     middle: float = 0.0
 
     def passages(self, words: list[bytes]) -> list[tuple[int, int, float, float]]:
         """(first token, last token, score, -ln E) of each maximal segment."""
-        at = [i for i, w in enumerate(words) if w in self.weights]
-        found = maximal_segments(at, [self.weights[words[i]] for i in at], GAP)
-        base = math.log(self.scale * len(words)) if words else 0.0
-        return [(s, e, score, self.rate * score - base) for s, e, score in found]
+        weight = self.weights.get
+        base = math.log(len(words)) if words else 0.0
+        return [(s, e, score, self.rate * score - base) for s, e, score in maximal_segments([weight(w, -DRIFT) for w in words])]
 
     def evidence(self, passages: list[tuple[int, int, float, float]]) -> float:
         sure = [x[3] for x in passages if x[3] > -math.log(SIGNIFICANT)]
@@ -103,22 +110,23 @@ class Model:
         return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
 
 
-def _evd(weights: dict[bytes, float], shares: dict[bytes, float]) -> tuple[float, float]:
-    """lambda and K for tokens that weigh ``weights`` with the clean shares
-    ``shares``, all others -GAP."""
-    rest = max(1e-9, 1 - sum(shares.values()))
-
-    def excess(x: float) -> float:
-        return sum(p * math.exp(min(600.0, x * weights[w])) for w, p in shares.items()) + rest * math.exp(-x * GAP) - 1
-
+def _weights(clean: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, float]:
+    """Each token's weight from the texts of either kind that hold it, and
+    lambda."""
+    n_clean, n_bad = clean.sum(), bad.sum()
+    rate = n_bad / (n_clean + n_bad)
+    bad, clean = bad + PRIOR * rate, clean + PRIOR * (1 - rate)
+    odds = np.log(bad / bad.sum()) - np.log(clean / clean.sum())
+    z2 = odds * odds / (1 / bad + 1 / clean)
+    weights = odds * z2 / (z2 + DOUBT) - DRIFT
+    shares = clean / clean.sum()
     lo, hi = 1e-9, 1.0
-    while excess(hi) < 0 and hi < 100:
+    while np.dot(shares, np.exp(np.minimum(600.0, hi * weights))) < 1 and hi < 100:
         hi *= 2
-    for _ in range(80):
+    for _ in range(60):
         mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if excess(mid) < 0 else (lo, mid)
-    rate = (lo + hi) / 2
-    return rate, max(1e-12, 1 - rest * math.exp(-rate * GAP))
+        lo, hi = (mid, hi) if np.dot(shares, np.exp(np.minimum(600.0, mid * weights))) < 1 else (lo, mid)
+    return weights, (lo + hi) / 2
 
 
 def _curve(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
@@ -149,40 +157,44 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     wanted = wanted.groupBy("l_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("l_id"), "l_id").limit(MAX_LABELLED)
     # at most MAX_LABELLED rows of two numbers are broadcast
     sample = id_text(docs).join(F.broadcast(wanted), F.col("doc_id") == F.col("l_id")).select("text", "toxic")
-    sample = cut(sample)  # and so many texts are kept
-    unique = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"))
+    # and so many texts are kept
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("int").alias("fold")
+    sample = cut(sample.select("text", "toxic", fold))
+    unique = sample.groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("toxic").alias("toxic"), F.first("fold").alias("fold"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[toxic].update(set(tokens(text)))
-            words = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words, pa.binary()), *(pa.array([c[w] for w in words], pa.int64()) for c in seen)], names=["token", "clean", "bad"]
-            )
-
-    counts = unique.select("text", "toxic").mapInArrow(count, "token binary, clean long, bad long")
-    counts = cut(counts.groupBy("token").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad")))
-    clean, bad = counts.agg(F.sum("clean"), F.sum("bad")).first()
-    if not clean or not bad:
+            seen: dict[tuple[int, int], Counter] = defaultdict(Counter)
+            for text, toxic, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                seen[part, toxic].update(set(tokens(text)))
+            for (part, toxic), own in seen.items():
+                n = len(own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(own), pa.binary()), pa.array([part] * n, pa.int32()), pa.array([toxic] * n, pa.int32()), pa.array(list(own.values()), pa.int64())],
+                    names=["token", "fold", "toxic", "n"],
+                )
+
+    counts = unique.select("text", "toxic", "fold").mapInArrow(count, "token binary, fold int, toxic int, n long")
+    of = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).cast("int").alias(f"{'cb'[y]}{f}") for y in (0, 1) for f in range(FOLDS)]
+    # the words of a bounded sample
+    known = counts.groupBy("token").agg(*of).toArrow()
+    words = known.column(0).to_pylist()
+    tables = [np.stack([known.column(1 + y * FOLDS + f).to_numpy() for f in range(FOLDS)]).astype(float) if words else np.zeros((FOLDS, 0)) for y in (0, 1)]
+    clean, bad = (x.sum(axis=0) for x in tables)
+    if not clean.sum() or not bad.sum():
+        return Model()
+    rated: list[tuple[float, int]] = []
+    for f in range(FOLDS):
+        learnt = [total - x[f] for total, x in zip((clean, bad), tables, strict=True)]
+        if learnt[0].sum() and learnt[1].sum():
+            weights, rate = _weights(*learnt)
+            part = _evidence(sample.where(F.col("fold") == f), Model(dict(zip(words, weights.tolist(), strict=True)), rate))
+            rated += [(r["evidence"], r["toxic"]) for r in part.collect()]  # of a bounded sample, two numbers a row
+    if not any(y for _, y in rated):
         return Model()
-    prior = PRIOR_SHARE * (clean + bad)
-    alpha = (F.col("clean") + F.col("bad")) * PRIOR_SHARE
-    odds = [F.log((F.col(c) + alpha) / (n + prior - F.col(c) - alpha)) for c, n in (("bad", bad), ("clean", clean))]
-    weighed = counts.select(
-        "token",
-        (odds[0] - odds[1]).alias("weight"),
-        F.sqrt(1 / (F.col("bad") + alpha) + 1 / (F.col("clean") + alpha)).alias("spread"),
-        ((F.col("clean") + alpha) / (clean + prior)).alias("share"),
-    ).where(F.col("weight") >= MIN_Z * F.col("spread"))
-    kept = weighed.collect()  # words of a bounded sample that stand out
-    weights = {bytes(r["token"]): r["weight"] - SURE * r["spread"] for r in kept}
-    rate, scale = _evd(weights, {bytes(r["token"]): r["share"] for r in kept})
-    model = Model(weights, rate, scale)
-    known = _evidence(sample, model).collect()  # at most MAX_LABELLED rows of two numbers
-    slope, middle = _curve(np.array([r["evidence"] for r in known]), np.array([r["toxic"] == 1 for r in known]))
-    return Model(weights, rate, scale, slope, middle)
+    weights, rate = _weights(clean, bad)
+    slope, middle = _curve(np.array([e for e, _ in rated]), np.array([y == 1 for _, y in rated]))
+    return Model(dict(zip(words, weights.tolist(), strict=True)), rate, slope, middle)
 
 
 def _evidence(sample: DataFrame, model: Model) -> DataFrame:
@@ -191,7 +203,7 @@ def _evidence(sample: DataFrame, model: Model) -> DataFrame:
             found = [model.evidence(model.passages(tokens(t))) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.float64()), batch.column(1)], names=["evidence", "toxic"])
 
-    return sample.mapInArrow(run, "evidence double, toxic int")
+    return sample.select("text", "toxic").mapInArrow(run, "evidence double, toxic int")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
