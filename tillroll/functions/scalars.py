@@ -18,89 +18,102 @@ operands give a fractional result.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 # The limbs' units, and the largest integer up to which DOUBLEs
 # hold every one.
 PER_HUNDREDTH = 10_000_000
-_WHOLE = float(1 << 53)
-# Below these sizes a DOUBLE keeps so many decimals (15 digits).
-_KEEPS = ((1e6, 9), (1e7, 8), (1e8, 7), (1e9, 6), (1e10, 5), (1e11, 4), (1e12, 3))
+_WHOLE = 1 << 53
+# Below these sizes a DOUBLE keeps so many decimals (15 digits),
+# in steps of three.
+_KEEPS = ((1e6, 9), (1e9, 6), (1e12, 3))
 
 
-def _c(col: str | Column) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+class Limbs(NamedTuple):
+    """An exact value as the SQL of its two limbs (one call to Spark then
+    parses a whole formula)."""
 
+    hundredths: str
+    rest: str
 
-def _limbs(hundredths: Column, rest: Column) -> Column:
-    return F.struct(hundredths.alias("hundredths"), rest.alias("rest"))
+    @property
+    def column(self) -> Column:
+        return F.expr(f"named_struct('hundredths', {self.hundredths}, 'rest', {self.rest})")
+
+    def alias(self, name: str) -> Column:
+        return self.column.alias(name)
 
 
-def _of(col: str | Column) -> tuple[Column, Column]:
-    return _c(col).getField("hundredths"), _c(col).getField("rest")
+def _of(value: str | Limbs) -> Limbs:
+    """The limbs of a column that holds them, by name."""
+    return value if isinstance(value, Limbs) else Limbs(f"{value}.hundredths", f"{value}.rest")
 
 
-def exact(col: str | Column) -> Column:
-    """A fractional measure (DOUBLE, DECIMAL or integer) in two limbs; what
-    lies beyond its last decimal is rounded half up, as a cast does."""
-    x = _c(col).cast("double")
-    size = F.abs(x)
-    scale = F
-    for below, decimals in _KEEPS:
-        scale = scale.when(size < below, float(10**decimals))
-    scale = scale.otherwise(100.0)
-    units = F.signum(x) * F.floor(size * scale + 0.5)
-    per = scale / F.lit(100.0)
+def exact(value: str) -> Limbs:
+    """A fractional measure (DOUBLE, DECIMAL or integer; a name or SQL) in two
+    limbs; what lies beyond its last decimal is rounded half up, as a cast
+    does."""
+    x = f"CAST({value} AS DOUBLE)"
+    # almost every value has two decimals at most: nothing is left within half
+    # of the last decimal it keeps
+    cents = f"rint({x} * 100D)"
+    plain = f"abs({x} * 100D - {cents}) < greatest(abs({x}), 1e6D) * 4.5e-14D"
+    scale = "CASE " + " ".join(f"WHEN abs({x}) < {below}D THEN {10**decimals}D" for below, decimals in _KEEPS) + " ELSE 100D END"
+    units = f"(signum({x}) * floor(abs({x}) * {scale} + 0.5D))"
     # the floor of the quotient is exact: units are below 2**53 / 2
-    hundredths = F.floor(units / per)
-    return _limbs(hundredths, ((units - hundredths * per) * (PER_HUNDREDTH / per)).cast("long"))
+    hundredths = f"floor({units} / ({scale} / 100D))"
+    rest = f"({units} - {hundredths} * ({scale} / 100D)) * ({PER_HUNDREDTH}D / ({scale} / 100D))"
+    return Limbs(f"CASE WHEN {plain} THEN CAST({cents} AS BIGINT) ELSE {hundredths} END", f"CASE WHEN {plain} THEN 0L ELSE CAST({rest} AS BIGINT) END")
 
 
-def dsum(col: str | Column) -> Column:
+def dsum(value: str) -> Limbs:
     """Order-independent SUM of a fractional measure, in limbs."""
-    return total(exact(col))
+    return total(exact(value))
+
 
+def total(value: str | Limbs) -> Limbs:
+    """SUM of limbs."""
+    return Limbs(*[f"sum({x})" for x in _of(value)])
 
-def total(col: str | Column, over: WindowSpec | None = None) -> Column:
-    """SUM of limbs, or their running sum over a window."""
-    sums = [F.sum(x) for x in _of(col)]
-    return _limbs(*(sums if over is None else [x.over(over) for x in sums]))
+
+def running(value: str | Limbs, over: WindowSpec) -> Column:
+    """Their running sum over a window."""
+    hundredths, rest = (F.expr(x).over(over) for x in total(value))
+    return F.struct(hundredths.alias("hundredths"), rest.alias("rest"))
 
 
-def plus(a: str | Column, *more: str | Column) -> Column:
-    hundredths, rest = _of(a)
-    for b in more:
-        h, r = _of(b)
-        hundredths, rest = hundredths + h, rest + r
-    return _limbs(hundredths, rest)
+def plus(*values: str | Limbs) -> Limbs:
+    return Limbs(*[f"({' + '.join(x)})" for x in zip(*map(_of, values), strict=True)])
 
 
-def minus(a: str | Column, *more: str | Column) -> Column:
-    hundredths, rest = _of(a)
-    for b in more:
-        h, r = _of(b)
-        hundredths, rest = hundredths - h, rest - r
-    return _limbs(hundredths, rest)
+def minus(*values: str | Limbs) -> Limbs:
+    return Limbs(*[f"({' - '.join(x)})" for x in zip(*map(_of, values), strict=True)])
 
 
-def times(n: str | Column, a: str | Column) -> Column:
+def times(n: str, value: str | Limbs) -> Limbs:
     """A whole number of times."""
-    return _limbs(*[_c(n) * x for x in _of(a)])
+    return Limbs(*[f"{n} * {x}" for x in _of(value)])
 
 
-def or_zero(col: str | Column) -> Column:
-    return _limbs(*[F.coalesce(x, F.lit(0).cast("long")) for x in _of(col)])
+def or_zero(value: str | Limbs) -> Limbs:
+    return Limbs(*[f"coalesce({x}, 0L)" for x in _of(value)])
 
 
-def unscale(col: str | Column) -> Column:
+def unscale(value: str | Limbs) -> Column:
     """Limbs back to DOUBLE (correctly rounded)."""
-    h, r = _of(col)
-    rest = F.pmod(r, F.lit(PER_HUNDREDTH))
-    whole = h + ((r - rest) / PER_HUNDREDTH).cast("long")
-    wide = whole.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)") + rest.cast("decimal(10,0)") * F.lit("0.000000001").cast("decimal(10,9)")
+    h, r = _of(value)
+    rest = f"pmod({r}, {PER_HUNDREDTH}L)"
+    whole = f"({h} + ({r} - {rest}) div {PER_HUNDREDTH}L)"
+    wide = f"CAST({whole} AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) + CAST({rest} AS DECIMAL(10,0)) * CAST(0.000000001 AS DECIMAL(10,9))"
     # the double quotient of two exact integers is correctly rounded
-    return F.when((rest == 0) & (F.abs(whole) < _WHOLE), whole.cast("double") / F.lit(100.0)).otherwise(wide.cast("double"))
+    return F.expr(f"CASE WHEN {rest} = 0 AND abs({whole}) < {_WHOLE}L THEN CAST({whole} AS DOUBLE) / 100D ELSE CAST({wide} AS DOUBLE) END")
+
+
+def _c(col: str | Column) -> Column:
+    return F.col(col) if isinstance(col, str) else col
 
 
 def as_double(col: str | Column) -> Column:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, exact, in_window, minus, or_zero, plus, since, total, unscale, windowed
+from tillroll.functions import BatchWindow, Limbs, day, dsum, exact, in_window, minus, or_zero, plus, running, since, total, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sizing import join_small
 from tillroll.sources.schemas import BATCH_WINDOW, conform
@@ -20,11 +20,9 @@ MOVES = ("receipts", "sales", "adjustments", "transfers_in", "transfers_out")
 PAIR = ["warehouse_id", "product_id"]
 
 
-def _rows(df: DataFrame, **given) -> DataFrame:
-    """(warehouse, product, date, moves, carried) rows; what is not given is
-    zero."""
-    zero = F.lit(0).cast("double")
-    return df.select(*PAIR, "date", *[given.get(m, zero).alias(m) for m in (*MOVES, "carried")])
+def _rows(df: DataFrame, kind: Column, quantity: str) -> DataFrame:
+    """(warehouse, product, date, kind, hundredths, rest) rows."""
+    return df.select(*PAIR, "date", kind.alias("kind"), exact(quantity).alias("q")).select(*PAIR, "date", "kind", "q.hundredths", "q.rest")
 
 
 def _item_moves(t: Tables, w: BatchWindow) -> DataFrame:
@@ -52,13 +50,9 @@ def _item_moves(t: Tables, w: BatchWindow) -> DataFrame:
         .unionByName(items("inventory.transfer_items", transfers, "transfer_id"))
     )
     met = join_small(lines, heads, ["kind", "id"])
-    none = F.lit(None).cast("double")
 
     def leg(warehouse: str, move: str):
-        return F.struct(
-            F.col(warehouse).alias("warehouse_id"),
-            *[(F.col("quantity").cast("double") if m == move else none).alias(m) for m in ("receipts", "sales", "transfers_in", "transfers_out")],
-        )
+        return F.struct(F.col(warehouse).alias("warehouse_id"), F.lit(move).alias("move"))
 
     # a transfer is an inbound row at its target and an outbound at its source
     legs = (
@@ -66,8 +60,8 @@ def _item_moves(t: Tables, w: BatchWindow) -> DataFrame:
         .when(F.col("kind") == orders, F.array(leg("warehouse", "sales")))
         .otherwise(F.array(leg("to_warehouse", "transfers_in"), leg("warehouse", "transfers_out")))
     )
-    rows = met.select("product_id", "date", F.inline(legs))
-    return _rows(rows, **{m: F.col(m) for m in ("receipts", "sales", "transfers_in", "transfers_out")})
+    rows = met.select("product_id", "date", "quantity", F.inline(legs))
+    return _rows(rows, F.col("move"), "quantity")
 
 
 def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
@@ -98,11 +92,16 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     stocked = t["inventory.product_inventory"].select(*PAIR, first.alias("date"))
     rows = (
         _item_moves(t, w)
-        .unionByName(_rows(adjustments, adjustments=F.col("quantity_change").cast("double")))
-        .unionByName(_rows(prior, carried=F.col("ending_quantity")))
-        .unionByName(_rows(stocked))
+        .unionByName(_rows(adjustments, F.lit("adjustments"), "quantity_change"))
+        .unionByName(_rows(prior, F.lit("carried"), "ending_quantity"))
+        .unionByName(_rows(stocked, F.lit("stocked"), "0D"))
     )
-    per_day = rows.groupBy(*PAIR, "date").agg(*[or_zero(dsum(m)).alias(m) for m in (*MOVES, "carried")])
+
+    def of(m: str):
+        own = Limbs(*[f"CASE WHEN kind = '{m}' THEN {x} END" for x in Limbs._fields])
+        return or_zero(total(own)).alias(m)
+
+    per_day = rows.groupBy(*PAIR, "date").agg(*[of(m) for m in (*MOVES, "carried")])
     # semi-joins ignore duplicate keys, so the dimension ids need no distinct;
     # the last one leaves the rows partitioned by product, which the window
     # per pair needs no further exchange for
@@ -111,18 +110,21 @@ def inventory_levels(t: Tables, w: BatchWindow) -> DataFrame:
     net = minus(plus("receipts", "adjustments", "transfers_in"), "sales", "transfers_out")
     by_day = Window.partitionBy(*PAIR).orderBy("date")
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = per_day.withColumn("net", net).select(
-        "*", total(plus("carried", "net"), upto).alias("ending"), F.lead("date").over(by_day).alias("next")
+    balances = per_day.withColumn("net", net.column).select(
+        "*", running(plus("carried", "net"), upto).alias("ending"), F.lead("date").over(by_day).alias("next")
     )
     days = F.sequence("date", F.coalesce(F.date_sub("next", 1), last))
-    spun = running.select(*PAIR, *MOVES, "net", "ending", F.posexplode(days).alias("gap", "day"))
+    plain = balances.select(
+        *PAIR, "date", "next", *[unscale(m).alias(m) for m in MOVES], unscale(minus("ending", "net")).alias("begun"), unscale("ending").alias("ending")
+    )
+    spun = plain.select(*PAIR, *MOVES, "begun", "ending", F.posexplode(days).alias("gap", "day"))
     moved = F.col("gap") == 0
     out = spun.select(
         F.col("day").alias("date"),
         *PAIR,
-        F.when(moved, unscale(minus("ending", "net"))).otherwise(unscale("ending")).alias("beginning_quantity"),
-        *[F.when(moved, unscale(m)).otherwise(0.0).alias(m) for m in MOVES],
-        unscale("ending").alias("ending_quantity"),
+        F.when(moved, F.col("begun")).otherwise(F.col("ending")).alias("beginning_quantity"),
+        *[F.when(moved, F.col(m)).otherwise(0.0).alias(m) for m in MOVES],
+        F.col("ending").alias("ending_quantity"),
     )
     return conform(out, "analytics.inventory_levels")
 
@@ -139,7 +141,7 @@ def broken_pairs(after: DataFrame, boundary: DataFrame) -> DataFrame:
     behind = boundary.select(*PAIR, exact("beginning_quantity").alias("begun"))
     met = own.join(behind, PAIR, "full_outer")
     known, there = F.col("base").isNotNull(), F.col("begun").isNotNull()
-    none = exact(F.lit(0.0))
+    none = exact("0D").column
     broken = F.when(known & there, F.col("base") != F.col("begun")).when(known, True).otherwise(F.col("begun") != none)
     return met.where(broken).select(*PAIR, F.coalesce("base", none).alias("base"), known.alias("known"))
 
@@ -155,12 +157,13 @@ def repaired_rows(changed: DataFrame, later: DataFrame, days: list[dt.date], pro
     full = grid.join(met, [*PAIR, "date"], "left")
     full = full.select(*PAIR, "date", "base", "known", *[F.coalesce(m, F.lit(0.0)).alias(m) for m in MOVES])
     moves = {m: exact(m) for m in MOVES}
-    full = full.withColumn("net", minus(plus(moves["receipts"], moves["adjustments"], moves["transfers_in"]), moves["sales"], moves["transfers_out"]))
+    net = minus(plus(moves["receipts"], moves["adjustments"], moves["transfers_in"]), moves["sales"], moves["transfers_out"])
+    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    full = full.withColumn("net", net.column).withColumn("sum", running("net", upto))
     moved = F.lit(False)
     for m in MOVES:
         moved = moved | (F.col(m) != 0)
-    upto = Window.partitionBy(*PAIR).orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    full = full.withColumn("ending", plus("base", total("net", upto))).withColumn("begun", F.max(moved).over(upto))
+    full = full.withColumn("ending", plus("base", "sum").column).withColumn("begun", F.max(moved).over(upto))
     out = full.where(F.col("known") | F.col("begun")).select(
         "date", *PAIR, unscale(minus("ending", "net")).alias("beginning_quantity"), *MOVES, unscale("ending").alias("ending_quantity")
     )
@@ -252,9 +255,9 @@ def stock_on_hand(stock: DataFrame, deductions: DataFrame) -> DataFrame:
     # is measured is not due
     latest_first = Window.partitionBy(*PAIR).orderBy(F.col("at").desc_nulls_last(), "late").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     met = loaded.unionByName(taken.where("product_id is not null and warehouse_id is not null"))
-    due = met.withColumn("due", or_zero(total(exact("taken"), latest_first))).withColumn("due_at", F.max("taken_at").over(latest_first))
+    due = met.withColumn("taken", exact("taken").column).withColumn("due", running("taken", latest_first)).withColumn("due_at", F.max("taken_at").over(latest_first))
     rows = due.where(F.col("row").isNotNull())
-    changed = {"quantity": unscale(minus(exact("row.quantity"), "due")), "last_updated": F.coalesce("due_at", "row.last_updated")}
+    changed = {"quantity": unscale(minus(exact("row.quantity"), or_zero("due"))), "last_updated": F.coalesce("due_at", "row.last_updated")}
     return rows.select(*[changed.get(c, F.col(f"row.{c}")).alias(c) for c in stock.columns])
 
 

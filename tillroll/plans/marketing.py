@@ -90,6 +90,10 @@ def _performance(out: DataFrame) -> DataFrame:
     )
 
 
+# rows of the fan-out for each row before it
+MULT = "greatest(coalesce(order_rows, 0), 1)"
+
+
 def _kind(kind: str):
     return F.when(F.col("event_type") == kind, F.col("event_count")).otherwise(F.lit(0))
 
@@ -103,17 +107,17 @@ def campaign_performance(t: Tables, w: BatchWindow) -> DataFrame:
     per_user = metrics.groupBy("campaign_id", "date", "user_id").agg(
         F.sum(k * _kind("impression")).alias("imp"),
         F.sum(k * _kind("click")).alias("clk"),
-        total(times(k, exact("cost"))).alias("cost"),
+        total(times("k", exact("cost"))).alias("cost"),
         F.sum(k).alias("rows"),
     )
     orders = _same_day_orders(t, w)
     joined = per_user.join(orders, ["user_id", "date"], "left")
-    mult = F.greatest(F.coalesce(F.col("order_rows"), F.lit(0)), F.lit(1))
+    mult = F.expr(MULT)
     out = joined.groupBy("campaign_id", "date").agg(
         F.sum(F.col("imp") * mult).alias("impressions"),
         F.sum(F.col("clk") * mult).alias("clicks"),
         F.sum("order_ids").alias("conversions"),
-        total(times(mult, "cost")).alias("spend"),
+        total(times(MULT, "cost")).alias("spend"),
         total(times("rows", "order_revenue")).alias("revenue"),
     )
     return _performance(out)
@@ -165,7 +169,7 @@ def _acquisition(signups: DataFrame, t: Tables, w: BatchWindow, as_written: bool
         F.sum(F.col("user_rows") * mult).alias("fanout"),
     )
     with_cost = per_group.join(_source_cost(t, w), ["source", "date"], "left")
-    cost = times("fanout", "source_cost") if as_written else F.col("source_cost")
+    cost = times("fanout", "source_cost") if as_written else "source_cost"
     out = with_cost.select(
         "date",
         "source",

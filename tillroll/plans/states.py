@@ -23,7 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, exact, in_window, total, unscale, windowed
+from tillroll.functions import BatchWindow, Limbs, day, exact, in_window, total, unscale, windowed
 from tillroll.operators.sequence import top1_by_count
 from tillroll.operators.sizing import join_small
 from tillroll.plans.orders import window_order_stats
@@ -70,7 +70,7 @@ def ltv_from_state(state: DataFrame, w: BatchWindow) -> DataFrame:
     active = state.where(in_days).select(F.col("user_id").alias("__uid")).distinct()
     parts = join_small(state, active, F.col("user_id").eqNullSafe(F.col("__uid")), "left_semi")
     sums = parts.groupBy("user_id").agg(
-        total(F.struct(F.col("total_hundredths").alias("hundredths"), F.col("total_rest").alias("rest"))).alias("total"),
+        total(Limbs("total_hundredths", "total_rest")).alias("total"),
         F.min("first_purchase").alias("first_purchase_date"),
         F.max("last_purchase").alias("last_purchase_date"),
     )
