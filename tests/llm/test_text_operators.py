@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -359,3 +360,68 @@ def test_digests_of_queries(spark):
     ids = QUERIES["op8_byte_bpe"](spark, SF_SMALL).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     assert len(ids) == len(texts) and all(r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest() for r in ids)
+
+
+# -- pages of any layout, written by hand -----------------------------------------
+
+_STORY = [
+    "The ferry left the harbour at dawn, and for an hour nothing could be seen but fog over the grey water.",
+    "By noon the crew had counted eleven whales, more than in any week since the survey began nine years ago.",
+    "Dr Ines Alvor, who leads the work, says that the animals follow the herring north as the sea grows warmer.",
+    "A second voyage is planned for the autumn; the council has paid for the fuel, and the town for the rest.",
+]
+_P = "".join(f"<p>{s}</p>" for s in _STORY)
+_BR = "<br><br>\n".join(_STORY)
+
+# (page, what it says beside the story)
+HAND_PAGES = [
+    (f"<html><body><h1>Eleven whales</h1>{_P}</body></html>", ["Eleven whales"]),
+    (f"<body><nav><a href='/'>Home</a> <a href='/n'>News</a></nav><h1>Eleven whales</h1>{_P}<footer>All rights reserved, the paper.</footer>", ["Eleven whales"]),
+    (_P, []),
+    (f'<div class="wrapper"><div class="container">{_P}</div></div>', []),
+    (f"<html><body>{_BR}</body></html>", []),
+    (f"<center><font face='serif'>{_BR}</font></center>", []),
+    (f"<table><tr><td><a href='1'>Front page</a><br><a href='2'>Sport</a><br><a href='3'>Weather</a></td><td>{_P}</td></tr></table>", []),
+    (f"<body><form action='/' method='post'><div><article>{_P}</article></div><input type='submit' value='go'></form></body>", []),
+    (f"<article><!-->{_P}<!---></article>", []),
+    (f"<article>{_P}<p>The ratio <math><mi>n</mi><mo>=</mo><mn>11</mn></math> was a record for the bay.</p></article>", ["The ratio n=11 was a record for the bay."]),
+    (f"<div id='menu'><ul><li><a href='/a'>Arts</a></li><li><a href='/b'>Books</a></li></ul></div><div id='body-text'>{_P}</div><div id='footer'><p>Printed in Porto by the harbour press.</p></div>", []),
+    (f"<body><form class='search'><label>Search the archive</label><input name='q'></form><h2>Eleven whales</h2>{_P}</body>", ["Eleven whales"]),
+    (f"<div class='cookie-banner'><p>We use cookies to keep you signed in.</p><button>Fine</button></div><main><h1>Eleven whales</h1>{_P}</main><div class='comments'><h3>Replies</h3><p>I saw them too, from the pier!</p></div>", ["Eleven whales"]),
+    (f"<div class='row'><div class='col'>{_P}</div><div class='sidebar'><h3>Most read</h3><ul><li><a href='/1'>Storm warning</a></li><li><a href='/2'>New bridge</a></li></ul></div></div>", []),
+    (f"<section><h2>Eleven whales</h2>{_P}<blockquote><p>We had never seen so many at once, said the mate.</p></blockquote></section>", ["Eleven whales", "We had never seen so many at once, said the mate."]),
+    (f"<body><div class='ad'><p>Buy two nets, get a third one free this week only.</p></div>{_P}<div class='share'><a href='#'>Mail</a> <a href='#'>Print</a></div></body>", []),
+    (f"<body bgcolor='white'><hr>{_STORY[0]}<hr>{_STORY[1]}<hr>{_STORY[2]}<hr>{_STORY[3]}</body>", []),
+    (f"<div><div><div><div><div>{_P}</div></div></div></div></div></b></i></span>", []),
+]
+
+
+def test_main_text_of_pages_of_any_layout():
+    model = main_text.train(labelled_pages())
+    held = extra = wanted = 0
+    for page, more in HAND_PAGES:
+        got = main_text.main_text(page, model)
+        assert all(s in got for s in _STORY), page
+        want, have = Counter(" ".join([*_STORY, *more]).split()), Counter(got.split())
+        held, extra, wanted = held + (want & have).total(), extra + (have - want).total(), wanted + want.total()
+    assert held / wanted >= 0.98 and held / (held + extra) >= 0.98, (held, extra, wanted)
+
+
+def test_stray_end_tags_and_empty_comments_cost_nothing():
+    model = main_text.train(labelled_pages(200))
+    began = time.perf_counter()
+    page = "<div>" * 20_000 + "</b>" * 20_000 + f"<article>{_P}</article>"
+    main_text.main_text(page, model)
+    assert time.perf_counter() - began < 20  # quadratic work took minutes
+    assert main_text.main_text(f"<article><!--->{_P}<!-- gone > --></article>", model).split("\n") == _STORY
+
+
+def test_forest_on_held_out_labels(spark):
+    """Depths of rows that neither grew the trees nor set the threshold."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    learnt, held = labels.where("doc_id % 5 < 3"), {r.doc_id: r.quality for r in labels.where("doc_id % 5 >= 3").collect()}
+    rated = [(held[r.doc_id], r.kept, r.depth) for r in quality.judge(docs, quality.fit(docs, learnt)).where("not base_failed").collect() if r.doc_id in held]
+    good, bad = ([(k, d) for q, k, d in rated if q == v] for v in (1, 0))
+    assert np.mean([not k for k, _ in good]) <= 0.01 and np.mean([k for k, _ in bad]) <= 0.03
+    assert len({d for _, d in good}) > 0.9 * len(good)  # the forest tells good rows apart too

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 # The HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption head br hr".split()
 )
@@ -38,7 +39,7 @@ SCOPE = frozenset("body article section div main td th li blockquote figure asid
 _NAME = r"[^\s/>][^\s/>=]*"
 _ATTR = re.compile(rf"""({_NAME})(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _TOKEN = re.compile(
-    rf"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_NAME}(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))?)*)(?:>|\Z)""",
+    rf"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]+|{_NAME}(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>]*))?)*)(?:>|\Z)""",
     re.S,
 )
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for t in RAW}
@@ -59,12 +60,20 @@ def parse(page: str) -> list[Node]:
     skipped, cut tags and comments end with the page."""
     nodes = [Node("#document", -1, {})]
     stack = [0]
+    # open elements by tag, so that an end tag without a start costs nothing
+    open_tags: Counter[str] = Counter()
+
+    def end(depth: int) -> None:
+        open_tags.subtract([nodes[x].tag for x in stack[depth:]])
+        del stack[depth:]
 
     def close(to: frozenset[str], stop: frozenset[str]) -> None:
+        if not any(open_tags[t] for t in to):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[depth]].tag
             if tag in to:
-                del stack[depth:]
+                end(depth)
                 return
             if tag in stop:
                 return
@@ -83,9 +92,11 @@ def parse(page: str) -> list[Node]:
             continue
         tag = name.lower()
         if m.group(1):
+            if not open_tags[tag]:
+                continue
             for depth in range(len(stack) - 1, 0, -1):
                 if nodes[stack[depth]].tag == tag:
-                    del stack[depth:]
+                    end(depth)
                     break
                 if tag == "p" and nodes[stack[depth]].tag in SCOPE:
                     break
@@ -100,9 +111,10 @@ def parse(page: str) -> list[Node]:
         if tag in VOID or m.group(3).endswith("/") and tag in ("svg", "math", "path", "rect", "circle"):
             continue
         if tag in RAW:
-            end = _RAW_END[tag].search(page, at)
+            past = _RAW_END[tag].search(page, at)
             if tag == "textarea" or tag == "title":
-                nodes[-1].items.append(html.unescape(page[at : end.start() if end else len(page)]))
-            at = end.end() if end else len(page)
+                nodes[-1].items.append(html.unescape(page[at : past.start() if past else len(page)]))
+            at = past.end() if past else len(page)
             continue
         stack.append(len(nodes) - 1)
+        open_tags[tag] += 1

@@ -9,6 +9,7 @@ not its words. Real marked pages can be used instead (``main_text.train``).
 from __future__ import annotations
 
 import random
+import re
 
 _WORDS = (
     "the river runs past old mills and farms where people once made paper "
@@ -107,6 +108,8 @@ class _Writer:
                 parts.append(f"<div>{self.sentences(1, 4)}</div>")
             else:
                 parts.append(self.r.choice([self.advert, self.sidebar, self.crumbs, self.notice])())
+        if self.r.random() < 0.35:
+            return self.bare(parts)
         inner = "".join(parts)
         opened = self.r.choice(
             ["<article>", "<article>", "<article>", "<main>", '<div class="content">', '<div id="content" class="post">', '<div class="article-body">', '<main id="main"><article class="post entry">', '<section class="story">', '<div class="entry-content">', '<main><div class="text">', '<div id="main">']
@@ -115,15 +118,46 @@ class _Writer:
         marked = opened.replace("<" + tags[-1], f'<{tags[-1]} data-main="1"', 1) if len(tags) == 1 else opened[::-1].replace(f"<{tags[-1]}"[::-1], f'<{tags[-1]} data-main="1"'[::-1], 1)[::-1]
         return marked + inner + "".join(f"</{t}>" for t in reversed(tags))
 
+    def form(self) -> str:
+        fields = "".join(self.r.choice([f"<label>{self.words(1, 2)}</label><input>", "<textarea></textarea>", f"<p>{self.sentences(1, 2)}</p>", self.words(2, 6)]) for _ in range(self.r.randint(1, 4)))
+        name = self.r.choice(["", ' class="search"', ' id="contact-form"', ' class="signup"', ' class="login form"'])
+        return f'<form{name} data-main="0">{fields}<input type="submit"></form>'
+
+    def bare(self, parts: list[str]) -> str:
+        """The article without an element of its own that names it: its parts
+        beside the others, in a plain wrapper, a table's cell, or as text."""
+        marked = [p if "data-main" in p[: p.find(">") + 1] else re.sub(r"^<(\w+)", r'<\1 data-main="1"', p) for p in parts if p]
+        kind = self.r.random()
+        if kind < 0.4:
+            return "".join(marked)
+        if kind < 0.55:
+            wrap = self.r.choice(["<div>", '<div class="container">', '<div class="row">', '<div class="wrap inner">', "<center>", '<div id="page">'])
+            return f"{wrap}{''.join(marked)}</{wrap[1:].split()[0].strip('>')}>"
+        if kind < 0.7:
+            links = [self.link() for _ in range(self.r.randint(2, 8))]
+            side = self.r.choice(["", f'<td width="20%" data-main="0">{self.links(3, 8)}</td>', f'<td valign="top" data-main="0">{" ".join(links)}</td>', f'<td data-main="0">{"<br>".join(links)}</td>'])
+            cell = self.r.choice(["<td>", '<td valign="top">', '<td width="80%">'])
+            return f"<table><tr>{side}{cell}{''.join(marked)}</td></tr></table>"
+        if kind < 0.85:
+            tag = self.r.choice(["font", "center", "div", "div"])
+            text = self.r.choice(["<br><br>", "<br>\n<br>"]).join(self.sentences(2, 6) for _ in range(self.r.randint(2, 6)))
+            return f'<{tag} data-main="1">{text}</{tag}>'
+        # the page's body holds the text itself
+        self.body = ' data-main="1"'
+        return self.r.choice(["<br><br>", "<hr>", "\n<br>"]).join(self.sentences(2, 6) for _ in range(self.r.randint(2, 6)))
+
     def page(self) -> str:
-        before = [self.r.choice([self.header, self.nav, self.advert, self.notice, self.crumbs])() for _ in range(self.r.randint(0, 4))]
-        after = [self.r.choice([self.sidebar, self.comments, self.advert, self.notice, self.nav, self.crumbs])() for _ in range(self.r.randint(0, 3))]
+        self.body = ""
+        before = [self.r.choice([self.header, self.nav, self.advert, self.notice, self.crumbs, self.form])() for _ in range(self.r.randint(0, 4))]
+        after = [self.r.choice([self.sidebar, self.comments, self.advert, self.notice, self.nav, self.crumbs, self.form])() for _ in range(self.r.randint(0, 3))]
         after += [self.footer()] if self.r.random() < 0.9 else []
         body = "".join([*before, self.article(), *after])
-        if self.r.random() < 0.4:
+        if not self.body and self.r.random() < 0.1:  # one form around all
+            body = f'<form action="/" method="post">{body}</form>'
+        if not self.body and self.r.random() < 0.4:
             body = f'<div class="{self.r.choice(["wrapper", "container", "page", "row"])}">{body}</div>'
         end = "</body></html>" if self.r.random() < 0.9 else ""
-        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{margin:0}}</style></head><body>{body}{end}"
+        return f"<!DOCTYPE html><html><head><title>{self.words(2, 6)}</title><style>p{{margin:0}}</style></head><body{self.body}>{body}{end}"
 
 
 def labelled_pages(n: int = 1500, seed: int = 1) -> list[str]:

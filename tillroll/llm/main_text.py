@@ -35,20 +35,24 @@ NAME_WEIGHT = 2.0
 OTHER_WEIGHT = 0.4
 #: Attribute of labelled pages: "1" marks content, "0" what is not.
 MARK = "data-main"
-INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i kbd mark q s samp small span strike strong sub sup time tt u var".split())
-# elements without readable text, whatever the model thinks of them
-_SILENT = (RAW - {"textarea"}) | {"head", "form", "button", "select", "option", "input", "textarea", "label"}
+INLINE = frozenset("a abbr b bdi bdo cite code data dfn em font i kbd mark q s samp small span strike strong sub sup time tt u var math mi mn mo mtext mrow msup msub mfrac msqrt semantics".split())
+# elements without readable text, whatever the model thinks of them; of a form
+# these are its controls, and the model judges what else it holds
+_SILENT = (RAW - {"textarea"}) | {"head", "button", "select", "option", "input", "textarea", "label"}
+# elements that either frame others or hold the text itself
+_HOLDS = frozenset(["body", "td", "center"])
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 def _evidence(nodes: list[Node]) -> list[list[str]]:
     """The observed traits of each node."""
-    chars, linked = [0] * len(nodes), [0] * len(nodes)
+    chars, linked, own = [0] * len(nodes), [0] * len(nodes), [0] * len(nodes)
     for i in range(len(nodes) - 1, -1, -1):
         node = nodes[i]
         for x in node.items:
             if isinstance(x, str):
                 chars[i] += len(x.strip())
+                own[i] += len(x.strip())
             else:
                 chars[i] += chars[x]
                 linked[i] += chars[x] if nodes[x].tag == "a" else linked[x]
@@ -59,6 +63,8 @@ def _evidence(nodes: list[Node]) -> list[list[str]]:
         size = min(6, int(math.log(chars[i] + 1, 4)))
         share = 0 if not chars[i] else min(3, int(4 * linked[i] / chars[i]))
         traits = [f"tag={node.tag}", f"links={share}", f"size={size}"]
+        if node.tag in _HOLDS:  # text of its own, beside that of its elements
+            traits.append(f"own={node.tag}:{min(3, int(math.log(own[i] + 1, 16)))}")
         if node.attrs:
             names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')} {node.attrs.get('role', '')}"
             traits += sorted({f"name={w.lower()}" for w in _WORD.findall(names)})

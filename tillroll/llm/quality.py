@@ -1,14 +1,17 @@
 """Quality rules with an isolation forest on their statistics.
 
 The rules' statistics of a text (word lengths, symbols, repeated lines and
-word windows, capitals, marks, line shapes) make a vector. Each statistic
-has two limits, calibrated on labelled good rows (all but one in a thousand
-lie between them), and the vector holds how far beyond them a text is. An
-isolation forest of TREES trees, each grown on SAMPLE labelled rows by
-random splits, gives a text the mean depth at which it falls alone: odd
-texts fall early. Labelled rows also calibrate the depth below which a text
-is rejected: where the two labels are told apart best (F1 of the bad ones
-among the rows that the base rules let through).
+word windows, capitals, marks, line shapes) make a vector. An isolation forest
+of TREES trees, each grown on SAMPLE labelled good rows that the base rules
+let through, gives a text the mean depth at which random splits set it apart.
+A node splits any statistic, between bounds that reach MARGIN of the sample's
+range beyond it, so a text out there is parted from all good ones in a step or
+two, while the good ones still share the rest of the path.
+
+Half of the labelled rows (by hash of doc_id) grow the trees, the other half
+sets the depth below which a text is rejected: where the two labels are told
+apart best (F1 of the bad ones among the rows that the base rules let
+through).
 
 The fit reads at most MAX_LABELLED labelled rows (those with the smallest
 hash of doc_id). Statistics and verdicts cover every row and whole texts.
@@ -16,6 +19,7 @@ hash of doc_id). Statistics and verdicts cover every row and whole texts.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -30,7 +34,7 @@ MAX_LABELLED = 20_000
 TREES = 200
 SAMPLE = 256
 SEED = 20
-LIMIT_PERCENT = 99.9
+MARGIN = 0.5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -107,22 +111,16 @@ def _depth_left(n: int) -> float:
 @dataclass(frozen=True)
 class Forest:
     """Trees as arrays: a node's feature (-1: leaf), split, children and, for
-    a leaf, its depth; ``least`` is the smallest mean depth that passes, and
-    ``low`` and ``high`` are the limits of the statistics."""
+    a leaf, its depth; ``least`` is the smallest mean depth that passes."""
 
     feature: np.ndarray
     split: np.ndarray
     child: np.ndarray
     depth: np.ndarray
     least: float = 0.0
-    low: np.ndarray | None = None
-    high: np.ndarray | None = None
-
-    def beyond(self, x: np.ndarray) -> np.ndarray:
-        return beyond(x, self.low, self.high)
 
     def depths(self, x: np.ndarray) -> np.ndarray:
-        """Mean depth of each row of ``x``, distances beyond the limits."""
+        """Mean depth of each row of ``x``."""
         total = np.zeros(len(x))
         rows = np.arange(len(x))
         for t in range(len(self.feature)):
@@ -138,11 +136,6 @@ class Forest:
         return total / max(1, len(self.feature))
 
 
-def beyond(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """How far ``x`` lies beyond its limits, in units of their distance."""
-    return np.maximum(0, np.maximum(x - high, low - x)) / np.maximum(high - low, 1e-3)
-
-
 def grow(x: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> Forest:
     rng = np.random.default_rng(seed)
     limit = int(np.ceil(np.log2(max(2, min(sample, len(x))))))
@@ -151,18 +144,19 @@ def grow(x: np.ndarray, trees: int = TREES, sample: int = SAMPLE, seed: int = SE
     split, depth, child = np.zeros((trees, width)), np.zeros((trees, width)), np.zeros((trees, width), np.int64)
     for t in range(trees):
         own = x[rng.choice(len(x), min(sample, len(x)), replace=False)]
-        todo, used = [(0, own, 0)], 1
+        reach = MARGIN * np.maximum(own.max(0) - own.min(0), 1e-3)
+        todo, used = [(0, own, 0, own.min(0) - reach, own.max(0) + reach)], 1
         while todo:
-            node, rows, level = todo.pop()
-            low, high = (rows.min(0), rows.max(0)) if len(rows) else (np.zeros(x.shape[1]),) * 2
-            open_ = np.flatnonzero(high > low)
-            if level >= limit or len(rows) < 2 or not len(open_):
+            node, rows, level, low, high = todo.pop()
+            if level >= limit or len(rows) < 2:
                 depth[t, node] = level + _depth_left(len(rows))
                 continue
-            f = int(rng.choice(open_))
+            f = int(rng.integers(x.shape[1]))
             s = rng.uniform(low[f], high[f])
             feature[t, node], split[t, node], child[t, node] = f, s, used
-            todo += [(used, rows[rows[:, f] < s], level + 1), (used + 1, rows[rows[:, f] >= s], level + 1)]
+            below, above = high.copy(), low.copy()
+            below[f] = above[f] = s
+            todo += [(used, rows[rows[:, f] < s], level + 1, low, below), (used + 1, rows[rows[:, f] >= s], level + 1, above, high)]
             used += 2
     return Forest(feature, split, child, depth)
 
@@ -191,10 +185,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Forest | None:
     good, passed = (np.array([r[c] == v for r in found], bool) for c, v in (("quality", 1), ("failed", False)))
     if not (good & passed).any():
         return None
-    low, high = np.percentile(x[good & passed], [100 - LIMIT_PERCENT, LIMIT_PERCENT], axis=0)
-    x = beyond(x, low, high)
-    forest = replace(grow(x), low=low, high=high)
-    depths, bad = forest.depths(x[passed]), ~good[passed]
+    half = np.array([zlib.crc32(b"%d" % r["doc_id"]) % 2 == 0 for r in found])
+    grown = good & passed & half
+    forest = grow(x[grown if grown.any() else good & passed])
+    rated = passed & ~half
+    if not (rated & ~good).any():  # too few rows to spare half of them
+        rated = passed
+    depths, bad = forest.depths(x[rated]), ~good[rated]
     if not bad.any():
         return forest
     order = np.argsort(depths, kind="stable")
@@ -219,7 +216,7 @@ def judge(docs: DataFrame, forest: Forest | None) -> DataFrame:
             if forest is None:
                 depth, passed = pa.nulls(len(base), pa.float64()), np.ones(len(base), bool)
             else:
-                depths = forest.depths(forest.beyond(np.array([f for _, f in found]).reshape(-1, len(FEATURES))))
+                depths = forest.depths(np.array([f for _, f in found]).reshape(-1, len(FEATURES)))
                 depth, passed = pa.array(depths), depths >= forest.least
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c) for c in base.T), pa.array(failed), depth, pa.array(~failed & passed)],
