@@ -29,7 +29,8 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -86,13 +87,19 @@ def maximal_segments(weights: list[float]) -> list[tuple[int, int, float]]:
 @dataclass(frozen=True)
 class Model:
     """Token weights (less DRIFT), the extreme-value rate and the logistic
-    curve."""
+    curve. Tokens and weights travel as two strings; the table of them is
+    built where it is used, and not on the driver."""
 
-    weights: dict[bytes, float] = field(default_factory=dict)
+    words: bytes = b""  # parted by line ends
+    values: bytes = b""  # as many 32-bit floats
     rate: float = 1.0  # lambda
     slope: float = 0.0
     middle: float = 0.0
 
+    @cached_property
+    def weights(self) -> dict[bytes, float]:
+        return dict(zip(self.words.split(b"\n"), np.frombuffer(self.values, np.float32).tolist())) if self.words else {}
+
     def passages(self, words: list[bytes]) -> list[tuple[int, int, float, float]]:
         """(first token, last token, score, -ln E) of each maximal segment."""
         weight = self.weights.get
@@ -178,8 +185,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     of = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).cast("int").alias(f"{'cb'[y]}{f}") for y in (0, 1) for f in range(FOLDS)]
     # the words of a bounded sample
     known = counts.groupBy("token").agg(*of).toArrow()
-    words = known.column(0).to_pylist()
-    tables = [np.stack([known.column(1 + y * FOLDS + f).to_numpy() for f in range(FOLDS)]).astype(float) if words else np.zeros((FOLDS, 0)) for y in (0, 1)]
+    words = b"\n".join(known.column(0).to_pylist())
+    tables = [np.stack([known.column(1 + y * FOLDS + f).to_numpy() for f in range(FOLDS)]) for y in (0, 1)]
+    del known
     clean, bad = (x.sum(axis=0) for x in tables)
     if not clean.sum() or not bad.sum():
         return Model()
@@ -188,13 +196,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         learnt = [total - x[f] for total, x in zip((clean, bad), tables, strict=True)]
         if learnt[0].sum() and learnt[1].sum():
             weights, rate = _weights(*learnt)
-            part = _evidence(sample.where(F.col("fold") == f), Model(dict(zip(words, weights.tolist(), strict=True)), rate))
+            part = _evidence(sample.where(F.col("fold") == f), Model(words, weights.astype(np.float32).tobytes(), rate))
             rated += [(r["evidence"], r["toxic"]) for r in part.collect()]  # of a bounded sample, two numbers a row
     if not any(y for _, y in rated):
         return Model()
     weights, rate = _weights(clean, bad)
     slope, middle = _curve(np.array([e for e, _ in rated]), np.array([y == 1 for _, y in rated]))
-    return Model(dict(zip(words, weights.tolist(), strict=True)), rate, slope, middle)
+    return Model(words, weights.astype(np.float32).tobytes(), rate, slope, middle)
 
 
 def _evidence(sample: DataFrame, model: Model) -> DataFrame:
