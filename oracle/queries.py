@@ -512,6 +512,7 @@ FROM user_center__registered_users u LEFT JOIN hit h ON h.user_id = u.user_id"""
 # the same rows by another route
 JOBS["inventory_levels_repaired"] = JOBS["inventory_levels"]
 JOBS["customer_lifetime_value_merged"] = JOBS["customer_lifetime_value"]
+JOBS["product_price_history_stepped"] = JOBS["product_price_history_exact"]
 JOBS["user_order_stats_merged"] = JOBS["user_order_stats"]
 
 ORACLE_SQL: dict[str, str] = {name: with_views(sql) for name, sql in {**LOADS, **JOBS}.items()}

@@ -87,6 +87,37 @@ def test_price_history_keeps_other_products(store):
         )
 
 
+def _prices(store):
+    return rows(store, "product_center.price_history", "product_id", "price", "effective_from", "effective_to", "change_reason")
+
+
+def _prices_as_written(store, past):
+    logs = Tables.stored(store)
+    whole = BY_NAME["product_price_history_exact"].fn(logs, BatchWindow("2000-01-01", f"2024-01-{past:02}"))
+    return sorted((tuple(r) for r in whole.select("product_id", "price", "effective_from", "effective_to", "change_reason").collect()), key=repr)
+
+
+def test_price_history_is_stepped_and_rerun(store):
+    rnd = random.Random(2)
+    logs = [(rnd.randint(1, 6), rnd.randint(1, 9) / 2, T(2024, 1, rnd.randint(8, 12), rnd.randint(0, 3), rnd.choice([0, 30])), rnd.choice(["up", "down"])) for _ in range(60)]
+    logs += [(9, 1.0, T(2024, 1, 8, 1), "only"), (None, 1.0, T(2024, 1, 9), "none"), (8, 4.0, T(2024, 1, 5), "old")]
+    put(store, "raw_data.price_change_logs", logs, PRICES)
+    for n in (8, 9, 10, 11, 12):
+        run(store, "product_price_history_exact", day(n))
+        assert _prices(store) == _prices_as_written(store, n + 1)
+    before = _files(store, "product_center.price_history")
+    run(store, "product_price_history_exact", day(10))  # nothing changed
+    assert _prices(store) == _prices_as_written(store, 13)
+    # what was closed before the window keeps its files
+    assert all(before[f] == _files(store, "product_center.price_history").get(f) for f in before if f.split("closed__day=")[1][:10] < "2024-01-10")
+    # two days are corrected: changes go, come and move
+    logs = [x for i, x in enumerate(logs) if x[2].day not in (9, 11) or i % 3] + [(1, 7.0, T(2024, 1, 9, 5), "late"), (5, 8.0, T(2024, 1, 11, 0), "late"), (7, 3.0, T(2024, 1, 9, 2), "new")]
+    put(store, "raw_data.price_change_logs", logs, PRICES)
+    for n in (11, 9, 9):
+        run(store, "product_price_history_exact", day(n))
+    assert _prices(store) == _prices_as_written(store, 13)
+
+
 def test_alerts_keep_their_history_and_cool_down(store):
     put(store, "inventory.product_inventory", [(1, 1, 5.0, T(2024, 1, 1))], "product_id long, warehouse_id long, quantity double, last_updated timestamp_ntz")
     put(store, "product_center.products", [(1, 9.0)], "product_id long, reorder_threshold double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions import BatchWindow, day, dsum, ratio, total, unscale, windowed
+from tillroll.functions import BatchWindow, day, dsum, in_window, ratio, total, unscale, windowed
 from tillroll.operators.changes import apply_changes
 from tillroll.operators.sequence import lead_time
 from tillroll.operators.sizing import join_small
@@ -43,6 +43,44 @@ def product_price_history_exact(t: Tables, w: BatchWindow) -> DataFrame:
     return _price_rows(history)
 
 
+def price_history_step(logs: DataFrame, stored: DataFrame, w: BatchWindow) -> tuple[DataFrame, DataFrame]:
+    """The price history after the window's changes, from the rows that
+    ``stored`` holds open or closed on the window's first day or later:
+    (rows, products). ``rows`` are all of theirs from that day on, in place of
+    those stored.
+
+    A product's change before the window is the one row that starts before it
+    and is not closed before it, open or not: no older one is read. It is
+    closed by the first change of the window, and the last one of the window
+    by the first after it (a rerun of an old day) or not at all."""
+    logs = windowed(logs, "change_time", w).where(F.col("product_id").isNotNull())
+    starts = in_window("effective_from", w)
+    # products that changed in the window, now or in an earlier run of it
+    had = stored.where(starts | in_window("effective_to", w))
+    products = logs.select("product_id").union(had.select("product_id")).distinct()
+    mine = join_small(stored, products, "product_id", "left_semi", proven=False)
+    before = mine.where(F.col("effective_from") < w.lo).select(
+        "product_id", F.col("price").alias("new_price"), F.col("effective_from").alias("change_time"), "change_reason"
+    )
+    after = mine.where(F.col("effective_from") >= w.hi)
+    next_change = after.groupBy("product_id").agg(F.min("effective_from").alias("next_change"))
+    made = _price_rows(before.unionByName(logs.select(*before.columns))).join(next_change, "product_id", "left")
+    made = made.withColumn("effective_to", F.coalesce("effective_to", "next_change"))
+    table = "product_center.price_history"
+    return conform(made, table).unionByName(conform(after, table)), products
+
+
+def product_price_history_stepped(t: Tables, w: BatchWindow) -> DataFrame:
+    """The history of the window's products when it had been written up to
+    the window, and the window was added to it."""
+    logs = t["raw_data.price_change_logs"]
+    written = _price_rows(logs.where(F.col("change_time") < w.lo))
+    fresh = F.col("effective_to").isNull() | (F.col("effective_to") >= w.first_day)
+    rows, products = price_history_step(logs, written.where(fresh), w)
+    older = written.where(~fresh).join(products, "product_id", "left_semi")
+    return older.unionByName(rows)
+
+
 def _window_items(t: Tables, w: BatchWindow, cols: list[str]) -> DataFrame:
     """Order items of orders placed in the window, with the order day. The
     window's orders are broadcast when proven small, so the item table is

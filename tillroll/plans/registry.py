@@ -38,7 +38,7 @@ class Job:
     @property
     def target(self) -> str:
         """The table the job writes (INSERT INTO / UPDATE)."""
-        return TARGET[self.name.removesuffix("_exact").removesuffix("_carried").removesuffix("_repaired").removesuffix("_merged")]
+        return TARGET[self.name.removesuffix("_exact").removesuffix("_carried").removesuffix("_repaired").removesuffix("_merged").removesuffix("_stepped")]
 
 
 def _load(name: str, window: BatchWindow, profile: str = "default") -> Job:
@@ -86,9 +86,6 @@ RECORDED_AS = {"update_inventory_after_order": ("inventory.stock_deductions", in
 # jobs whose rows are those of today (``as_of``), added to the day's rows
 ADDS_TO_TODAY = {"low_stock_alerts"}
 
-# jobs that return all rows of whole keys, on any day
-REPLACES_KEYS = {"product_price_history_exact": ["product_id"]}
-
 # The source value of jobs that share a table with others.
 SOURCE_OF = {
     "refund_expense": "refund",
@@ -159,6 +156,7 @@ JOBS: tuple[Job, ...] = (
     _load("product_inventory", W_EVT),
     Job("product_price_history", products.product_price_history, W_EVT),
     Job("product_price_history_exact", products.product_price_history_exact, W_EVT),
+    Job("product_price_history_stepped", products.product_price_history_stepped, W_EVT, kind="view"),
     _load("product_reviews", W_EVT),
     Job("product_sales", products.product_sales, W_ORD),
     Job("category_performance", products.category_performance, W_ORD),

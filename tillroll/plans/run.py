@@ -18,15 +18,15 @@ from tillroll.functions.scalars import day
 from tillroll.functions.window import BatchWindow, day_partition, windowed
 from tillroll.operators.sizing import join_small
 from tillroll.plans.inventory import PAIR, broken_pairs, repaired_rows
-from tillroll.plans.registry import ADDS_TO_TODAY, BY_NAME, READS_OWN_TARGET, RECORDED_AS, REPLACES_KEYS, SOURCE_OF, Job
+from tillroll.plans.registry import ADDS_TO_TODAY, BY_NAME, READS_OWN_TARGET, RECORDED_AS, SOURCE_OF, Job
+from tillroll.plans.products import price_history_step
 from tillroll.plans.states import between, item_parts, ltv_from_state, ltv_state, order_parts, orders_of, stats_from_state
 from tillroll.session import ensure_checkpoint_dir
-from tillroll.sources.schemas import PARTITION_BY_SOURCE, PARTITION_TIME, with_extra
+from tillroll.sources.schemas import CLOSED_DAY, OPEN_DAY, PARTITION_BY_HASH, PARTITION_BY_SOURCE, PARTITION_TIME, empty_table, with_extra
 from tillroll.sources.sinks import (
     BATCH_DAY,
     ParquetStore,
     Store,
-    merge_keys,
     replace_keys,
     rewrite_partitions,
     whole_days,
@@ -54,6 +54,9 @@ def run_job(name: str, tables: Tables, window: BatchWindow, store: Store | str,
         table, rows_of = RECORDED_AS[name]
         write_window(store, table, rows_of(tables, window), window)
         return
+    if name == "product_price_history_exact":
+        _step_price_history(tables, window, store)
+        return
     if job.kind == "view":
         raise ValueError(f"{name} is a view of stored tables and writes none")
     if job.kind == "update":
@@ -67,9 +70,7 @@ def run_job(name: str, tables: Tables, window: BatchWindow, store: Store | str,
     if rows is None:
         rows = job.fn(tables, window, **params)
     rows = with_extra(rows, table)
-    if name in REPLACES_KEYS:
-        merge_keys(store, table, rows, REPLACES_KEYS[name], day_of)
-    elif day_of is None and BATCH_DAY not in rows.columns:
+    if day_of is None and BATCH_DAY not in rows.columns:
         write_window(store, table, rows, window)
     else:
         if name in ADDS_TO_TODAY:
@@ -176,7 +177,30 @@ def _repair_ledger(store: Store, last: dt.date) -> None:
     if changed.isEmpty():
         return
     rows = repaired_rows(changed, ledger.where(F.col(part).isin(days)), days)
-    replace_keys(store, LEDGER, rows, changed, PAIR, "date", days)
+    # the first day last: a rerun after a crash finds it as it was and goes on
+    first = F.col(part) == F.lit(days[0])
+    replace_keys(store, LEDGER, rows.withColumn(part, F.col("date")), changed, PAIR, [part, PARTITION_BY_HASH[LEDGER][0]], F.col(part).isin(days), [~first, first])
+
+
+PRICES = "product_center.price_history"
+
+
+def _step_price_history(tables: Tables, window: BatchWindow, store: Store) -> None:
+    """Add a window to the price history, or do it again. The first run takes
+    in all changes up to the window's end."""
+    first, _ = whole_days(window)
+    parts = [CLOSED_DAY, PARTITION_BY_HASH[PRICES][0]]
+    logs, stored = tables["raw_data.price_change_logs"], store.read(PRICES)
+    if stored is None:
+        past = BatchWindow("0001-01-01", window.date_next)
+        rows, products = price_history_step(logs, empty_table(store.spark, PRICES), past)
+    elif CLOSED_DAY not in stored.columns:
+        raise ValueError(f"{PRICES} was written by product_price_history; run one of the two per table")
+    else:
+        rows, products = price_history_step(logs, stored.where(F.col(CLOSED_DAY) >= F.lit(first)), window)
+    closed = F.coalesce(F.to_date("effective_to"), F.lit(OPEN_DAY).cast("date"))
+    ensure_checkpoint_dir(store.spark)
+    replace_keys(store, PRICES, rows.withColumn(CLOSED_DAY, closed), products, ["product_id"], parts, F.col(CLOSED_DAY) >= F.lit(first))
 
 
 def _today(tables: Tables, window: BatchWindow) -> dt.date:

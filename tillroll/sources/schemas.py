@@ -133,9 +133,16 @@ PARTITION_BY_SOURCE: dict[str, str] = {
 # their day: partition column, key columns, number of parts.
 PARTITION_BY_HASH: dict[str, tuple[str, tuple[str, ...], int]] = {
     "analytics.inventory_levels": ("pair_bucket", ("warehouse_id", "product_id"), 8),
+    "product_center.price_history": ("product_bucket", ("product_id",), 8),
 }
 
 
+# Price rows are kept by the day that closed them, open ones
+# under a day of their own, so that a batch meets them without older history.
+CLOSED_DAY = "closed__day"
+OPEN_DAY = "9999-12-31"
+
+
 def with_bucket(df: DataFrame, table: str) -> DataFrame:
     """``df`` with its partition column by hash, if the table has one."""
     if table not in PARTITION_BY_HASH:

@@ -12,9 +12,7 @@ INSERT jobs replace the days (or the window) they state and nothing else:
   partitioned by the window itself; a window that overlaps another one than
   itself is refused.
 * ``replace_keys``: single keys' rows on some days, in the partitions that
-  hold them (the days behind a rewritten ledger day).
-* ``merge_keys``: the rows of whole keys (a product's price history) replace
-  those keys' rows on whatever days either has them.
+  hold them (ledger days behind a rewritten one, a product's price history).
 
 UPDATE jobs return the partitions that hold a changed row, and
 ``rewrite_partitions`` replaces those. An update that must not be applied
@@ -161,11 +159,11 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _replace(store: Store, table: str, df: DataFrame, parts: list[str], stated: Column, source: tuple[str, str] | None) -> None:
-    """Replace the partitions of ``df``, then empty those that match
-    ``stated`` (and the source) and got no rows."""
-    before = store.read(table)
-    there: set[tuple] = set()
+def _replace(store: Store, table: str, df: DataFrame, parts: list[str], stated: Column, source: tuple[str, str] | None, there: set[tuple] | None = None) -> None:
+    """Replace the partitions of ``df``, then empty those that got no rows
+    among those ``there``, or that match ``stated`` (and the source)."""
+    before = store.read(table) if there is None else None
+    there = there or set()
     values = [F.col(p).cast("string").alias(p) for p in parts]
     if before is not None and set(parts) <= set(before.columns):
         cond = stated if source is None else stated & (F.col(source[0]) == source[1])
@@ -215,30 +213,30 @@ def write_days(
     _replace(store, table, checked, parts, inside, source)
 
 
-def replace_keys(store: Store, table: str, new: DataFrame, keys: DataFrame, on: list[str], day_of: str, days: list[dt.date]) -> None:
-    """On the ``days`` of a table that is parted by day and hash, the rows of
-    ``keys`` are replaced by ``new``; partitions without such a row, old or
-    new, are neither read whole nor written. The first day is replaced last,
-    so a rerun after a crash finds it as it was and repeats the rest."""
-    part = day_partition(day_of)
-    bucket = PARTITION_BY_HASH[table][0]
-    before = store.read(table).where(F.col(part).isin(days))
-    new = _cut(with_bucket(new.withColumn(part, F.to_date(day_of)), table))
-    held = join_small(before.select(*on, part, bucket), keys.select(*on), on, "left_semi")
-    touched = _cut(held.select(part, bucket).unionAll(new.select(part, bucket)).distinct())
-    # a partition of these days at most
-    places = [tuple(r) for r in touched.collect()]
-    at = [F.col(part) == F.col("__day"), F.col(bucket) == F.col("__bucket")]
-    named = touched.select(F.col(part).alias("__day"), F.col(bucket).alias("__bucket"))
-    rest = before.join(F.broadcast(named), at[0] & at[1], "left_semi")
+def replace_keys(store: Store, table: str, new: DataFrame, keys: DataFrame, on: list[str], parts: list[str], scope: Column, steps: Sequence[Column] = ()) -> None:
+    """Among the partitions in ``scope`` (a condition on ``parts``), the rows
+    of ``keys`` are replaced by ``new``; partitions without such a row, old or
+    new, are neither read whole nor written. ``steps`` (conditions on
+    ``parts``) are replaced one after the other."""
+    new = _cut(with_bucket(new, table))
+    before = store.read(table)
+    if before is None:
+        store.replace(table, new, parts)
+        return
+    before = before.where(scope)
+    held = join_small(before.select(*on, *parts), keys.select(*on), on, "left_semi")
+    touched = _cut(held.select(*parts).unionAll(new.select(*parts)).distinct())
+    named = touched.select(*[F.col(p).alias(f"__{p}") for p in parts])
+    same = F.lit(True)
+    for p in parts:
+        same = same & (F.col(p) == F.col(f"__{p}"))
+    # a row for each partition in scope at most
+    rest = before.join(F.broadcast(named), same, "left_semi")
     merged = _cut(join_small(rest, keys.select(*on), on, "left_anti").unionByName(new))
-    for these in ([d for d in days if d != days[0]], days[:1]):
-        stated = F.lit(False)
-        for day, number in places:
-            if day in these:
-                stated = stated | ((F.col(part) == F.lit(day)) & (F.col(bucket) == number))
-        if any(day in these for day, _ in places):
-            _replace(store, table, merged.where(F.col(part).isin(these)), [part, bucket], stated, None)
+    for step in steps or (F.lit(True),):
+        there = {tuple(r) for r in touched.where(step).select(*[F.col(p).cast("string") for p in parts]).collect()}
+        if there:
+            _replace(store, table, merged.where(step), parts, step, None, there)
 
 
 def write_window(store: Store, table: str, df: DataFrame, w: BatchWindow) -> None:
@@ -254,29 +252,6 @@ def write_window(store: Store, table: str, df: DataFrame, w: BatchWindow) -> Non
     _replace(store, table, df.withColumn(BATCH_WINDOW, F.lit(key)), [BATCH_WINDOW], F.col(BATCH_WINDOW) == key, None)
 
 
-def merge_keys(store: Store, table: str, df: DataFrame, keys: list[str], day_of: str) -> None:
-    """``df`` holds all rows of its keys: they replace the rows of those keys,
-    on the days that either has them. Other keys' rows on those days stay."""
-    part = day_partition(day_of)
-    new = _cut(df.withColumn(part, F.to_date(day_of)))
-    before = store.read(table)
-    if before is None:
-        store.replace(table, new, [part])
-        return
-    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
-    changed = new.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    days = before.join(changed, cond, "left_semi").select(part).unionAll(new.select(part)).distinct()
-    days = days.select(F.col(part).alias("__touched"))
-    touched = before.join(days, F.col(part).eqNullSafe(F.col("__touched")), "left_semi")
-    merged = _cut(touched.join(changed, cond, "left_anti").unionByName(new))
-    # the touched days of the table's calendar, not rows
-    stated = F.col(part).isin([r[0] for r in days.collect()])
-    _replace(store, table, merged, [part], stated, None)
-
-
 def partition_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c in (BATCH_DAY, BATCH_WINDOW) or c.endswith(DAY_SUFFIX)]
 
