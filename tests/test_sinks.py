@@ -361,6 +361,9 @@ def test_update_of_an_unpartitioned_table_is_swapped_in(store, spark):
     assert sorted(os.listdir(store.root)) == [table]
     os.rename(store.path(table), store.path(table) + ".previous")  # a crash between the two moves
     assert rows(store, table, "campaign_id", "status") == [(1, "completed"), (2, "active")]
+    assert os.listdir(store.root) == [table + ".previous"]  # a reader moves nothing
+    run(store, "update_campaign_status", day(9))
+    assert rows(store, table, "campaign_id", "status") == [(1, "completed"), (2, "active")] and os.listdir(store.root) == [table]
 
 
 def test_update_rewrites_the_touched_partitions_only(store):

@@ -65,9 +65,8 @@ class ParquetStore(Store):
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame | None:
-        self._recover(table)
         try:
-            return self.spark.read.parquet(self.path(table))
+            return self.spark.read.parquet(self._readable(table))
         except AnalysisException as e:
             if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 return None
@@ -89,6 +88,7 @@ class ParquetStore(Store):
         """An unpartitioned table: the new one is written beside the old and
         takes its name once it is whole."""
         fs, path = self._files()
+        self._recover(table)
         own, new, old = (path(self.path(table) + x) for x in ("", ".next", ".previous"))
         df.write.mode("overwrite").parquet(new.toString())
         fs.delete(old, True)
@@ -98,13 +98,23 @@ class ParquetStore(Store):
             raise OSError(f"cannot move {new.toString()}")
         fs.delete(old, True)
 
+    def _readable(self, table: str) -> str:
+        """Where the table is: between the two moves of a writer, or after a
+        crash there, the new one if it is whole, else the old one. Readers
+        move nothing."""
+        fs, path = self._files()
+        own, new, old = (self.path(table) + x for x in ("", ".next", ".previous"))
+        if fs.exists(path(own)) or not fs.exists(path(old)):
+            return own
+        return new if fs.exists(path(new, "_SUCCESS")) else old
+
     def _recover(self, table: str) -> None:
-        """After a crash between the two moves: finish with the new table if
-        it is whole, else go back to the old one."""
+        """A writer first gives a table its name back that a crash between
+        the two moves took."""
         fs, path = self._files()
-        own, new, old = (path(self.path(table) + x) for x in ("", ".next", ".previous"))
-        if not fs.exists(own) and fs.exists(old):
-            fs.rename(new if fs.exists(path(new, "_SUCCESS")) else old, own)
+        found = self._readable(table)
+        if found != self.path(table):
+            fs.rename(path(found), path(self.path(table)))
 
 
 class CatalogStore(Store):
