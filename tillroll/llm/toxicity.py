@@ -44,6 +44,7 @@ PRIOR = 1.0
 DOUBT = 9.0
 DRIFT = 0.1
 FOLDS = 5
+SAME = 0.01
 SIGNIFICANT = 0.05
 THRESHOLD = 0.7
 
@@ -136,6 +137,13 @@ def _weights(clean: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, float]:
     return weights, (lo + hi) / 2
 
 
+def _stored(words: np.ndarray, weights: np.ndarray) -> tuple[bytes, bytes]:
+    """What a model carries: weights within SAME of an unseen token's, such as
+    those of words that one clean text has, need no place in the table."""
+    apart = np.abs(weights + DRIFT) >= SAME
+    return b"\n".join(words[apart].tolist()), weights[apart].astype(np.float32).tobytes()
+
+
 def _curve(evidence: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
     """Slope and middle of the logistic curve: the middle lies in the gap of
     the sorted evidence that gives the best F1."""
@@ -185,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     of = [F.sum(F.when((F.col("fold") == f) & (F.col("toxic") == y), F.col("n")).otherwise(0)).cast("int").alias(f"{'cb'[y]}{f}") for y in (0, 1) for f in range(FOLDS)]
     # the words of a bounded sample
     known = counts.groupBy("token").agg(*of).toArrow()
-    words = b"\n".join(known.column(0).to_pylist())
+    words = np.array(known.column(0).to_pylist(), object)
     tables = [np.stack([known.column(1 + y * FOLDS + f).to_numpy() for f in range(FOLDS)]) for y in (0, 1)]
     del known
     clean, bad = (x.sum(axis=0) for x in tables)
@@ -196,13 +204,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         learnt = [total - x[f] for total, x in zip((clean, bad), tables, strict=True)]
         if learnt[0].sum() and learnt[1].sum():
             weights, rate = _weights(*learnt)
-            part = _evidence(sample.where(F.col("fold") == f), Model(words, weights.astype(np.float32).tobytes(), rate))
+            part = _evidence(sample.where(F.col("fold") == f), Model(*_stored(words, weights), rate))
             rated += [(r["evidence"], r["toxic"]) for r in part.collect()]  # of a bounded sample, two numbers a row
     if not any(y for _, y in rated):
         return Model()
     weights, rate = _weights(clean, bad)
     slope, middle = _curve(np.array([e for e, _ in rated]), np.array([y == 1 for _, y in rated]))
-    return Model(words, weights.astype(np.float32).tobytes(), rate, slope, middle)
+    return Model(*_stored(words, weights), rate, slope, middle)
 
 
 def _evidence(sample: DataFrame, model: Model) -> DataFrame:
