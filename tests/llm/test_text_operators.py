@@ -425,3 +425,10 @@ def test_forest_on_held_out_labels(spark):
     good, bad = ([(k, d) for q, k, d in rated if q == v] for v in (1, 0))
     assert np.mean([not k for k, _ in good]) <= 0.01 and np.mean([k for k, _ in bad]) <= 0.03
     assert len({d for _, d in good}) > 0.9 * len(good)  # the forest tells good rows apart too
+
+
+def test_weights_of_no_account_are_not_stored():
+    words, weights = np.array([b"a", b"b", b"c"], object), np.array([0.5, -0.004, -0.3]) - toxicity.DRIFT
+    model = toxicity.Model(*toxicity._stored(words, weights))
+    assert model.weights == {b"a": np.float32(0.4), b"c": np.float32(-0.4)}
+    assert toxicity.Model().weights == {} and toxicity.Model().passages([b"a", b"b"]) == []
