@@ -3,6 +3,7 @@ snapshot updates, and the stock-ledger invariants."""
 
 import datetime as dt
 import random
+import re
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -240,6 +241,44 @@ def test_broadcast_cap_can_force_shuffle_joins(spark):
     assert got == want
 
 
+def test_first_payments_beyond_the_broadcast_cap_come_from_one_aggregate(spark, tables):
+    """Whatever the window's size, the first completed payment decides; when
+    the window's orders cannot be broadcast, payments are read once and only
+    the orders are joined (each more join holds two sorts in every task)."""
+    from tillroll.plans import finance
+
+    rnd = random.Random(5)
+    w = BatchWindow("2024-01-08", "2024-01-09", "2024-01-30")
+    pays = [
+        (i, rnd.choice([None, *range(40)]), rnd.choice([None, T(2024, 1, 7, 23), T(2024, 1, 8), T(2024, 1, 8, rnd.randrange(24)), T(2024, 1, 9), T(2024, 1, 9, 5)]),
+         rnd.choice(["completed", "completed", "pending", None]))
+        for i in range(120)
+    ]
+    placed = [(o, None if o is None else o % 7, None if o is None else o * 1.5, "card") for o in [None, *range(35), 3, 4, 4]]
+    t = tables(
+        payment_center__payments=("payment_id bigint, order_id bigint, payment_time timestamp_ntz, status string", pays),
+        order_center__orders=("order_id bigint, user_id bigint, total_amount double, payment_method string", placed),
+    )
+    first = {}
+    for _, order, at, status in pays:
+        if order is not None and at is not None and status == "completed":
+            first[order] = min(at, first.get(order, at))
+    want = sorted((o, u, x, first[o], m) for o, u, x, m in placed if o in first and T(2024, 1, 8) <= first[o] < T(2024, 1, 9))
+    assert want and any(at < T(2024, 1, 8) for at in first.values())
+
+    def got():
+        df = finance.revenue_recognition_exact(t, w).select("order_id", "user_id", "amount", "revenue_date", "payment_method")
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return sorted(map(tuple, df.collect())), len(re.findall(r"\bJoin\b", plan))
+
+    assert got()[0] == want
+    spark.conf.set(MAX_ROWS_CONF, "0")
+    try:
+        assert got() == (want, 1)
+    finally:
+        spark.conf.unset(MAX_ROWS_CONF)
+
+
 def test_hot_key_on_the_shuffle_path_matches_brute_force(spark, tables):
     """One receipt holds most items; broadcast disabled and AQE told to treat
     tiny partitions as skewed, so the split-join path really runs."""

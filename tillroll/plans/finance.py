@@ -43,18 +43,22 @@ def revenue_recognition_exact(t: Tables, w: BatchWindow) -> DataFrame:
     """One row per order, at its first completed payment ever, kept only
     when that payment falls in the window."""
     payments = _completed_payments(t)
-    firsts = (
-        windowed(payments, "payment_time", w)
-        .groupBy("order_id")
-        .agg(F.min("payment_time").alias("revenue_date"))
-    )
-    ids = firsts.select("order_id")
-    small = is_small(firsts)
-    paid_before = join_small(
-        payments.where(F.col("payment_time") < w.lo).select("order_id"), ids, "order_id", "left_semi", proven=small
-    )
-    paid = firsts.join(paid_before.distinct(), "order_id", "left_anti")
-    # paid is a subset of firsts, so the bound just proven holds for it too
+    first = F.min("payment_time").alias("revenue_date")
+    paid = windowed(payments, "payment_time", w).groupBy("order_id").agg(first)
+    small = is_small(paid)
+    if small:
+        # the window's orders are broadcast, so history is never shuffled
+        paid_before = join_small(
+            payments.where(F.col("payment_time") < w.lo).select("order_id"),
+            paid.select("order_id"), "order_id", "left_semi", proven=True,
+        )
+        paid = paid.join(paid_before.distinct(), "order_id", "left_anti")
+    else:
+        # one read and one aggregate: semi- and anti-join by order would hold
+        # their sorts in the memory of the same task
+        paid = payments.where(F.col("payment_time") < w.hi).groupBy("order_id").agg(first)
+        paid = paid.where(F.col("revenue_date") >= w.lo)
+    # paid is a subset of the side just measured, so the bound holds for it too
     return _revenue_rows(t, paid, proven=small)
 
 
