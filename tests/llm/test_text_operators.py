@@ -79,6 +79,22 @@ def test_word_encoder_equals_the_library(monkeypatch):
             assert np.frombuffer(encoder.encode(t.encode()), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_encoder_looks_up_what_repeats_in_a_batch_once():
+    """Words are parted at Latin letter and mark, A-Z lower-cased, before they
+    are looked up; never where that could change the ids."""
+    encoder, library = WordEncoder(word_tokenizer()), Tokenizer.from_str(word_tokenizer())
+    repeats = ["abc Abc, abc.", "", "ABC! aBc abc!\nabc. ABC,"]
+    odd = ["H\u0331 h\u0331 H\u0331, a.b -! !- x'S. 'LL, \u00d7. \u00f7, \u00ff. \u0178, \u00c3.\u00c3 K. \u03a3. A\u0308. !\u0338 $a$", " ", "\x1cA.\x85B,\u3000c!", ".", "\u00c9,"]
+    odd += ["<|endoftext|>", "a.<|endoftext|>.B!", "<|ENDOFTEXT|> <|EndOfText|>", "<|endoftext|", "<|<|startoftext|>|> X|", "A<|", "endoftext|>"]
+    for texts in (["", " ", ""], repeats, odd):
+        encoder.forget()
+        ids, stops = encoder.encode_all([t.encode() for t in texts], b"\xff" * 4)
+        got = [x.tolist() for x in np.split(np.frombuffer(ids, "<u4"), stops[:-1] // 4)]
+        assert got == [[*library.encode(t, add_special_tokens=False).ids, 2**32 - 1] for t in texts]
+        if texts is repeats:
+            assert sorted(encoder.fresh) == ["!", ",", ".", "abc"]
+
+
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "pages"):

@@ -23,15 +23,17 @@ from __future__ import annotations
 
 import math
 import os
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import cut, id_text, raw_texts, record_batch
+from tillroll.llm.common import WHITE, cut, id_text, raw_texts, record_batch
 
 CAPACITY = 2048
 END_ID = 0
@@ -44,7 +46,7 @@ RANKED_TOGETHER = 64
 _PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
 
 
-# Closing marks of the short way, and words it is tried on.
+# Marks of the short way, and words it is tried on.
 _MARKS = ".,;:!?#$%&*|"
 _PROBES = ("Hello", "the", "Ab.", "straße,", "Éaux!!", "ñandú", "x###", "Zürich$$$", "ÀÿÆ", "µm", "a%%%", "Ça?!")
 
@@ -60,11 +62,20 @@ def _byte_signs() -> dict[int, str]:
 
 
 _SHOWN = _byte_signs()
+_BYTES = np.arange(256)
+_INK = ~np.isin(_BYTES, list(WHITE))
+_MARK = np.isin(_BYTES, list(_MARKS.encode()))
+_UPPER = (_BYTES >= 65) & (_BYTES <= 90)
+_LETTER = _UPPER | (_BYTES >= 97) & (_BYTES <= 122)
+_FOLD = (_BYTES + 32 * _UPPER).astype(np.uint8)
 
 
 class WordEncoder:
     """Ids of a text by a ``tokenizers`` definition that never joins what
-    white space parts, so each word is encoded once and remembered."""
+    white space parts, so each word is encoded once and remembered. By the
+    short way, words are also parted between a Latin letter and a mark, with
+    A-Z lower-cased first: fewer different ones are left. What reads like an
+    added token (``<|endoftext|>``), in whatever case, stays as it is."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -72,66 +83,125 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
-        self.fresh: dict[bytes, bytes] = {}
-        self.aged: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.forget()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in added]
         # the short way is taken only if this tokenizer treats the probes so
-        self.short = all(self._short(w) == self._long([w])[0] for w in _PROBES)
+        self.short = not any(t.normalized or t.single_word or t.lstrip or t.rstrip for t in added)
+        self.short = self.short and all(self.encode(w.encode()) == self._long([w])[0] for w in _PROBES)
+        self.forget()
 
     def forget(self) -> None:
         """Give the memory back: the worker lives on after the task."""
-        self.fresh, self.aged, self.parts = {}, {}, {}
+        self.fresh: dict[str, bytes] = {}
+        self.aged: dict[str, bytes] = {}
 
     def encode(self, raw: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        words = raw.split()
+        return self.encode_all([raw])[0].to_pybytes()
+
+    def encode_all(self, raws: list[bytes], end: bytes = b"") -> tuple[pa.Buffer, np.ndarray]:
+        """The texts' ids one after another, ``end`` after each text's, and
+        where each text's end there. What repeats in any of the texts is
+        looked up once."""
+        joined = np.frombuffer(bytearray(b"").join([part for raw in raws for part in (raw, b" ")]), np.uint8)
+        ink = _INK[joined]
+        step = np.diff(ink.view(np.int8), prepend=np.int8(0))
+        first, after = step == 1, step == -1
+        if self.short:
+            kept = np.zeros(len(joined), bool)
+            for content in self.added:
+                at = _read_like(joined, content)
+                for i in range(len(content)):
+                    kept[at + i] = True
+            cuts = _cuts(joined)
+            cuts = cuts[~kept[cuts]]
+            first[cuts] = after[cuts] = True
+            _lower(joined, kept)
+        starts = np.flatnonzero(first)
+        offsets = np.zeros(len(starts) + 1, np.int64)
+        np.cumsum(np.flatnonzero(after) - starts, out=offsets[1:])
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined[ink])]
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), buffers).dictionary_encode()
+        codes = self._codes(_listed(words.dictionary))
+        until = np.searchsorted(starts, np.cumsum([len(raw) + 1 for raw in raws]))
+        order = np.insert(words.indices.to_numpy(), until, len(codes))
+        taken = pa.array([*codes, end], pa.large_binary()).take(pa.array(order))
+        stops = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1)[until + np.arange(1, len(raws) + 1)]
+        return taken.buffers()[2] or pa.py_buffer(b""), stops
+
+    def _codes(self, words: list[str]) -> list[bytes]:
+        """Each word's ids; no word comes twice."""
         out = list(map(self.fresh.get, words))
-        if None in out:
-            self._learn({w for w, x in zip(words, out, strict=True) if x is None})
-            out = [self.fresh[w] if x is None else x for w, x in zip(words, out, strict=True)]
-        return b"".join(out)
+        new = [w for w, x in zip(words, out, strict=True) if x is None]
+        if not new:
+            return out
+        learnt = iter(self._learn(new))
+        return [next(learnt) if x is None else x for x in out]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[str]) -> list[bytes]:
         if len(self.fresh) + len(words) > MEMORY:
             self.fresh, self.aged = {}, self.fresh
-        new = [w for w in words if w not in self.aged]
-        for w in words:
-            if w in self.aged:
-                self.fresh[w] = self.aged[w]
+        out = list(map(self.aged.get, words))
         rest = []
-        for w in new:
-            text = w.decode()
-            packed = self._short(text) if self.short else None
-            if packed is None:
-                rest.append(w)
-            else:
-                self.fresh[w] = packed
-        for w, packed in zip(rest, self._long([w.decode() for w in rest]), strict=True):
-            self.fresh[w] = packed
+        for i, known in enumerate(out):
+            if known is None:
+                w = words[i]
+                if self.short and w.isalpha() and (w.isascii() or max(w) <= "\xff"):
+                    out[i] = self._merge(w.lower())
+                else:
+                    rest.append(i)
+        for i, packed in zip(rest, self._long([words[i] for i in rest]), strict=True):
+            out[i] = packed
+        if len(words) <= MEMORY:
+            self.fresh.update(zip(words, out, strict=True))
+        return out
 
     def _long(self, words: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in coded]
 
-    def _short(self, word: str) -> bytes | None:
-        """A word of Latin letters and closing marks: lower-cased letters and
-        marks go to the merges directly. None for any other word."""
-        letters = word.rstrip(_MARKS)
-        if not letters.isalpha() or not letters.isascii() and max(letters) > "\xff":
-            return None
-        letters = letters.lower()
-        packed = self.parts.get(letters)
-        if packed is None:
-            packed = self._merge(letters)
-        marks = word[len(letters) :]
-        return packed + (self.parts.get(marks) or self._merge(marks)) if marks else packed
-
-    def _merge(self, part: str) -> bytes:
-        if len(self.parts) >= MEMORY:
-            self.parts = {}
-        shown = part if part.isascii() else part.translate(_SHOWN)
-        packed = self.parts[part] = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        return packed
+    def _merge(self, letters: str) -> bytes:
+        """Lower-cased Latin letters go to the merges directly."""
+        shown = letters if letters.isascii() else letters.translate(_SHOWN)
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _cuts(joined: np.ndarray) -> np.ndarray:
+    """Where a mark follows a Latin letter (A-Z, a-z, U+00C0 to U+00FF
+    without the two signs): a run of letters ends there in any word."""
+    at = np.flatnonzero(_MARK[joined])
+    at = at[at > 0]
+    last = joined[at - 1]
+    wide = (joined[np.maximum(at - 2, 0)] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)
+    return at[_LETTER[last] | wide]
+
+
+def _read_like(joined: np.ndarray, content: bytes) -> np.ndarray:
+    """Where ``content`` starts, A-Z and a-z alike."""
+    wanted = np.frombuffer(content, np.uint8)
+    at = np.flatnonzero((joined == _FOLD[wanted[0]]) | (joined == content[:1].upper()[0]))
+    at = at[at + len(wanted) <= len(joined)]
+    for i, byte in enumerate(wanted):
+        at = at[_FOLD[joined[at + i]] == _FOLD[byte]]
+    return at
+
+
+def _lower(joined: np.ndarray, kept: np.ndarray) -> None:
+    """A-Z lower-cased in place, but where ``kept`` or the next sign could
+    combine with the letter: some pairs compose in one case only."""
+    at = np.flatnonzero(_UPPER[joined] & ~kept)
+    follows = joined[at + 1]  # a text is followed by a space
+    joined[at[(follows < 0x80) | (follows == 0xC3)]] += 32
+
+
+def _listed(words: pa.Array) -> list[str]:
+    """The words of an array, none of which holds a space."""
+    n = len(words)
+    if not n:
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays([0, n], words), pa.scalar(" ", words.type))[0].as_py().split(" ")
 
 
 @lru_cache(maxsize=2)
@@ -148,13 +218,19 @@ def pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition)
         for batch in batches:
-            rows: list[tuple] = []
-            for doc, raw in zip(batch.column(0).to_pylist(), raw_texts(batch.column(1)), strict=True):
-                ids = encoder.encode(raw) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    rows.append((doc, piece, at // 4, len(part) // 4, part))
-            yield record_batch(_PIECE, list(zip(*rows, strict=True)) or [[]] * 5)
+            if not batch.num_rows:
+                continue
+            ids, stops = encoder.encode_all(raw_texts(batch.column(1)), end)
+            total = np.diff(stops, prepend=0) // 4
+            n = -(-total // capacity)
+            doc = np.repeat(np.arange(len(n)), n)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            start = piece * capacity
+            length = np.minimum(total[doc] - start, capacity)
+            # the pieces lie end to end in the ids
+            bounds = np.concatenate([[0], 4 * np.cumsum(length)]).astype(np.int32)
+            parts = pa.Array.from_buffers(pa.binary(), len(doc), [None, pa.py_buffer(bounds), ids])
+            yield record_batch(_PIECE, [batch.column(0).take(pa.array(doc)), piece, start, length, parts])
         encoder.forget()
 
     return id_text(docs).mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
