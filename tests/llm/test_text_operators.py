@@ -97,7 +97,7 @@ def test_word_encoder_looks_up_what_repeats_in_a_batch_once():
 
 def test_queries_equal_their_sql(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in ORACLE_SQL.items():
         df = QUERIES[name](spark, SF_SMALL)
